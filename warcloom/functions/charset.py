@@ -15,6 +15,7 @@ from warcloom.fixed_values import (
     XML_DECLARATION_PATTERN,
     XML_ENCODING_PATTERN,
 )
+from warcloom.functions.binding import let
 from warcloom.functions.headers import charset_parameter
 from warcloom.functions.literals import string_map
 
@@ -42,33 +43,39 @@ def java_charset(charset: Column) -> Column:
 
 def declared_charsets(content: Column, content_type: Column) -> Column:
     """Known charsets declared by HTTP header, `meta` tag and XML declaration: lower case, in this order, distinct."""
-    markup = F.call_function("decode", content, F.lit("ISO-8859-1"))
-    names = F.array(
-        F.lower(charset_parameter(content_type)),
-        F.lower(F.regexp_extract(markup, META_CHARSET_PATTERN, 1)),
-        F.lower(F.regexp_extract(markup, XML_ENCODING_PATTERN, 1)),
-    )
+
+    def declared(markup: Column) -> Column:
+        return F.array(
+            F.lower(charset_parameter(content_type)),
+            F.lower(F.regexp_extract(markup, META_CHARSET_PATTERN, 1)),
+            F.lower(F.regexp_extract(markup, XML_ENCODING_PATTERN, 1)),
+        )
+
+    names = let(F.call_function("decode", content, F.lit("ISO-8859-1")), declared)
     return F.array_distinct(F.filter(names, lambda name: java_charset(name).isNotNull()))
 
 
 def decode(content: Column, charset: Column) -> Column:
     """Bytes to text; malformed bytes become U+FFFD. A byte order mark is not part of the text."""
-    java = java_charset(charset)
-    head = F.hex(F.substring(content, 1, 2))
-    # without a mark, "utf-16" and "utf-32" mean little endian
-    exact = (
-        F.when((java == "UTF-16") & ~head.isin("FEFF", "FFFE"), F.lit("UTF-16LE"))
-        .when(java == "UTF-32", F.when(F.hex(F.substring(content, 1, 4)) == "0000FEFF", java).otherwise("UTF-32LE"))
-        .otherwise(java)
-    )
-    text = F.call_function("decode", content, exact)
-    marked = F.lower(charset).isin("utf-8-sig", "utf-16", "utf-32") & text.startswith("﻿")
-    return F.when(marked, F.substring(text, 2, 2_147_483_647)).otherwise(text)
+
+    def exact(java: Column, body: Column) -> Column:
+        # without a mark, "utf-16" and "utf-32" mean little endian
+        return (
+            F.when((java == "UTF-16") & ~F.hex(F.substring(body, 1, 2)).isin("FEFF", "FFFE"), F.lit("UTF-16LE"))
+            .when((java == "UTF-32") & (F.hex(F.substring(body, 1, 4)) != "0000FEFF"), F.lit("UTF-32LE"))
+            .otherwise(java)
+        )
+
+    def decoded(body: Column) -> Column:
+        chosen = let(java_charset(charset), lambda java: exact(java, body))
+        return F.regexp_replace(F.call_function("decode", body, chosen), r"\A\x{FEFF}", "")
+
+    return let(content, decoded)
 
 
 def decode_errors(text: Column) -> Column:
     """Number of replacement characters."""
-    return F.length(text) - F.length(F.replace(text, F.lit(REPLACEMENT), F.lit("")))
+    return F.regexp_count(text, F.lit(REPLACEMENT))
 
 
 def guess_charset(
@@ -83,24 +90,25 @@ def guess_charset(
     the row, so nothing is exploded or shuffled.
     """
     charsets = DEFAULT_CHARSETS if charsets is None else charsets
-    sample = F.substring(content, 1, sample_bytes)
-    scores = []
-    for position, name in enumerate(charsets):
-        text = decode(sample, F.lit(name))
+    order = F.array(*map(F.lit, charsets))
+
+    def score(text: Column, position: Column) -> Column:
         size = F.nullif(F.length(text), F.lit(0))
-        scores.append(
-            F.struct(
-                (F.regexp_count(text, F.lit(f"[{CZECH_LETTERS}]")) / size).alias("letters"),
-                (-decode_errors(text) / size).alias("errors"),
-                F.lit(-position).alias("position"),
-                F.lit(name).alias("charset"),
-            )
+        return F.struct(
+            (F.regexp_count(text, F.lit(f"[{CZECH_LETTERS}]")) / size).alias("letters"),
+            (-decode_errors(text) / size).alias("errors"),
+            (-position).alias("position"),
         )
-    ranked = F.array(*scores)
-    if candidates is not None:
-        ranked = F.filter(ranked, lambda score: F.array_contains(candidates, score["charset"]))
-    usable = F.filter(ranked, lambda score: score["letters"].isNotNull())
-    return F.when(F.length(content) > 0, F.array_max(usable)["charset"])
+
+    def best(sample: Column, names: Column) -> Column:
+        scores = F.transform(
+            names, lambda name: let(decode(sample, name), lambda text: score(text, F.array_position(order, name)))
+        )
+        usable = F.filter(scores, lambda made: made["letters"].isNotNull())
+        return F.get(order, (-F.array_max(usable)["position"] - 1).cast("int"))
+
+    names = order if candidates is None else F.filter(candidates, lambda name: F.array_contains(order, name))
+    return let(F.substring(content, 1, sample_bytes), lambda sample: best(sample, names))
 
 
 def without_xml_declaration(text: Column) -> Column:

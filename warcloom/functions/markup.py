@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from warcloom.fixed_values import BLOCK_TAGS, EMBEDDED_TAGS, VOID_TAGS
+from warcloom.functions.binding import let
 from warcloom.functions.literals import empty_strings
 from warcloom.functions.texts import decode_entities, normalise, squeeze
 from warcloom.functions.urls import has_scheme_and_host, resolve
@@ -63,16 +64,13 @@ def _direct_texts(inner: Column) -> Column:
 
 def headlines(cleaned: Column) -> Column:
     """All h1, then all h2, ... h6, as normalised direct text, empty ones left out."""
-    levels = [
-        F.flatten(
-            F.transform(
-                F.regexp_extract_all(cleaned, F.lit(rf"(?is)<h{level}\b[^>]*>(.*?)</h{level}\s*>"), F.lit(1)),
-                _direct_texts,
-            )
-        )
-        for level in range(1, 7)
-    ]
-    return F.filter(F.transform(F.concat(*levels), normalise), lambda text: text != "")
+
+    def inner(page: Column, level: int) -> Column:
+        return F.regexp_extract_all(page, F.lit(rf"(?is)<h{level}\b[^>]*>(.*?)</h{level}\s*>"), F.lit(1))
+
+    elements = let(cleaned, lambda page: F.concat(*(inner(page, level) for level in range(1, 7))))
+    texts = F.flatten(F.transform(elements, _direct_texts))
+    return F.filter(F.transform(texts, normalise), lambda text: text != "")
 
 
 def hrefs(cleaned: Column) -> Column:
@@ -85,7 +83,7 @@ def hrefs(cleaned: Column) -> Column:
 
 def absolute_links(cleaned: Column, url: Column) -> Column:
     """References of a page in absolute form; those without scheme and host are dropped."""
-    resolved = F.transform(hrefs(cleaned), lambda reference: resolve(reference, url))
+    resolved = let(url, lambda base: F.transform(hrefs(cleaned), lambda reference: resolve(reference, base)))
     return F.filter(resolved, has_scheme_and_host)
 
 

@@ -7,6 +7,7 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from warcloom.functions.binding import let
 from warcloom.functions.literals import string_map
 
 # One Unicode whitespace character, and one that is none, as regular expressions.
@@ -39,14 +40,13 @@ def decode_entities(text: Column) -> Column:
     its result is not read as the start of another reference.
     """
     names = string_map({name: chr(code) for name, code in name2codepoint.items() if name != "amp"} | {"apos": "'"})
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit("&(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);")))
 
     def character(ref: Column) -> Column:
         decimal = F.conv(F.left(F.regexp_extract(ref, "^#0*([0-9]*)$", 1), F.lit(10)), 10, 16)
         hexadecimal = F.upper(F.regexp_extract(ref, "^#[xX]0*([0-9a-fA-F]*)$", 1))
         return (
-            F.when(ref.rlike("^#[xX]"), _code_point(hexadecimal))
-            .when(ref.startswith("#"), _code_point(decimal))
+            F.when(ref.rlike("^#[xX]"), let(hexadecimal, _code_point))
+            .when(ref.startswith("#"), let(decimal, _code_point))
             .otherwise(F.element_at(names, ref))
         )
 
@@ -56,8 +56,13 @@ def decode_entities(text: Column) -> Column:
             F.coalesce(F.replace(done, whole, character(ref)), done)
         )
 
-    decoded = F.regexp_replace(F.aggregate(found, text, replace), _AMPERSAND, "&")
-    return F.when(F.instr(text, "&") > 0, decoded).otherwise(text)
+    def decoded(text: Column) -> Column:
+        reference = "&(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(reference)))
+        replaced = F.regexp_replace(F.aggregate(found, text, replace), _AMPERSAND, "&")
+        return F.when(F.instr(text, "&") > 0, replaced).otherwise(text)
+
+    return let(text, decoded)
 
 
 def normalise(text: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from warcloom.fixed_values import ABBREVIATIONS, DEFAULT_LANGUAGE, TOKENIZER_LANGUAGES
+from warcloom.functions.binding import let
 from warcloom.functions.texts import NOT_SPACE, SPACE, strip_space
 
 TOKEN = r"[\p{L}\p{M}\p{N}_'\-]+|[^\t-\r\x1c-\x20\x85\p{Z}\p{L}\p{M}\p{N}_]"
@@ -45,7 +46,7 @@ def tokens(text: Column) -> Column:
 
 def tokenizer_language(language: Column) -> Column:
     """Language whose rules apply: Czech for an unknown or unsupported one."""
-    return F.when(language.isin(TOKENIZER_LANGUAGES), language).otherwise(F.lit(DEFAULT_LANGUAGE))
+    return let(language, lambda own: F.when(own.isin(TOKENIZER_LANGUAGES), own).otherwise(F.lit(DEFAULT_LANGUAGE)))
 
 
 def _abbreviation_pattern(language: str) -> str:
@@ -64,13 +65,16 @@ def sentences(text: Column, language: Column) -> Column:
     )
     marked = F.regexp_replace(marked, rf"(\p{{N}}\.{SPACE}+){SENTENCE}(\p{{N}})", "$1$2")
     marked = F.regexp_replace(marked, rf"((?:^|[^\p{{L}}\p{{N}}])\p{{Lu}}\.{SPACE}+){SENTENCE}", "$1")
-    rules = tokenizer_language(language)
-    joined = F.regexp_replace(marked, _abbreviation_pattern(DEFAULT_LANGUAGE), "$1")
-    for name in TOKENIZER_LANGUAGES:
-        if name != DEFAULT_LANGUAGE:
-            joined = F.when(rules == name, F.regexp_replace(marked, _abbreviation_pattern(name), "$1")).otherwise(
-                joined
-            )
+
+    def joined_by(rules: Column, source: Column) -> Column:
+        joined = F.regexp_replace(source, _abbreviation_pattern(DEFAULT_LANGUAGE), "$1")
+        for name in TOKENIZER_LANGUAGES:
+            if name != DEFAULT_LANGUAGE:
+                own = F.regexp_replace(source, _abbreviation_pattern(name), "$1")
+                joined = F.when(rules == name, own).otherwise(joined)
+        return joined
+
+    joined = let(tokenizer_language(language), lambda rules: let(marked, lambda source: joined_by(rules, source)))
     pieces = F.transform(F.split(joined, SENTENCE), strip_space)
     return F.filter(pieces, lambda piece: piece != "")
 
@@ -82,7 +86,7 @@ def valid_words(token_array: Column) -> Column:
 
 def syllable_language(language: Column) -> Column:
     """Language whose syllable rule applies: Czech for an unknown or unsupported one."""
-    return F.when(language.isin(SYLLABLE_LANGUAGES), language).otherwise(F.lit(DEFAULT_LANGUAGE))
+    return let(language, lambda own: F.when(own.isin(SYLLABLE_LANGUAGES), own).otherwise(F.lit(DEFAULT_LANGUAGE)))
 
 
 def syllable_count(words: Column, language: Column) -> Column:
@@ -90,18 +94,53 @@ def syllable_count(words: Column, language: Column) -> Column:
 
     Words are joined once and counted by three patterns, so no word leaves its row: no shuffle, and no hot word.
     """
-    parts = F.regexp_replace(F.array_join(words, "|"), "-+", "|")
 
-    def count(nucleus: str) -> Column:
+    def count(parts: Column, nucleus: str) -> Column:
         voiced = F.regexp_count(parts, F.lit(rf"[^|]*?(?:{nucleus})[^|]*"))
         return F.regexp_count(parts, F.lit(nucleus)) + F.regexp_count(parts, F.lit(r"\|")) + 1 - voiced
 
-    slavic = syllable_language(language).isin(SLAVIC_LANGUAGES)
-    total = F.when(slavic, count(SYLLABLE_SLAVIC)).otherwise(count(SYLLABLE_RUN))
-    return F.when(F.size(words) > 0, total).otherwise(F.lit(0))
+    def total(parts: Column) -> Column:
+        slavic = syllable_language(language).isin(SLAVIC_LANGUAGES)
+        counted = F.when(slavic, count(parts, SYLLABLE_SLAVIC)).otherwise(count(parts, SYLLABLE_RUN))
+        return F.when(parts == "", F.lit(0)).otherwise(counted)
+
+    # no words give an empty string, which a word never does
+    return let(F.regexp_replace(F.array_join(words, "|"), "-+", "|"), total)
 
 
 def reading_ease(n_sentences: Column, n_words: Column, n_syllables: Column) -> Column:
     """Flesch Reading Ease; null without sentences or words."""
-    score = 206.835 - 1.015 * (n_words / n_sentences) - 84.6 * (n_syllables / n_words)
-    return F.when((n_sentences > 0) & (n_words > 0), score)
+    words, sentence_total = F.nullif(n_words, F.lit(0)), F.nullif(n_sentences, F.lit(0))
+    return 206.835 - 1.015 * (words / sentence_total) - 84.6 * (n_syllables / words)
+
+
+def text_statistics(
+    text: Column, language: Column, token_array: Column | None = None, sentence_array: Column | None = None
+) -> Column:
+    """struct<n_sentences, n_words, n_syllables, reading_ease> of a text; no text gives 0, 0, 0 and null.
+
+    Token and sentence arrays that are there already are used.
+    """
+
+    def counted(source: Column, lang: Column) -> Column:
+        split = tokens(source) if token_array is None else F.coalesce(token_array, tokens(source))
+        cut = sentences(source, lang) if sentence_array is None else F.coalesce(sentence_array, sentences(source, lang))
+        counts = let(
+            valid_words(split),
+            lambda words: F.struct(
+                F.size(cut).alias("n_sentences"),
+                F.size(words).alias("n_words"),
+                syllable_count(words, lang).alias("n_syllables"),
+            ),
+        )
+        return let(
+            counts,
+            lambda n: F.struct(
+                n["n_sentences"].alias("n_sentences"),
+                n["n_words"].alias("n_words"),
+                n["n_syllables"].alias("n_syllables"),
+                reading_ease(n["n_sentences"], n["n_words"], n["n_syllables"]).alias("reading_ease"),
+            ),
+        )
+
+    return let(language, lambda lang: let(text, lambda source: counted(source, lang)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from warcloom.functions.binding import let
 from warcloom.functions.literals import empty_strings
 
 _SCHEME = r"^([a-zA-Z][a-zA-Z0-9+.\-]*):"
@@ -20,7 +21,10 @@ def url_key(url: Column) -> Column:
     Lower case; no user, `www` prefix, default port, fragment, or slash at the end of a path; query arguments sorted;
     an empty query is dropped. URLs without `//` are only put in lower case; no URL gives `-`.
     """
-    lower = F.lower(F.trim(url))
+    return let(F.lower(F.trim(url)), _url_key)
+
+
+def _url_key(lower: Column) -> Column:
     whole = F.regexp_extract(lower, _NO_FRAGMENT, 0)
     scheme = F.regexp_extract(whole, _SCHEME, 1)
     host = F.regexp_replace(F.regexp_extract(whole, _AUTHORITY, 1), r"^[^@]*@", "")
@@ -33,7 +37,7 @@ def url_key(url: Column) -> Column:
     path = F.regexp_replace(F.regexp_extract(whole, _PATH, 1), "/+$", "")
     path = F.when(path == "", F.lit("/")).otherwise(path)
     arguments = F.array_join(F.array_sort(F.split(F.regexp_extract(whole, r"\?(.*)$", 1), "&")), "&")
-    query = F.when(arguments == "", F.lit("")).otherwise(F.concat(F.lit("?"), arguments))
+    query = F.regexp_replace(F.concat(F.lit("?"), arguments), r"^\?$", "")
     return (
         F.when(F.coalesce(lower, F.lit("")) == "", F.lit("-"))
         .when(~lower.rlike(_AUTHORITY), lower)
@@ -42,6 +46,10 @@ def url_key(url: Column) -> Column:
 
 
 def _without_dot_segments(path: Column) -> Column:
+    return let(path, _dot_segments_removed)
+
+
+def _dot_segments_removed(path: Column) -> Column:
     segments = F.split(path, "/")
     kept = F.aggregate(
         segments,
@@ -52,8 +60,9 @@ def _without_dot_segments(path: Column) -> Column:
         .when(segment == ".", done)
         .otherwise(F.array_append(done, segment)),
     )
-    closed = F.when(path.rlike(r"(^|/)\.\.?$"), F.array_append(kept, F.lit(""))).otherwise(kept)
-    rooted = F.regexp_replace(F.array_join(closed, "/"), "^/?", "/")
+    # a dot segment at the end leaves its folder
+    end = F.when(path.rlike(r"(^|/)\.\.?$"), F.lit("/")).otherwise(F.lit(""))
+    rooted = F.regexp_replace(F.concat(F.array_join(kept, "/"), end), "^/?", "/")
     return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), rooted).otherwise(path)
 
 
@@ -62,6 +71,10 @@ def resolve(reference: Column, base: Column) -> Column:
 
     Without a base the reference stays as it is.
     """
+    return let(base, lambda known: let(reference, lambda found: _resolve(found, known)))
+
+
+def _resolve(reference: Column, base: Column) -> Column:
     origin = F.concat(F.regexp_extract(base, _SCHEME, 1), F.lit("://"), F.regexp_extract(base, _AUTHORITY, 1))
     base_path = F.regexp_extract(base, _PATH, 1)
     base_folder = F.concat(F.lit("/"), F.regexp_replace(F.regexp_replace(base_path, "[^/]*$", ""), "^/", ""))

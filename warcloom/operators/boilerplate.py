@@ -6,11 +6,11 @@ shuffled for its blocks, and neighbours are a slice of at most `max_good_distanc
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from warcloom.fixed_values import BOILERPLATE_BASE, BOILERPLATE_FALLBACKS, DEFAULT_LANGUAGE
-from warcloom.functions.literals import sql_in
+from warcloom.functions.binding import let
 from warcloom.functions.markup import block_markup, marked_blocks
 from warcloom.functions.texts import decode_entities
 from warcloom.operators.language import Stoplists
@@ -18,32 +18,38 @@ from warcloom.operators.language import Stoplists
 GOOD, NEARGOOD, SHORT, BAD = "good", "neargood", "short", "bad"
 
 
-def with_blocks(pages: DataFrame, cleaned: str, language: str, stoplists: Stoplists) -> DataFrame:
-    """Add `blocks`: array of struct<text, length, link_length, n_words, n_stopwords>.
+def blocks_of(cleaned: Column, language: Column, stoplists: Stoplists) -> Column:
+    """Blocks of a cleaned page: array of struct<text, length, link_length, n_words, n_stopwords>.
 
     Stopwords are those of the page's language, of `DEFAULT_LANGUAGE` if that is null; a language without stoplist
-    gives null blocks.
+    gives null.
     """
-    staged = (
-        pages.withColumn("_marked", block_markup(F.col(cleaned)))
-        .withColumn("_marked", decode_entities(F.col("_marked")))
-        .withColumn("_blocks", marked_blocks(F.col("_marked")))
-        .withColumn("_list", F.coalesce(F.col(language), F.lit(DEFAULT_LANGUAGE)))
-    )
-    listed = " ".join(
-        f"WHEN _list = '{lang}' THEN {sql_in('lower(w)', words)}" for lang, words in stoplists.items()
-    )
-    matches = f"CASE {listed} ELSE false END" if listed else "false"
-    blocks = F.expr(
-        f"""transform(_blocks, b -> struct(
-            b.text AS text,
-            length(b.text) AS length,
-            length(b.link_text) AS link_length,
-            size(split(b.text, ' ')) AS n_words,
-            size(filter(split(b.text, ' '), w -> {matches})) AS n_stopwords))"""
-    )
-    supported = F.col("_list").isin(list(stoplists)) if stoplists else F.lit(False)
-    return staged.withColumn("blocks", F.when(supported, blocks)).drop("_marked", "_blocks", "_list")
+
+    def is_stopword(lang: Column, word: Column) -> Column:
+        found = F.lit(False)
+        for name, listed in stoplists.items():
+            found = F.when(lang == name, word.isin(listed)).otherwise(found)
+        return found
+
+    def features(block: Column, lang: Column) -> Column:
+        return let(
+            F.split(block["text"], " "),
+            lambda words: F.struct(
+                block["text"].alias("text"),
+                F.length(block["text"]).alias("length"),
+                F.length(block["link_text"]).alias("link_length"),
+                F.size(words).alias("n_words"),
+                F.size(F.filter(words, lambda word: is_stopword(lang, F.lower(word)))).alias("n_stopwords"),
+            ),
+        )
+
+    def made(lang: Column) -> Column:
+        cut = marked_blocks(decode_entities(block_markup(cleaned)))
+        return F.when(lang.isin(list(stoplists)), F.transform(cut, lambda block: features(block, lang)))
+
+    if not stoplists:
+        return F.lit(None).cast("array<struct<text:string,length:int,link_length:int,n_words:int,n_stopwords:int>>")
+    return let(F.coalesce(language, F.lit(DEFAULT_LANGUAGE)), made)
 
 
 def context_free(blocks: Column, setting: dict) -> Column:
@@ -78,66 +84,63 @@ def _after(classes: Column, at: Column, distance: int, wanted: list[str]) -> Col
 def revise_short(classes: Column, distance: int) -> Column:
     """Short blocks take the class of their neighbours; no neighbour within `distance` counts as bad."""
 
-    def revise(own: Column, at: Column) -> Column:
-        strict = [
-            F.coalesce(side(classes, at, distance, [GOOD, BAD]), F.lit(BAD)) for side in (_before, _after)
-        ]
-        loose = [
-            F.coalesce(side(classes, at, distance, [GOOD, BAD, NEARGOOD]), F.lit(BAD)) for side in (_before, _after)
-        ]
+    def revise(known: Column, own: Column, at: Column) -> Column:
+        strict = [F.coalesce(side(known, at, distance, [GOOD, BAD]), F.lit(BAD)) for side in (_before, _after)]
+        loose = [side(known, at, distance, [GOOD, BAD, NEARGOOD]) for side in (_before, _after)]
         both_good = (strict[0] == GOOD) & (strict[1] == GOOD)
         both_bad = (strict[0] == BAD) & (strict[1] == BAD)
-        nearly = ((strict[0] == BAD) & (loose[0] == NEARGOOD)) | ((strict[1] == BAD) & (loose[1] == NEARGOOD))
-        return F.when(own != SHORT, own).when(both_good | (~both_bad & nearly), GOOD).otherwise(BAD)
+        nearly = [(one == BAD) & (other == NEARGOOD) for one, other in zip(strict, loose)]
+        better = both_good | (~both_bad & F.coalesce(nearly[0] | nearly[1], F.lit(False)))
+        return F.when(own != SHORT, own).when(better, GOOD).otherwise(BAD)
 
-    return F.transform(classes, revise)
+    return let(classes, lambda known: F.transform(known, lambda own, at: revise(known, own, at)))
 
 
 def revise_neargood(classes: Column, distance: int) -> Column:
     """Nearly good blocks become bad between bad neighbours, good otherwise."""
 
-    def revise(own: Column, at: Column) -> Column:
-        good = [
-            F.coalesce(side(classes, at, distance, [GOOD, BAD]), F.lit(BAD)) == GOOD for side in (_before, _after)
-        ]
+    def revise(known: Column, own: Column, at: Column) -> Column:
+        good = [F.coalesce(side(known, at, distance, [GOOD, BAD]) == GOOD, F.lit(False)) for side in (_before, _after)]
         return F.when(own != NEARGOOD, own).when(good[0] | good[1], GOOD).otherwise(BAD)
 
-    return F.transform(classes, revise)
+    return let(classes, lambda known: F.transform(known, lambda own, at: revise(known, own, at)))
 
 
-def with_classes(
-    pages: DataFrame, setting: dict = BOILERPLATE_BASE, output: str = "classes", condition: Column | None = None
-) -> DataFrame:
-    """Add the final class of every block, as an array parallel to `blocks`; null where `condition` is false."""
-    blocks = F.col("blocks") if condition is None else F.when(condition, F.col("blocks"))
+def classes_of(blocks: Column, setting: dict = BOILERPLATE_BASE) -> Column:
+    """Final class of every block, as an array parallel to `blocks`."""
     distance = setting["max_good_distance"]
-    return (
-        pages.withColumn(output, context_free(blocks, setting))
-        .withColumn(output, revise_short(F.col(output), distance))
-        .withColumn(output, revise_neargood(F.col(output), distance))
-    )
+    return revise_neargood(revise_short(context_free(blocks, setting), distance), distance)
 
 
-def with_fallback_classes(
-    pages: DataFrame, base: dict = BOILERPLATE_BASE, fallbacks: list[dict] = BOILERPLATE_FALLBACKS
-) -> DataFrame:
-    """Add `classes` and `setting`, the number of the setting that gave them (0 is the base).
+def with_fallback(
+    blocks: Column, base: dict = BOILERPLATE_BASE, fallbacks: list[dict] = BOILERPLATE_FALLBACKS
+) -> Column:
+    """struct<setting, classes>: classes by the first setting that finds a good block, and its number (0 is the base).
 
-    A fallback, which always starts from the base, is only computed for pages on which nothing was good before.
+    Every fallback starts from the base, and is only computed for pages on which nothing was good before. The last one
+    stays, whatever it finds.
     """
-    done = with_classes(pages, base).withColumn("setting", F.lit(0))
-    for number, update in enumerate(fallbacks, start=1):
-        nothing = F.coalesce(~F.array_contains("classes", GOOD), F.lit(False))
-        tried = with_classes(done.withColumn("_again", nothing), base | update, "_tried", F.col("_again"))
-        done = (
-            tried.withColumn("setting", F.when(F.col("_again"), F.lit(number)).otherwise(F.col("setting")))
-            .withColumn("classes", F.when(F.col("_again"), F.col("_tried")).otherwise(F.col("classes")))
-            .drop("_again", "_tried")
+    settings = [base] + [base | update for update in fallbacks]
+
+    def attempt(known: Column, number: int) -> Column:
+        classes = classes_of(known, settings[number])
+        if number == len(settings) - 1:
+            return F.struct(F.lit(number).alias("setting"), classes.alias("classes"))
+        return let(
+            classes,
+            lambda found: F.when(
+                F.array_contains(found, GOOD), F.struct(F.lit(number).alias("setting"), found.alias("classes"))
+            ).otherwise(attempt(known, number + 1)),
         )
-    return done
 
+    return let(blocks, lambda known: F.when(known.isNotNull(), attempt(known, 0)))
 
-def plain_text(blocks: Column, classes: Column) -> Column:
+
+def plain_text(blocks: Column) -> Column:
     """Good blocks in page order, one per line."""
-    good = F.filter(blocks, lambda block, at: F.get(classes, at) == GOOD)
-    return F.array_join(F.transform(good, lambda block: block["text"]), "\n")
+
+    def joined(known: Column, classes: Column) -> Column:
+        good = F.filter(known, lambda block, at: F.get(classes, at) == GOOD)
+        return F.array_join(F.transform(good, lambda block: block["text"]), "\n")
+
+    return let(blocks, lambda known: let(with_fallback(known)["classes"], lambda classes: joined(known, classes)))

@@ -17,6 +17,7 @@ from warcloom.fixed_values import (
     REQUIRED_FIELDS,
     RESPONSE_CODE_PATTERN,
 )
+from warcloom.functions.binding import let
 
 
 def wanted_type(warc_type: Column, types: list[str] = RECORD_TYPES) -> Column:
@@ -78,9 +79,17 @@ def only_ids(records: DataFrame, ids: DataFrame) -> DataFrame:
 
 def html_within_limits(content: Column, limit: int = MAX_HTML_BYTES) -> Column:
     """Content that is worth extracting: not blank, not larger than the limit."""
-    size = F.octet_length(content)
-    text = F.call_function("decode", content, F.lit("ISO-8859-1"))
-    return F.coalesce((size <= limit) & text.rlike(r"[^\t-\r ]"), F.lit(False))
+    return usable_html(content, limit).isNotNull()
+
+
+def usable_html(content: Column, limit: int = MAX_HTML_BYTES) -> Column:
+    """Content within the limits, else null."""
+
+    def usable(body: Column) -> Column:
+        text = F.call_function("decode", body, F.lit("ISO-8859-1"))
+        return F.when((F.octet_length(body) <= limit) & text.rlike(r"[^\t-\r ]"), body)
+
+    return let(content, usable)
 
 
 def drop_reason(groups: dict[str, str] = MIME_GROUPS, listed: Column | None = None) -> Column:

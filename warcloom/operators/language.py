@@ -13,7 +13,7 @@ from warcloom.fixed_values import (
     STOPLIST_SIZE,
     STOPLIST_STRIP_CHARS,
 )
-from warcloom.functions.literals import sql_in
+from warcloom.functions.binding import let
 from warcloom.functions.texts import SPACE
 from warcloom.functions.tokens import normalised_words
 from warcloom.operators.ranking import top_n_per_group
@@ -52,24 +52,44 @@ def with_language(
     A language needs max(`min_count`, `min_ratio` x words) occurrences; of equal counts the first in `stoplists` wins.
     Words stay in their row and are looked up in a hash set, so neither texts nor words are shuffled.
     """
+    return texts.withColumn(output, language_of(F.col(text), stoplists, min_ratio, min_count))
+
+
+def language_of(
+    text: Column,
+    stoplists: Stoplists,
+    min_ratio: float = MIN_STOPWORD_RATIO,
+    min_count: int = MIN_STOPWORD_COUNT,
+) -> Column:
+    """The expression of `with_language`."""
+    if not stoplists:
+        return F.lit(None).cast("string")
     everything = sorted({word for words in stoplists.values() for word in words})
-    counted = texts.withColumn("_words", normalised_words(F.col(text))).withColumn(
-        "_stop", F.expr(f"filter(_words, w -> {sql_in('w', everything)})")
-    )
-    least = F.greatest(F.lit(float(min_count)), F.size("_words") * F.lit(min_ratio))
-    guesses = F.array(
-        *(
-            F.struct(
-                F.expr(f"size(filter(_stop, w -> {sql_in('w', words)}))").alias("n"),
-                F.lit(-position).alias("position"),
-                F.lit(lang).alias("lang"),
+
+    def counts(found: Column) -> Column:
+        return F.array(
+            *(
+                F.struct(
+                    F.size(F.filter(found, _is_in(listed))).alias("n"),
+                    F.lit(-position).alias("position"),
+                    F.lit(lang).alias("lang"),
+                )
+                for position, (lang, listed) in enumerate(stoplists.items())
             )
-            for position, (lang, words) in enumerate(stoplists.items())
         )
-    )
-    usable = F.filter(guesses, lambda guess: (guess["n"] > 0) & (guess["n"] >= least))
-    chosen = F.array_max(usable)["lang"] if stoplists else F.lit(None).cast("string")
-    return counted.withColumn(output, chosen).drop("_words", "_stop")
+
+    def chosen(words: Column) -> Column:
+        least = F.greatest(F.lit(float(min_count)), F.size(words) * F.lit(min_ratio))
+        guesses = let(F.filter(words, _is_in(everything)), counts)
+        usable = F.filter(guesses, lambda guess: (guess["n"] > 0) & (guess["n"] >= least))
+        return F.array_max(usable)["lang"]
+
+    return let(normalised_words(text), chosen)
+
+
+def _is_in(listed: list[str]):
+    """Predicate of a word list; Catalyst makes one hash lookup of it, whatever the length of the list."""
+    return lambda word: word.isin(listed)
 
 
 def corpus_words(

@@ -24,18 +24,7 @@ def with_reading_ease(texts: DataFrame, text: str = "plain_text", language: str
     Counts come from the text of the row alone, so this adds no shuffle. Tokens or sentences that are there already
     are used.
     """
-    tokens, sentences = tk.tokens(F.col(text)), tk.sentences(F.col(text), F.col(language))
-    if "plain_text_tokens" in texts.columns:
-        tokens = F.coalesce("plain_text_tokens", tokens)
-    if "plain_text_sentences" in texts.columns:
-        sentences = F.coalesce("plain_text_sentences", sentences)
-    staged = texts.withColumns({"_tokens": tokens, "_sentences": sentences})
-    counted = staged.withColumn("_valid", tk.valid_words(F.col("_tokens"))).withColumns(
-        {
-            "n_sentences": F.size("_sentences"),
-            "n_words": F.size("_valid"),
-            "n_syllables": tk.syllable_count(F.col("_valid"), F.col(language)),
-        }
-    )
-    ease = tk.reading_ease(F.col("n_sentences"), F.col("n_words"), F.col("n_syllables"))
-    return counted.withColumn("reading_ease", ease).drop("_valid", "_tokens", "_sentences")
+    made = [F.col(name) if name in texts.columns else None for name in ("plain_text_tokens", "plain_text_sentences")]
+    statistics = texts.withColumn("_statistics", tk.text_statistics(F.col(text), F.col(language), *made))
+    names = ["n_sentences", "n_words", "n_syllables", "reading_ease"]
+    return statistics.withColumns({name: F.col(f"_statistics.{name}") for name in names}).drop("_statistics")

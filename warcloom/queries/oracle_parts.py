@@ -94,12 +94,12 @@ def page_blocks(size: int) -> str:
     )
     return f"""{stoplist(size)}, {CLEANED}, {VISIBLE}, {language_of('visible', 'page_id', 'visible')},
 raw_blocks AS (
-  SELECT page_id, unnest(pieces) AS raw, unnest(range(1, len(pieces) + 1)) AS at
+  SELECT page_id, unnest(pieces) AS raw, unnest(range(1, len(pieces) + 1)) AS place
   FROM (SELECT page_id, string_split({body}, chr(1)) AS pieces FROM cleaned)
 ), text_blocks AS (
-  SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY at) - 1 AS pos, text, length(text) AS length,
+  SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY place) - 1 AS pos, text, length(text) AS length,
     length(link_text) AS link_length
-  FROM (SELECT page_id, at, {text} AS text, {link} AS link_text FROM raw_blocks) WHERE text <> ''
+  FROM (SELECT page_id, place, {text} AS text, {link} AS link_text FROM raw_blocks) WHERE text <> ''
 ), block_words AS (
   SELECT page_id, pos, lower(unnest(string_split(text, ' '))) AS word FROM text_blocks
 ), block_counts AS (
