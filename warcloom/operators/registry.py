@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from warcloom.fixed_values import TABLE_MAX_VERSIONS
@@ -59,6 +59,11 @@ def run_counts(gated: DataFrame, failed: Column) -> DataFrame:
 _UNSEEN = ["record type", "record size", "not listed", "metadata filter", "invalid record"]
 
 
+def registered(gated: DataFrame) -> DataFrame:
+    """Records whose harvest counts: those that reach the MIME type gate, whether they pass it or not."""
+    return gated.filter(~F.coalesce("drop_reason", F.lit("")).isin(_UNSEEN))
+
+
 def run_row(counts: DataFrame, run_id: str, args: str, started_ms: int, finished_ms: int | None, status: str):
     """The row a run has in the table of runs."""
     return counts.select(
@@ -100,5 +105,4 @@ def cell_versions(versions: DataFrame, row: str, col: str) -> DataFrame:
 
 def cell_history(versions: DataFrame, limit: int = TABLE_MAX_VERSIONS["config"]) -> DataFrame:
     """Kept versions of all cells with their place in the history, 1 is the newest."""
-    place = F.row_number().over(Window.partitionBy("row", "col").orderBy(F.col("version").desc(), "value"))
-    return keep_versions(versions, limit).drop("nth").withColumn("nth", place)
+    return keep_versions(versions, limit)

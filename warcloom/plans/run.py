@@ -77,13 +77,12 @@ def save_run(
     run = process(spark.read.parquet(kept), sequences, ids)
 
     output.write_table(output.decompose(run.processed), main, "append")
-    registered = run.gated.filter(~F.coalesce("drop_reason", F.lit("")).isin(registry._UNSEEN))
     try:
         known = spark.read.schema("hid string, type string, date string").parquet(harvests)
         known.isEmpty()
     except Exception:
         known = spark.createDataFrame([], "hid string, type string, date string")
-    registry.new_harvests(registered, known).write.mode("append").parquet(harvests)
+    registry.new_harvests(registry.registered(run.gated), known).write.mode("append").parquet(harvests)
     counts = registry.run_counts(run.gated, F.col("scan_error").isNotNull())
     row = registry.run_row(counts, run_id, args, started, int(time.time() * 1000), "finished")
     row.write.mode("append").parquet(runs)
