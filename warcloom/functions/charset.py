@@ -94,8 +94,9 @@ def guess_charset(
 
     def score(text: Column, position: Column) -> Column:
         size = F.nullif(F.length(text), F.lit(0))
+        letters = F.length(text) - F.length(F.regexp_replace(text, f"[{CZECH_LETTERS}]+", ""))
         return F.struct(
-            (F.regexp_count(text, F.lit(f"[{CZECH_LETTERS}]")) / size).alias("letters"),
+            (letters / size).alias("letters"),
             (-decode_errors(text) / size).alias("errors"),
             (-position).alias("position"),
         )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ SYLLABLE_SLAVIC = f"[aeoAEO][uU]|[{_BOTH_CASES}]"
 SLAVIC_LANGUAGES = ["cs", "sk"]
 SYLLABLE_LANGUAGES = ["cs", "sk", "en", "de", "pl", "ru", "fr", "es", "it", "pt", "nl", "hu", "uk"]
 
-SENTENCE = "\u0001"
+SENTENCE = NUCLEUS = "\u0001"
 
 
 def stripped_word(word: Column) -> Column:
@@ -49,9 +50,25 @@ def tokenizer_language(language: Column) -> Column:
     return let(language, lambda own: F.when(own.isin(TOKENIZER_LANGUAGES), own).otherwise(F.lit(DEFAULT_LANGUAGE)))
 
 
-def _abbreviation_pattern(language: str) -> str:
+def _boundary(language: str) -> str:
+    """Pattern of the end of a sentence with the whitespace after it; what follows is only looked at."""
     listed = "|".join(re.escape(word) for word in ABBREVIATIONS[language].split())
-    return rf"(?iu)((?:^|[^\p{{L}}\p{{N}}])(?:{listed})\.{SPACE}+){SENTENCE}"
+    closing = r"[\"'»”)\]]"
+    start = r"(?:^|[^\p{L}\p{N}])"
+    stop = rf"(?<!{start}(?iu:{listed}))(?<!{start}\p{{Lu}})\."
+    return (
+        rf"(?=[.!?])(?:(?:[!?]{closing}*|\.{closing}+){SPACE}+(?=[\p{{Lu}}\p{{N}}])"
+        rf"|{stop}{SPACE}+(?=\p{{Lu}}|(?<!\p{{N}}\.{SPACE}{{1,100}})\p{{N}}))"
+    )
+
+
+def _by_language(language: Column, rule: Callable[[str], Column]) -> Column:
+    """`rule` of the tokenizer language of a text."""
+    chosen = rule(DEFAULT_LANGUAGE)
+    for name in TOKENIZER_LANGUAGES:
+        if name != DEFAULT_LANGUAGE:
+            chosen = F.when(language == name, rule(name)).otherwise(chosen)
+    return chosen
 
 
 def sentences(text: Column, language: Column) -> Column:
@@ -60,25 +77,25 @@ def sentences(text: Column, language: Column) -> Column:
     A sentence ends at `.`, `!` or `?` before whitespace and an upper-case letter or digit, but not after an
     abbreviation of the language, an initial, or a number before another number.
     """
-    marked = F.regexp_replace(
-        F.coalesce(text, F.lit("")), rf"([.!?][\"'»”)\]]*{SPACE}+)([\p{{Lu}}\p{{N}}])", f"$1{SENTENCE}$2"
-    )
-    marked = F.regexp_replace(marked, rf"(\p{{N}}\.{SPACE}+){SENTENCE}(\p{{N}})", "$1$2")
-    marked = F.regexp_replace(marked, rf"((?:^|[^\p{{L}}\p{{N}}])\p{{Lu}}\.{SPACE}+){SENTENCE}", "$1")
-
-    def joined_by(rules: Column, source: Column) -> Column:
-        joined = F.regexp_replace(source, _abbreviation_pattern(DEFAULT_LANGUAGE), "$1")
-        for name in TOKENIZER_LANGUAGES:
-            if name != DEFAULT_LANGUAGE:
-                own = F.regexp_replace(source, _abbreviation_pattern(name), "$1")
-                joined = F.when(rules == name, own).otherwise(joined)
-        return joined
-
-    joined = let(tokenizer_language(language), lambda rules: let(marked, lambda source: joined_by(rules, source)))
-    pieces = F.transform(F.split(joined, SENTENCE), strip_space)
+
+    def marked(source: Column, lang: Column) -> Column:
+        return _by_language(lang, lambda name: F.regexp_replace(source, f"({_boundary(name)})", f"$1{SENTENCE}"))
+
+    found = let(tokenizer_language(language), lambda lang: let(text, lambda source: marked(source, lang)))
+    pieces = F.transform(F.split(F.coalesce(found, F.lit("")), SENTENCE), strip_space)
     return F.filter(pieces, lambda piece: piece != "")
 
 
+def sentence_count(text: Column, language: Column) -> Column:
+    """Number of `sentences`, without making them: a text that is not blank has one more than it has borders."""
+
+    def count(source: Column, lang: Column) -> Column:
+        borders = _by_language(lang, lambda name: F.regexp_count(source, F.lit(_boundary(name))))
+        return F.when(source.rlike(NOT_SPACE), borders + 1).otherwise(0)
+
+    return let(tokenizer_language(language), lambda lang: let(text, lambda source: count(source, lang)))
+
+
 def valid_words(token_array: Column) -> Column:
     """Tokens made of word characters, hyphens and apostrophes only."""
     return F.filter(token_array, lambda token: token.rlike(WORD))
@@ -89,23 +106,41 @@ def syllable_language(language: Column) -> Column:
     return let(language, lambda own: F.when(own.isin(SYLLABLE_LANGUAGES), own).otherwise(F.lit(DEFAULT_LANGUAGE)))
 
 
+def words_of(text: Column) -> Column:
+    """The valid words among the tokens of a text, without making the other tokens."""
+
+    def found(source: Column) -> Column:
+        runs = F.regexp_extract_all(source, F.lit(r"[\p{L}\p{M}\p{N}_'\-]+"), F.lit(0))
+        return F.when(source.rlike(r"\p{M}"), valid_words(runs)).otherwise(runs)
+
+    return let(F.coalesce(text, F.lit("")), found)
+
+
 def syllable_count(words: Column, language: Column) -> Column:
     """Syllables of all words: vowel groups, at least one for every part between hyphens.
 
-    Words are joined once and counted by three patterns, so no word leaves its row: no shuffle, and no hot word.
+    Words are joined once, vowel groups become marks and all other letters go; so lengths give the counts, and no word
+    leaves its row: no shuffle, and no hot word.
     """
 
-    def count(parts: Column, nucleus: str) -> Column:
-        voiced = F.regexp_count(parts, F.lit(rf"[^|]*?(?:{nucleus})[^|]*"))
-        return F.regexp_count(parts, F.lit(nucleus)) + F.regexp_count(parts, F.lit(r"\|")) + 1 - voiced
+    def marks(text: Column) -> Column:
+        return F.length(text) - F.length(F.replace(text, F.lit(NUCLEUS), F.lit("")))
+
+    def total(bare: Column) -> Column:
+        # a part keeps one mark when runs of marks are squeezed, or none
+        parts = F.length(F.replace(bare, F.lit(NUCLEUS), F.lit(""))) + 1
+        return marks(bare) + parts - marks(F.regexp_replace(bare, f"{NUCLEUS}+", NUCLEUS))
 
-    def total(parts: Column) -> Column:
+    def of_parts(parts: Column) -> Column:
         slavic = syllable_language(language).isin(SLAVIC_LANGUAGES)
-        counted = F.when(slavic, count(parts, SYLLABLE_SLAVIC)).otherwise(count(parts, SYLLABLE_RUN))
-        return F.when(parts == "", F.lit(0)).otherwise(counted)
+        marked = F.when(slavic, F.regexp_replace(parts, SYLLABLE_SLAVIC, NUCLEUS)).otherwise(
+            F.regexp_replace(parts, SYLLABLE_RUN, NUCLEUS)
+        )
+        bare = F.regexp_replace(marked, f"[^{NUCLEUS}|]+", "")
+        return F.when(parts == "", F.lit(0)).otherwise(let(bare, total))
 
     # no words give an empty string, which a word never does
-    return let(F.regexp_replace(F.array_join(words, "|"), "-+", "|"), total)
+    return let(F.regexp_replace(F.array_join(words, "|"), "-+", "|"), of_parts)
 
 
 def reading_ease(n_sentences: Column, n_words: Column, n_syllables: Column) -> Column:
@@ -123,12 +158,18 @@ def text_statistics(
     """
 
     def counted(source: Column, lang: Column) -> Column:
-        split = tokens(source) if token_array is None else F.coalesce(token_array, tokens(source))
-        cut = sentences(source, lang) if sentence_array is None else F.coalesce(sentence_array, sentences(source, lang))
+        made_words = words_of(source)
+        made_count = sentence_count(source, lang)
+        own_words = made_words if token_array is None else F.coalesce(valid_words(token_array), made_words)
+        n_sentences = (
+            made_count
+            if sentence_array is None
+            else F.when(sentence_array.isNotNull(), F.size(sentence_array)).otherwise(made_count)
+        )
         counts = let(
-            valid_words(split),
+            own_words,
             lambda words: F.struct(
-                F.size(cut).alias("n_sentences"),
+                F.coalesce(n_sentences, F.lit(0)).alias("n_sentences"),
                 F.size(words).alias("n_words"),
                 syllable_count(words, lang).alias("n_syllables"),
             ),

@@ -38,7 +38,7 @@ CRLF = "\r\n"
 
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(RECORDS_SQL.format(pages=f"parquet.`{sf_dir}/pages.parquet`"))
+    return spark.sql(RECORDS_SQL, pages=table(spark, sf_dir, "pages"))
 
 
 def _line(name: str, column: str):

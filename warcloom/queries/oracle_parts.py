@@ -182,12 +182,18 @@ def sentence_pieces(text: str, language: str) -> str:
     def glued(source: str, lang: str) -> str:
         listed = "|".join(re.escape(word) for word in ABBREVIATIONS[lang].split())
         pattern = rf"(?i)((?:^|[^\p{{L}}\p{{N}}])(?:{listed})\.{SPACE}+)\x01"
-        return f"regexp_replace({source}, {quoted(pattern)}, '\\1', 'g')"
+        return twice(source, pattern, "\\1")
+
+    def twice(source: str, pattern: str, kept: str) -> str:
+        # matches that touch each other need a second pass
+        for _ in range(2):
+            source = f"regexp_replace({source}, {quoted(pattern)}, '{kept}', 'g')"
+        return source
 
     end = rf"""([.!?]["'»”)\]]*{SPACE}+)([\p{{Lu}}\p{{N}}])"""
     marked = f"regexp_replace(coalesce({text}, ''), {quoted(end)}, '\\1' || chr(1) || '\\2', 'g')"
-    marked = f"regexp_replace({marked}, '(\\p{{N}}\\.{SPACE}+)\\x01(\\p{{N}})', '\\1\\2', 'g')"
-    marked = f"regexp_replace({marked}, '((?:^|[^\\p{{L}}\\p{{N}}])\\p{{Lu}}\\.{SPACE}+)\\x01', '\\1', 'g')"
+    marked = twice(marked, rf"(\p{{N}}\.{SPACE}+)\x01(\p{{N}})", "\\1\\2")
+    marked = twice(marked, rf"((?:^|[^\p{{L}}\p{{N}}])\p{{Lu}}\.{SPACE}+)\x01", "\\1")
     cases = " ".join(
         f"WHEN {language} = '{lang}' THEN {glued(marked, lang)}" for lang in ("en", "de", "pl", "fr")
     )
