@@ -19,6 +19,16 @@ def sql_in(name: str, values: Iterable[str]) -> str:
     return f"{name} IN ({listed})" if listed else "false"
 
 
+def count_listed(words: Column, listed: Iterable[str], form: str = "word") -> Column:
+    """Number of entries of an array that occur in a list, each in the `form` given as SQL over `word`."""
+    return F.size(keep_listed(words, listed, form))
+
+
+def keep_listed(words: Column, listed: Iterable[str], form: str = "word") -> Column:
+    """Entries of an array that occur in a list. The list is SQL text: one call, however many words it has."""
+    return F.call_function("filter", words, F.expr(f"word -> {sql_in(form, listed)}"))
+
+
 def string_map(pairs: dict[str, str]) -> Column:
     """A constant map column; Catalyst folds it once."""
     if not pairs:

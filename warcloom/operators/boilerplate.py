@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from warcloom.fixed_values import BOILERPLATE_BASE, BOILERPLATE_FALLBACKS, DEFAULT_LANGUAGE
 from warcloom.functions.binding import let
+from warcloom.functions.literals import count_listed
 from warcloom.functions.markup import block_markup, marked_blocks
 from warcloom.functions.texts import decode_entities
 from warcloom.operators.language import Stoplists
@@ -25,11 +26,11 @@ def blocks_of(cleaned: Column, language: Column, stoplists: Stoplists) -> Column
     gives null.
     """
 
-    def is_stopword(lang: Column, word: Column) -> Column:
-        found = F.lit(False)
+    def n_stopwords(lang: Column, words: Column) -> Column:
+        counted = F.lit(0)
         for name, listed in stoplists.items():
-            found = F.when(lang == name, word.isin(listed)).otherwise(found)
-        return found
+            counted = F.when(lang == name, count_listed(words, listed, "lower(word)")).otherwise(counted)
+        return counted
 
     def features(block: Column, lang: Column) -> Column:
         return let(
@@ -39,7 +40,7 @@ def blocks_of(cleaned: Column, language: Column, stoplists: Stoplists) -> Column
                 F.length(block["text"]).alias("length"),
                 F.length(block["link_text"]).alias("link_length"),
                 F.size(words).alias("n_words"),
-                F.size(F.filter(words, lambda word: is_stopword(lang, F.lower(word)))).alias("n_stopwords"),
+                n_stopwords(lang, words).alias("n_stopwords"),
             ),
         )
 

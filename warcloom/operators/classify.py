@@ -37,10 +37,8 @@ def class_scores(
     The model may have any size, so the join carries no hint: AQE broadcasts a model it measures small, and splits the
     partition of a frequent term otherwise. Each task sums up its own texts before the shuffle.
     """
-    wanted = texts.filter(F.size(tokens) > 0)
-    if language is not None:
-        wanted = wanted.filter(F.col(language) == only_language)
-    terms = wanted.select(key, F.explode(tokens).alias("term"))
+    wanted = texts if language is None else texts.filter(F.col(language) == only_language)
+    terms = wanted.select(key, F.explode_outer(tokens).alias("term")).filter("term IS NOT NULL")
     return (
         terms.join(model.join(bias, "class"), "term", "left")
         .groupBy(key, "class")
@@ -91,20 +89,24 @@ def fit_linear_model(
     counts = (
         texts.select(key, tokens)
         .join(classes, key)
-        .select(F.explode(tokens).alias("term"), everything.alias("classes"))
-        .select("term", F.explode("classes").alias("class"))
+        .select(F.explode_outer(tokens).alias("term"), everything.alias("classes"))
+        .filter("term IS NOT NULL")
+        .select("term", F.explode_outer("classes").alias("class"))
         .groupBy("class", "term")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    inside = counts.filter("class IS NOT NULL").withColumnRenamed("n", "n_in")
-    overall = counts.filter("class IS NULL").select("term", F.col("n").alias("n_all"))
-    totals = inside.groupBy("class").agg(F.sum("n_in").alias("t_in"))
-    t_all = overall.agg(F.sum("n_all")).scalar()
-    added = smoothing * overall.agg(F.count(F.lit(1))).scalar()
+    # both uses below read all counts, so Spark computes and shuffles them once
+    totals = counts.groupBy("class").agg(F.sum("n").alias("t_in"), F.count(F.lit(1)).alias("n_terms"))
+    of_all = totals.agg(
+        F.max(F.when(F.col("class").isNull(), F.struct(F.col("t_in").alias("t"), F.col("n_terms").alias("n"))))
+    ).scalar()
+    overall = F.max(F.when(F.col("class").isNull(), F.col("n"))).over(Window.partitionBy("term"))
+    inside = counts.withColumn("n_all", overall).filter("class IS NOT NULL").withColumnRenamed("n", "n_in")
+    added = smoothing * of_all["n"]
     weight = F.log((F.col("n_in") + smoothing) / (F.col("t_in") + added)) - F.log(
-        (F.col("n_all") - F.col("n_in") + smoothing) / (t_all - F.col("t_in") + added)
+        (F.col("n_all") - F.col("n_in") + smoothing) / (of_all["t"] - F.col("t_in") + added)
     )
-    model = inside.join(overall, "term").join(totals, "class").select("class", "term", weight.alias("weight"))
+    model = inside.join(totals, "class").select("class", "term", weight.alias("weight"))
     n_texts = classes.agg(F.count(F.lit(1))).scalar()
     n_class = F.count(F.lit(1))
     bias = labels.groupBy("class").agg(

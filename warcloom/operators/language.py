@@ -14,6 +14,7 @@ from warcloom.fixed_values import (
     STOPLIST_STRIP_CHARS,
 )
 from warcloom.functions.binding import let
+from warcloom.functions.literals import count_listed, keep_listed
 from warcloom.functions.texts import SPACE
 from warcloom.functions.tokens import normalised_words
 from warcloom.operators.ranking import top_n_per_group
@@ -70,7 +71,7 @@ def language_of(
         return F.array(
             *(
                 F.struct(
-                    F.size(F.filter(found, _is_in(listed))).alias("n"),
+                    count_listed(found, listed).alias("n"),
                     F.lit(-position).alias("position"),
                     F.lit(lang).alias("lang"),
                 )
@@ -80,18 +81,13 @@ def language_of(
 
     def chosen(words: Column) -> Column:
         least = F.greatest(F.lit(float(min_count)), F.size(words) * F.lit(min_ratio))
-        guesses = let(F.filter(words, _is_in(everything)), counts)
+        guesses = let(keep_listed(words, everything), counts)
         usable = F.filter(guesses, lambda guess: (guess["n"] > 0) & (guess["n"] >= least))
         return F.array_max(usable)["lang"]
 
     return let(normalised_words(text), chosen)
 
 
-def _is_in(listed: list[str]):
-    """Predicate of a word list; Catalyst makes one hash lookup of it, whatever the length of the list."""
-    return lambda word: word.isin(listed)
-
-
 def corpus_words(
     corpus: DataFrame,
     text: Column,
@@ -100,7 +96,7 @@ def corpus_words(
     strip_chars: str = STOPLIST_STRIP_CHARS,
 ) -> DataFrame:
     """Words of a corpus as rows (lang, word): stripped of `strip_chars`, in lower case, without ignored ones."""
-    split = corpus.select(lang.alias("lang"), F.explode(F.split(text, SPACE + "+")).alias("raw"))
+    split = corpus.select(lang.alias("lang"), F.explode_outer(F.split(text, SPACE + "+")).alias("raw"))
     words = split.select("lang", F.lower(F.btrim("raw", F.lit(strip_chars))).alias("word")).filter("word != ''")
     for name, listed in ignored.items():
         words = words.filter((F.col("lang") != name) | ~F.col("word").isin(listed) | F.col("lang").isNull())

@@ -156,9 +156,9 @@ SELECT page_id, place - 1 AS pos, regexp_extract(url, '^[a-z]+://[^/?#]+', 0) ||
 )
 def page_links(spark, sf_dir):
     links = cleaned_pages(spark, sf_dir).select(
-        "page_id", F.posexplode(absolute_links(F.col("cleaned"), F.col("url"))).alias("pos", "link")
+        "page_id", F.posexplode_outer(absolute_links(F.col("cleaned"), F.col("url"))).alias("pos", "link")
     )
-    return links.select("page_id", F.col("pos").cast("bigint").alias("pos"), "link")
+    return links.filter("pos IS NOT NULL").select("page_id", F.col("pos").cast("bigint").alias("pos"), "link")
 
 
 @query(
@@ -166,9 +166,9 @@ def page_links(spark, sf_dir):
 SELECT page_id, pos, text, length, link_length, n_words, n_stopwords FROM blocks"""
 )
 def boilerplate_blocks(spark, sf_dir):
-    blocks = pages_with_blocks(spark, sf_dir).select("page_id", F.posexplode("blocks").alias("pos", "b"))
+    blocks = pages_with_blocks(spark, sf_dir).select("page_id", F.posexplode_outer("blocks").alias("pos", "b"))
     numbers = [F.col(f"b.{name}").cast("bigint").alias(name) for name in ["length", "link_length", "n_words", "n_stopwords"]]
-    return blocks.select("page_id", F.col("pos").cast("bigint").alias("pos"), "b.text", *numbers)
+    return blocks.filter("pos IS NOT NULL").select("page_id", F.col("pos").cast("bigint").alias("pos"), "b.text", *numbers)
 
 
 @query(
@@ -181,8 +181,8 @@ def boilerplate_classes(spark, sf_dir):
         classes_of(F.col("blocks")).alias("classes"),
         classes_of(F.col("blocks"), BOILERPLATE_BASE | {"max_good_distance": 20}).alias("far_classes"),
     )
-    zipped = both.select("page_id", F.posexplode(F.arrays_zip("classes", "far_classes")).alias("pos", "c"))
-    return zipped.select(
+    zipped = both.select("page_id", F.posexplode_outer(F.arrays_zip("classes", "far_classes")).alias("pos", "c"))
+    return zipped.filter("pos IS NOT NULL").select(
         "page_id",
         F.col("pos").cast("bigint").alias("pos"),
         F.col("c.classes").alias("class"),
