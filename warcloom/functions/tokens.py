@@ -53,12 +53,12 @@ def tokenizer_language(language: Column) -> Column:
 def _boundary(language: str) -> str:
     """Pattern of the end of a sentence with the whitespace after it; what follows is only looked at."""
     listed = "|".join(re.escape(word) for word in ABBREVIATIONS[language].split())
-    closing = r"[\"'»”)\]]"
+    closing, opening = r"[\"'»”)\]]", r"[\"'„“‘«(\[]"
     start = r"(?:^|[^\p{L}\p{N}])"
     stop = rf"(?<!{start}(?iu:{listed}))(?<!{start}\p{{Lu}})\."
     return (
-        rf"(?=[.!?])(?:(?:[!?]{closing}*|\.{closing}+){SPACE}+(?=[\p{{Lu}}\p{{N}}])"
-        rf"|{stop}{SPACE}+(?=\p{{Lu}}|(?<!\p{{N}}\.{SPACE}{{1,100}})\p{{N}}))"
+        rf"(?=[.!?])(?:(?:[!?]{closing}*|\.{closing}+){SPACE}+(?={opening}*[\p{{Lu}}\p{{N}}])"
+        rf"|{stop}{SPACE}+(?={opening}*\p{{Lu}}|{opening}+\p{{N}}|(?<!\p{{N}}\.{SPACE}{{1,100}})\p{{N}}))"
     )
 
 
@@ -74,8 +74,8 @@ def _by_language(language: Column, rule: Callable[[str], Column]) -> Column:
 def sentences(text: Column, language: Column) -> Column:
     """Sentences of a text.
 
-    A sentence ends at `.`, `!` or `?` before whitespace and an upper-case letter or digit, but not after an
-    abbreviation of the language, an initial, or a number before another number.
+    A sentence ends at `.`, `!` or `?`, quotes included, before whitespace and an upper-case letter or digit, quoted or
+    not; but not after an abbreviation of the language, an initial, or a number before another number.
     """
 
     def marked(source: Column, lang: Column) -> Column:

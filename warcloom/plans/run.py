@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from warcloom.fixed_values import MIME_GROUPS
 from warcloom.operators import gates, output, registry
 from warcloom.operators.records import normalise, normalisation_errors
 from warcloom.plans.steps import Step, run_steps
@@ -27,14 +28,21 @@ class Run:
 def process(
     records: DataFrame, sequences: Mapping[str, Sequence[Step]], ids: DataFrame | None = None
 ) -> Run:
-    """Gate normalised records and run their steps."""
+    """Gate normalised records and run their steps.
+
+    Types without a sequence fail the MIME type gate; types are tried in the order of `sequences`.
+    """
+    unknown = [group for group in sequences if group not in MIME_GROUPS]
+    if unknown:
+        raise ValueError(f"record type {unknown[0]!r} is not supported")
+    groups = {group: MIME_GROUPS[group] for group in sequences}
     listed = records
     if ids is not None and not ids.isEmpty():
         marked = ids.select("id").withColumn("_listed", F.lit(True))
         listed = records.join(marked, "id", "left").withColumn("_listed", F.coalesce("_listed", F.lit(False)))
-        gated = gates.with_gates(listed, listed=F.col("_listed")).drop("_listed")
+        gated = gates.with_gates(listed, groups, F.col("_listed")).drop("_listed")
     else:
-        gated = gates.with_gates(listed)
+        gated = gates.with_gates(listed, groups)
     return Run(gated, run_steps(gates.passed(gated), sequences))
 
 

@@ -190,7 +190,7 @@ def sentence_pieces(text: str, language: str) -> str:
             source = f"regexp_replace({source}, {quoted(pattern)}, '{kept}', 'g')"
         return source
 
-    end = rf"""([.!?]["'»”)\]]*{SPACE}+)([\p{{Lu}}\p{{N}}])"""
+    end = rf"""([.!?]["'»”)\]]*{SPACE}+)(["'„“‘«(\[]*[\p{{Lu}}\p{{N}}])"""
     marked = f"regexp_replace(coalesce({text}, ''), {quoted(end)}, '\\1' || chr(1) || '\\2', 'g')"
     marked = twice(marked, rf"(\p{{N}}\.{SPACE}+)\x01(\p{{N}})", "\\1\\2")
     marked = twice(marked, rf"((?:^|[^\p{{L}}\p{{N}}])\p{{Lu}}\.{SPACE}+)\x01", "\\1")

@@ -176,6 +176,8 @@ class _RecordStream:
 
     def next_record(self) -> int | None:
         """Go to the next record and return its offset; None at the end of file or range."""
+        if self.position >= self.end and not self.buffer and self.engine is None:
+            return None
         while True:
             stripped = self.buffer.lstrip(b"\r\n")
             self._used(len(self.buffer) - len(stripped))
