@@ -50,7 +50,7 @@ def sequences():
 
 def test_run_over_files(spark, archive):
     run = process_warcs(spark, archive, sequences())
-    assert {r["reason"]: r["n_records"] for r in gate_report(run.gated).collect()} == {
+    assert {r["reason"]: r["n_records"] for r in gate_report(run.results).collect()} == {
         "kept": 4,
         "mime type": 1,
         "invalid record": 1,
@@ -73,7 +73,7 @@ def test_run_with_id_list(spark, archive):
     ids = spark.createDataFrame([("urn:uuid:1",), ("urn:uuid:9",)], "id string")
     run = process_warcs(spark, archive, sequences(), ids)
     assert [r["id"] for r in run.processed.select("id").collect()] == ["urn:uuid:1"]
-    assert {r["reason"]: r["n_records"] for r in gate_report(run.gated).collect()} == {"kept": 1, "not listed": 5}
+    assert {r["reason"]: r["n_records"] for r in gate_report(run.results).collect()} == {"kept": 1, "not listed": 5}
     empty = spark.createDataFrame([], "id string")
     rows = spark.createDataFrame([("a",)], "id string")
     assert only_ids(rows, empty).count() == 1 and only_ids(rows, ids).count() == 0
@@ -217,3 +217,24 @@ def test_point_reads_reach_the_scan(spark, tmp_path):
     assert "EqualTo(key,0042)" in plan and registry.get_row(stored, "0042").first()["v"] == 42
     scan = registry.prefix_scan(stored, "004")
     assert "StringStartsWith(key,004)" in scan._jdf.queryExecution().executedPlan().toString() and scan.count() == 10
+
+
+def test_new_files_only(spark, archive, tmp_path):
+    from warcloom.streaming.incremental import save_new_files
+
+    main, harvests, runs, checkpoint = (str(tmp_path / name) for name in ("main", "harvests", "runs", "checkpoint"))
+    for _ in range(2):
+        save_new_files(spark, archive, sequences(), main, harvests, runs, checkpoint)
+    assert spark.read.parquet(main).count() == 4
+    later = tmp_path / "Test-2020-02-20200201000000000-00001-1~crawler.warc.gz"
+    later.write_bytes(gzip.compress(record("response", 77, PAGE)))
+    save_new_files(spark, archive, sequences(), main, harvests, runs, checkpoint)
+    assert spark.read.parquet(main).count() == 5 and spark.read.parquet(harvests).count() == 2
+
+
+def test_failed_run_is_logged(spark, archive, tmp_path):
+    main, harvests, runs = (str(tmp_path / name) for name in ("main", "harvests", "runs"))
+    (tmp_path / "main").write_text("in the way")
+    with pytest.raises(Exception):
+        save_run(spark, archive, sequences(), main, harvests, runs)
+    assert [r["operation_status"] for r in spark.read.parquet(runs).collect()] == ["failed"]

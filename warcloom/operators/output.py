@@ -60,8 +60,13 @@ def write_csv(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def write_table(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Parquet sorted by key within each file, so point and prefix reads skip most of a table."""
-    rows.repartitionByRange("key").sortWithinPartitions("key").write.mode(mode).parquet(path)
+    """Parquet with keys sorted within each file and a Bloom filter over them.
+
+    Rows stay in their partitions, so a large table is written without a shuffle; a point read skips every row group
+    whose filter or range excludes the key.
+    """
+    sorted_rows = rows.sortWithinPartitions("key")
+    sorted_rows.write.mode(mode).option("parquet.bloom.filter.enabled#key", "true").parquet(path)
 
 
 def upsert(stored: DataFrame, batch: DataFrame, key: str = "key", version: str | None = None) -> DataFrame:

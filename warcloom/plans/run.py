@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warcloom.fixed_values import MIME_GROUPS
+from warcloom.fixed_values import DROPPED_FIELDS, MIME_GROUPS
 from warcloom.operators import gates, output, registry
 from warcloom.operators.records import normalise, normalisation_errors
 from warcloom.plans.steps import Step, run_steps
@@ -21,8 +23,12 @@ from warcloom.sources.warc import scan
 class Run:
     """Lazy results of a run."""
 
-    gated: DataFrame  # every scanned record with its drop reason
-    processed: DataFrame  # records that passed, with the columns of their steps
+    results: DataFrame  # every scanned record with its drop reason and, if it passed, the columns of its steps
+
+    @property
+    def processed(self) -> DataFrame:
+        """Records that passed all gates."""
+        return gates.passed(self.results)
 
 
 def process(
@@ -43,7 +49,7 @@ def process(
         gated = gates.with_gates(listed, groups, F.col("_listed")).drop("_listed")
     else:
         gated = gates.with_gates(listed, groups)
-    return Run(gated, run_steps(gates.passed(gated), sequences))
+    return Run(run_steps(gated, sequences, F.col("drop_reason").isNull()))
 
 
 def process_warcs(
@@ -72,26 +78,40 @@ def save_run(
 ) -> DataFrame:
     """Process WARC files into tables: `main` rows, new `harvests`, and one row of `runs`, which is returned.
 
-    Scanned records are written once to the shared folder before they are used three times, so a lost executor costs
-    only its own part, and nothing is scanned twice. `main` receives rows by append; `output.upsert` makes one table
-    of it and an older one.
+    Files are scanned and pages extracted once: results, without payloads, go to the shared folder, and all tables are
+    made from there. A lost executor costs only its own part. `main` receives rows by append; `output.upsert` makes one
+    table of it and an older one.
     """
-    configure(spark)
+    return save_results(spark, process_warcs(spark, glob, sequences, ids), main, harvests, runs, args)
+
+
+def save_results(spark: SparkSession, run: Run, main: str, harvests: str, runs: str, args: str = "") -> DataFrame:
+    """Store the results of a run, see `save_run`. A run that fails leaves a row with the status `failed`."""
     started = int(time.time() * 1000)
-    run_id = f"run-{started}"
-    records = normalise(scan(spark, glob)).withColumn("errors", normalisation_errors())
-    kept = shared_folder(spark, "records")
-    records.filter(gates.wanted_type(F.col("warc_type")) | F.col("scan_error").isNotNull()).write.parquet(kept)
-    run = process(spark.read.parquet(kept), sequences, ids)
+    run_id = f"run-{started}-{uuid.uuid4().hex[:8]}"
+
+    def log(counts: DataFrame, status: str) -> None:
+        row = registry.run_row(counts, run_id, args, started, int(time.time() * 1000), status)
+        row.write.mode("append").parquet(runs)
 
-    output.write_table(output.decompose(run.processed), main, "append")
     try:
-        known = spark.read.schema("hid string, type string, date string").parquet(harvests)
-        known.isEmpty()
+        kept = shared_folder(spark, "results")
+        run.results.drop(*DROPPED_FIELDS).write.parquet(kept)
+        results = spark.read.parquet(kept)
+        output.write_table(output.decompose(gates.passed(results)), main, "append")
+        known = stored_table(spark, harvests, "hid string, type string, date string")
+        registry.new_harvests(registry.registered(results), known).write.mode("append").parquet(harvests)
+        log(registry.run_counts(results, F.col("scan_error").isNotNull()), "finished")
     except Exception:
-        known = spark.createDataFrame([], "hid string, type string, date string")
-    registry.new_harvests(registry.registered(run.gated), known).write.mode("append").parquet(harvests)
-    counts = registry.run_counts(run.gated, F.col("scan_error").isNotNull())
-    row = registry.run_row(counts, run_id, args, started, int(time.time() * 1000), "finished")
-    row.write.mode("append").parquet(runs)
+        nothing = "0L AS records_processed, 0L AS records_failed, cast(array() AS array<string>) AS harvests"
+        log(spark.sql(f"SELECT {nothing}"), "failed")
+        raise
     return spark.read.parquet(runs).filter(F.col("run_id") == run_id)
+
+
+def stored_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A stored table, or an empty one if nothing is stored yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)

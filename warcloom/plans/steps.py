@@ -90,24 +90,35 @@ def parse_sequence(text: str, steps: Mapping[str, Step], groups: Mapping[str, st
     return group, [steps[name] for name in chosen]
 
 
-def run_steps(records: DataFrame, sequences: Mapping[str, Sequence[Step]]) -> DataFrame:
+def run_steps(
+    records: DataFrame, sequences: Mapping[str, Sequence[Step]], condition: Column | None = None
+) -> DataFrame:
     """Apply to every record the steps of its `mime_group`; records of groups without a sequence are dropped.
 
-    An empty sequence keeps its records unprocessed, and so does a revisit.
+    An empty sequence keeps its records unprocessed, and so does a revisit. With a `condition`, no record is dropped,
+    and those that do not meet it stay as they are.
     """
-    done = records.filter(F.col("mime_group").isin(list(sequences)))
+    done = records.filter(F.col("mime_group").isin(list(sequences))) if condition is None else records
+    meant = F.lit(True) if condition is None else condition
+    for step, groups in _in_order(sequences):
+        done = apply_step(done, step, meant & F.col("mime_group").isin(groups) & ~F.col("is_revisit"))
+    return done
+
+
+def _in_order(sequences: Mapping[str, Sequence[Step]]) -> list[tuple[Step, list[str]]]:
+    """Steps with their groups, by position; a step that several groups have at one position comes once."""
     planned: list[tuple[Step, list[str]]] = []
     for position in range(max((len(steps) for steps in sequences.values()), default=0)):
+        here: list[tuple[Step, list[str]]] = []
         for group, steps in sequences.items():
             if position < len(steps):
-                same = [entry for entry in planned[-len(sequences) :] if entry[0] is steps[position]]
-                if same and all(position < len(sequences[g]) and sequences[g][position] is same[0][0] for g in same[0][1]):
-                    same[0][1].append(group)
+                shared = next((groups for step, groups in here if step is steps[position]), None)
+                if shared is None:
+                    here.append((steps[position], [group]))
                 else:
-                    planned.append((steps[position], [group]))
-    for step, groups in planned:
-        done = apply_step(done, step, F.col("mime_group").isin(groups) & ~F.col("is_revisit"))
-    return done
+                    shared.append(group)
+        planned += here
+    return planned
 
 
 def apply_step(records: DataFrame, step: Step, active: Column) -> DataFrame:

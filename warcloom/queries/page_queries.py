@@ -192,14 +192,14 @@ def boilerplate_classes(spark, sf_dir):
 
 @query(
     f"""WITH {page_blocks(STOPLIST_WORDS)}, {PLAIN_TEXT}
-SELECT page_id, max(setting) AS setting, count(*) FILTER (WHERE class = 'good') AS n_good FROM chosen GROUP BY page_id"""
+SELECT page_id, max(setting) AS setting, count(*) FILTER (WHERE class = 'good') AS n_good
+FROM pages LEFT JOIN chosen USING (page_id) GROUP BY page_id"""
 )
 def boilerplate_fallback(spark, sf_dir):
     chosen = pages_with_blocks(spark, sf_dir).select("page_id", with_fallback(F.col("blocks")).alias("chosen"))
-    return chosen.filter(F.size("chosen.classes") > 0).select(
-        "page_id",
-        F.col("chosen.setting").alias("setting"),
-        F.size(F.filter("chosen.classes", lambda c: c == "good")).cast("bigint").alias("n_good"),
+    n_good = F.size(F.filter("chosen.classes", lambda c: c == "good")).cast("bigint")
+    return chosen.select(
+        "page_id", F.col("chosen.setting").alias("setting"), F.coalesce(n_good, F.lit(0)).alias("n_good")
     )
 
 

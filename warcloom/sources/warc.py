@@ -51,7 +51,16 @@ def scan(
     unreadable file, or a corrupt record, ends that file or range; the rows before it stay, and one row with
     `scan_error` and no headers tells about it.
     """
-    listed = files(spark, glob)
+    return scan_files(files(spark, glob), record_types, max_record_bytes, split_bytes)
+
+
+def scan_files(
+    listed: DataFrame,
+    record_types: Iterable[str] = RECORD_TYPES,
+    max_record_bytes: int = MAX_RECORD_BYTES,
+    split_bytes: int = 512 << 20,
+) -> DataFrame:
+    """`scan` over files given as rows (path, length)."""
     last = F.when(F.col("path").endswith(".gz"), F.greatest(F.col("length") - 1, F.lit(0))).otherwise(F.lit(0))
     ranges = listed.select(
         "path", "length", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(split_bytes).cast("long"))).alias("start")
