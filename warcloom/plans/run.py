@@ -15,7 +15,7 @@ from warcloom.fixed_values import DROPPED_FIELDS, MIME_GROUPS
 from warcloom.operators import gates, output, registry
 from warcloom.operators.records import normalise, normalisation_errors
 from warcloom.plans.steps import Step, run_steps
-from warcloom.session import configure, shared_folder
+from warcloom.session import configure, stored
 from warcloom.sources.warc import scan
 
 
@@ -95,9 +95,7 @@ def save_results(spark: SparkSession, run: Run, main: str, harvests: str, runs:
         row.write.mode("append").parquet(runs)
 
     try:
-        kept = shared_folder(spark, "results")
-        run.results.drop(*DROPPED_FIELDS).write.parquet(kept)
-        results = spark.read.parquet(kept)
+        results = stored(run.results.drop(*DROPPED_FIELDS), "results")
         output.write_table(output.decompose(gates.passed(results)), main, "append")
         known = stored_table(spark, harvests, "hid string, type string, date string")
         registry.new_harvests(registry.registered(results), known).write.mode("append").parquet(harvests)

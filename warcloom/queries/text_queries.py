@@ -19,6 +19,7 @@ from warcloom.queries.oracle_parts import (
     text_statistics,
     token_list,
 )
+from warcloom.session import stored
 from warcloom.sources.listing import stoplist_words
 
 
@@ -192,7 +193,8 @@ def _tokenised(spark, sf_dir):
 
 
 def _scored(texts, labels):
-    model, bias = classify.fit_linear_model(texts, "doc_id", "tokens", labels)
+    # a model is stored once and then used, as a trained one would be
+    model, bias = (stored(part, "model") for part in classify.fit_linear_model(texts, "doc_id", "tokens", labels))
     return classify.class_scores(texts, "doc_id", "tokens", model, bias, "lang", "en"), bias
 
 

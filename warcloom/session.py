@@ -60,3 +60,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="warcloom-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame, purpose: str) -> DataFrame:
+    """Rows written to the shared folder and read back: computed once, lineage cut, size known to the optimizer."""
+    path = shared_folder(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
