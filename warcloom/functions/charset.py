@@ -19,6 +19,8 @@ from warcloom.functions.binding import let
 from warcloom.functions.headers import charset_parameter
 from warcloom.functions.literals import string_map
 
+# the intersection keeps other ASCII characters from being compared with every accented letter
+_CZECH = f"[a-zA-Z[[^\\x00-\\x7f]&&[{CZECH_LETTERS}]]]+"
 REPLACEMENT = "�"
 
 
@@ -94,7 +96,7 @@ def guess_charset(
 
     def score(text: Column, position: Column) -> Column:
         size = F.nullif(F.length(text), F.lit(0))
-        letters = F.length(text) - F.length(F.regexp_replace(text, f"[{CZECH_LETTERS}]+", ""))
+        letters = F.length(text) - F.length(F.regexp_replace(text, _CZECH, ""))
         return F.struct(
             (letters / size).alias("letters"),
             (-decode_errors(text) / size).alias("errors"),

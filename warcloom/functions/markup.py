@@ -12,20 +12,32 @@ from warcloom.functions.texts import decode_entities, normalise, squeeze
 from warcloom.functions.urls import has_scheme_and_host, resolve
 
 TAG = r"</?[a-zA-Z!?][^>]*>"
+_TAG_REST = r"/?[a-zA-Z!?][^>]*>"
 
 # Marks put in place of tags while a page is cut into blocks.
 BLOCK, LINK_START, LINK_END = "\u0001", "\u0002", "\u0003"
 
 
+def _any_of(*rests: str) -> str:
+    """Pattern of what may follow one `<`, which is looked for first: most of a page is no markup."""
+    return f"(?is)<(?:{'|'.join(rests)})"
+
+
 def _element(name: str) -> str:
-    return rf"<{name}\b[^>]*>.*?(?:</{name}\s*>|\z)"
+    """An element with its content, without its first `<`."""
+    return rf"{name}\b[^>]*>.*?(?:</{name}\s*>|\z)"
+
+
+def _without(text: Column, *characters: str) -> Column:
+    for character in characters:
+        text = F.replace(text, F.lit(character), F.lit(""))
+    return text
 
 
 def clean(html: Column) -> Column:
     """A page without comments, scripts and styles."""
-    pattern = "|".join([r"<!--.*?(?:-->|\z)", _element("script"), _element("style")])
-    marks = F.translate(html, BLOCK + LINK_START + LINK_END, "")
-    return F.regexp_replace(marks, f"(?is){pattern}", "")
+    pattern = _any_of(r"!--.*?(?:-->|\z)", _element("script"), _element("style"))
+    return F.regexp_replace(_without(html, BLOCK, LINK_START, LINK_END), pattern, "")
 
 
 def visible_markup(cleaned: Column) -> Column:
@@ -33,8 +45,7 @@ def visible_markup(cleaned: Column) -> Column:
 
     Embedded objects and form controls are left out.
     """
-    pattern = "|".join(_element(name) for name in EMBEDDED_TAGS)
-    return F.regexp_replace(F.regexp_replace(cleaned, f"(?is){pattern}", ""), TAG, "")
+    return F.regexp_replace(cleaned, _any_of(*map(_element, EMBEDDED_TAGS), _TAG_REST), "")
 
 
 def title_markup(cleaned: Column) -> Column:
@@ -89,14 +100,9 @@ def absolute_links(cleaned: Column, url: Column) -> Column:
 
 def block_markup(cleaned: Column) -> Column:
     """Body of a cleaned page with marks for tags: where a block begins, where a link begins and ends."""
-    without_head = F.regexp_replace(
-        cleaned, "(?is)" + "|".join(_element(name) for name in ["head", *EMBEDDED_TAGS]), ""
-    )
-    blocks = F.regexp_replace(
-        without_head,
-        rf"(?i)</?(?:{'|'.join(BLOCK_TAGS)})(?:[\s/][^>]*)?>|<br\s*/?>\s*<br\s*/?>",
-        BLOCK,
-    )
+    without_head = F.regexp_replace(cleaned, _any_of(*map(_element, ["head", *EMBEDDED_TAGS])), "")
+    block_tag = rf"/?(?:{'|'.join(BLOCK_TAGS)})(?:[\s/][^>]*)?>"
+    blocks = F.regexp_replace(without_head, _any_of(block_tag, r"br\s*/?>\s*<br\s*/?>"), BLOCK)
     links = F.regexp_replace(blocks, r"(?i)<a(?:\s[^>]*)?>", LINK_START)
     links = F.regexp_replace(links, r"(?i)</a\s*>", LINK_END)
     return F.regexp_replace(F.regexp_replace(links, r"(?i)<br\s*/?>", " "), TAG, "")
@@ -115,13 +121,13 @@ def marked_blocks(marked: Column) -> Column:
         lambda run: F.when(
             run.startswith(LINK_START),
             F.concat(F.replace(run, F.lit(BLOCK), F.lit(LINK_END + BLOCK + LINK_START)), F.lit(LINK_END)),
-        ).otherwise(F.translate(run, LINK_END, "")),
+        ).otherwise(_without(run, LINK_END)),
     )
     link = f"{LINK_START}([^{LINK_END}]*){LINK_END}"
     blocks = F.transform(
         F.split(F.array_join(reopened, ""), BLOCK),
         lambda block: F.struct(
-            squeeze(F.translate(block, LINK_START + LINK_END, "")).alias("text"),
+            squeeze(_without(block, LINK_START, LINK_END)).alias("text"),
             squeeze(F.array_join(F.regexp_extract_all(block, F.lit(link), F.lit(1)), "")).alias("link_text"),
         ),
     )

@@ -12,6 +12,7 @@ from warcloom.functions.literals import string_map
 
 # One Unicode whitespace character, and one that is none, as regular expressions.
 SPACE = r"[\t-\r\x1c-\x20\x85\p{Z}]"
+_NO_PLAIN_SPACE = r"[\t-\r\x1c-\x1f\x85[\p{Z}&&[^ ]]]"
 NOT_SPACE = r"[^\t-\r\x1c-\x20\x85\p{Z}]"
 
 _AMPERSAND = r"&(?:amp|#0*38|#[xX]0*26);"
@@ -19,7 +20,7 @@ _AMPERSAND = r"&(?:amp|#0*38|#[xX]0*26);"
 
 def squeeze(text: Column) -> Column:
     """Whitespace runs become one space, ends are trimmed."""
-    return F.trim(F.regexp_replace(text, SPACE + "+", " "))
+    return F.trim(F.regexp_replace(text, f" {SPACE}+|{_NO_PLAIN_SPACE}{SPACE}*", " "))
 
 
 def strip_space(text: Column) -> Column:

@@ -17,9 +17,10 @@ WORD = r"^[\p{L}\p{N}_\-']+$"
 
 # Characters that carry a syllable. A few Czech and Slovak pairs form one syllable; elsewhere any run does.
 VOWELS = "aeiouyáéíóúýàèìòùâêîôûäëïöüÿãõåæœøěůąęаеёиоуыэюяіїє"
-_BOTH_CASES = VOWELS + VOWELS.upper()
-SYLLABLE_RUN = f"[{_BOTH_CASES}]+"
-SYLLABLE_SLAVIC = f"[aeoAEO][uU]|[{_BOTH_CASES}]"
+# the intersection keeps ASCII consonants from being compared with every accented vowel
+_VOWEL = f"[aeiouyAEIOUY[[^\\x00-\\x7f]&&[{VOWELS[6:]}{VOWELS[6:].upper()}]]]"
+SYLLABLE_RUN = f"{_VOWEL}+"
+SYLLABLE_SLAVIC = f"[aeoAEO][uU]|{_VOWEL}"
 SLAVIC_LANGUAGES = ["cs", "sk"]
 SYLLABLE_LANGUAGES = ["cs", "sk", "en", "de", "pl", "ru", "fr", "es", "it", "pt", "nl", "hu", "uk"]
 

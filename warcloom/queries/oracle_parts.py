@@ -211,8 +211,9 @@ def token_list(text: str) -> str:
 
 def text_statistics(source: str, key: str, text: str, language: str) -> str:
     """statistics(key, n_sentences, n_words, n_syllables, reading_ease) of every row of a table."""
-    from warcloom.functions.tokens import SYLLABLE_LANGUAGES, SYLLABLE_RUN, SYLLABLE_SLAVIC
+    from warcloom.functions.tokens import SYLLABLE_LANGUAGES, VOWELS
 
+    vowel = f"[{VOWELS}{VOWELS.upper()}]"
     known = ", ".join(f"'{lang}'" for lang in SYLLABLE_LANGUAGES if lang not in ("cs", "sk"))
     word = quoted(r"[\p{L}\p{N}_\-']+")
     return f"""valid_tokens AS (
@@ -223,7 +224,7 @@ def text_statistics(source: str, key: str, text: str, language: str) -> str:
   SELECT key, language, unnest(string_split_regex(token, '-+')) AS part FROM valid_tokens
 ), part_syllables AS (
   SELECT key, sum(greatest(1, len(CASE WHEN language IN ({known})
-    THEN regexp_extract_all(part, '{SYLLABLE_RUN}', 0) ELSE regexp_extract_all(part, '{SYLLABLE_SLAVIC}', 0) END)))
+    THEN regexp_extract_all(part, '{vowel}+', 0) ELSE regexp_extract_all(part, '[aeoAEO][uU]|{vowel}', 0) END)))
     AS n_syllables FROM word_parts GROUP BY key
 ), word_totals AS (SELECT key, count(*) AS n_words FROM valid_tokens GROUP BY key
 ), sentence_totals AS (
