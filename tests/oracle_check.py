@@ -35,7 +35,7 @@ def plain(value):
     if isinstance(value, Decimal):
         value = float(value)
     if isinstance(value, float):
-        return repr(round(value, 6) + 0.0)
+        return repr(value + 0.0)
     return repr(value)
 
 

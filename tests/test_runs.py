@@ -238,3 +238,17 @@ def test_failed_run_is_logged(spark, archive, tmp_path):
     with pytest.raises(Exception):
         save_run(spark, archive, sequences(), main, harvests, runs)
     assert [r["operation_status"] for r in spark.read.parquet(runs).collect()] == ["failed"]
+
+
+def test_undecoded_payload_is_not_extracted(spark, tmp_path):
+    try:
+        import brotli  # noqa: F401
+    except ImportError:
+        pass
+    else:
+        pytest.skip("brotli can be decoded here")
+    body = record("response", 1, PAGE, fields=["Content-Encoding: br"])
+    (tmp_path / "Test-2020-01-20200101000000000-1.warc").write_bytes(body)
+    row = process_warcs(spark, f"{tmp_path}/*.warc", sequences()).processed.first()
+    assert row["title"] is None and row["plain_text"] is None and "not decoded" in row["scan_error"]
+    assert bytes(row["content"]) == PAGE

@@ -44,7 +44,7 @@ def process(
     groups = {group: MIME_GROUPS[group] for group in sequences}
     listed = records
     if ids is not None and not ids.isEmpty():
-        marked = ids.select("id").withColumn("_listed", F.lit(True))
+        marked = ids.select("id").distinct().withColumn("_listed", F.lit(True))
         listed = records.join(marked, "id", "left").withColumn("_listed", F.coalesce("_listed", F.lit(False)))
         gated = gates.with_gates(listed, groups, F.col("_listed")).drop("_listed")
     else:

@@ -19,6 +19,7 @@ from warcloom.operators.gates import invalid_rules
 from warcloom.operators.language import Stoplists
 from warcloom.operators.page_text import with_charset, with_html, with_page_text
 from warcloom.operators.readability import with_reading_ease, with_sentences, with_tokens
+from warcloom.sources.warc import NOT_DECODED
 
 
 @dataclass(frozen=True)
@@ -35,10 +36,16 @@ def html_text(stoplists: Stoplists, block_stoplists: Stoplists | None = None) ->
     """Title, headlines, links, language and plain text from an HTML payload."""
 
     def apply(records: DataFrame) -> DataFrame:
-        typed = records.withColumn("_content_type", F.try_element_at("http_headers", F.lit("Content-Type")))
-        decoded = with_html(with_charset(typed, "content", "_content_type"))
+        encoded = F.coalesce(F.col("scan_error").endswith(NOT_DECODED), F.lit(False))
+        typed = records.withColumns(
+            {
+                "_content_type": F.try_element_at("http_headers", F.lit("Content-Type")),
+                "_payload": F.when(~encoded, F.col("content")),
+            }
+        )
+        decoded = with_html(with_charset(typed, "_payload", "_content_type"), "_payload")
         return with_page_text(decoded, stoplists, block_stoplists).drop(
-            "_content_type", "charset", "charset_origin", "decode_errors", "html"
+            "_content_type", "_payload", "charset", "charset_origin", "decode_errors", "html"
         )
 
     outputs = {

@@ -53,11 +53,13 @@ def spread(table: DataFrame) -> DataFrame:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for tables that later stages read again.
 
-    It lies in the folder the cluster shares (`spark.checkpoint.dir`), so it outlives a lost executor. Only a
-    session without that setting, as in a local test, gets a temporary folder.
+    It lies in the folder the cluster shares (`spark.checkpoint.dir`), so it outlives a lost executor. Only a local
+    session without that setting, as in a test, gets a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
         root = tempfile.mkdtemp(prefix="warcloom-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 

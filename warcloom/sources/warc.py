@@ -30,6 +30,8 @@ _ARROW_SCHEMA = pa.schema(
         ("scan_error", pa.string()),
     ]
 )
+# How `scan_error` ends for a payload whose encoding is known but has no decoder here.
+NOT_DECODED = "is not decoded"
 _CHUNK = 1 << 20
 _BATCH_BYTES = 32 << 20
 _BATCH_ROWS = 1000
@@ -271,14 +273,17 @@ def _frame_record(stream: _RecordStream, wanted: frozenset[str], limit: int) ->
     return {"rec_block": rec_block, "http_block": http_block, "content": body, "scan_error": error}
 
 
-def _decoded(body: bytes, fields: dict[str, str]) -> tuple[bytes, str | None]:
-    """Payload without transfer and content encoding; kept as it is, with a reason, where that fails."""
+def _decoded(body: bytes, fields: dict[str, str]) -> tuple[bytes | None, str | None]:
+    """Payload without transfer and content encoding; kept as it is, with a reason, where that fails.
+
+    A payload that grows beyond what a row can hold is null. It would be far above every limit of extraction.
+    """
     if fields.get("transfer-encoding", "").lower() == "chunked":
         body = _without_chunks(body)
     encoding = fields.get("content-encoding", "").lower()
     window_bits = {"gzip": [31], "x-gzip": [31], "deflate": [15, -15]}.get(encoding)
     if encoding == "br":
-        return body, "content-encoding br is not decoded"
+        return _without_brotli(body)
     if window_bits is None or not body:
         return body, None
     for bits in window_bits:
@@ -288,11 +293,22 @@ def _decoded(body: bytes, fields: dict[str, str]) -> tuple[bytes, str | None]:
         except zlib.error:
             continue
         if engine.unconsumed_tail:
-            return body, f"content-encoding {encoding} gives more than {_MAX_DECODED_BYTES} bytes"
+            return None, f"content-encoding {encoding} gives more than {_MAX_DECODED_BYTES} bytes"
         return data, None
     return body, f"content-encoding {encoding} is broken"
 
 
+def _without_brotli(body: bytes) -> tuple[bytes, str | None]:
+    try:
+        import brotli  # optional: not part of the standard library
+    except ImportError:
+        return body, f"content-encoding br {NOT_DECODED}"
+    try:
+        return brotli.decompress(body), None
+    except brotli.error:
+        return body, "content-encoding br is broken"
+
+
 def _without_chunks(body: bytes) -> bytes:
     parts, at = [], 0
     while True:
