@@ -185,6 +185,9 @@ def test_topics_with_positive_bias(spark):
     scores = classify.class_scores(texts, "k", "tokens", model, bias, "lang")
     found = {r["k"]: r["topics"] for r in classify.topics(scores, "k", bias).collect()}
     assert found == {1: ["news", "sport"], 2: ["news", "war"]}
+    # a model too large for a broadcast gives the same
+    joined = classify.class_scores(texts, "k", "tokens", model, bias, "lang", broadcast_rows=1)
+    assert sorted(map(str, joined.collect())) == sorted(map(str, scores.collect()))
 
 
 def test_sentiment_is_a_softmax_difference(spark):

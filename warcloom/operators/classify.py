@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from warcloom.fixed_values import DEFAULT_LANGUAGE, OTHER_PAGE_TYPE, PAGE_TYPE_NEEDLES
 from warcloom.functions.literals import sql_string
+from warcloom.session import stored
+
+
+# Rows of a model that an executor holds in memory without trouble, some 100 bytes each.
+BROADCAST_ROWS = 2_000_000
 
 
 def page_type(url: Column, needles: dict[str, list[str]] = PAGE_TYPE_NEEDLES, other: str = OTHER_PAGE_TYPE) -> Column:
@@ -28,19 +33,23 @@ def class_scores(
     bias: DataFrame,
     language: str | None = None,
     only_language: str = DEFAULT_LANGUAGE,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Decision scores of a linear model: rows (key, class, score) for every class that shares a term with a text.
 
     `model` has (class, term, weight), `bias` one row (class, bias) per class. A text with tokens but without any term
     of the model has one row with a null class. With `language`, texts of another language, or of none, have no row.
 
-    The model may have any size, so the join carries no hint: AQE broadcasts a model it measures small, and splits the
-    partition of a frequent term otherwise. Each task sums up its own texts before the shuffle.
+    A model of up to `broadcast_rows` rows is broadcast: then a text stays in its task, which sums it up before the only
+    shuffle. A larger model is joined by term, where AQE splits the partitions of frequent terms.
     """
     wanted = texts if language is None else texts.filter(F.col(language) == only_language)
     terms = wanted.select(key, F.explode_outer(tokens).alias("term")).filter("term IS NOT NULL")
+    weights = model.join(bias, "class")
+    if model.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        weights = F.broadcast(weights)
     return (
-        terms.join(model.join(bias, "class"), "term", "left")
+        terms.join(weights, "term", "left")
         .groupBy(key, "class")
         .agg((F.sum("weight") + F.max("bias")).alias("score"))
     )
@@ -81,7 +90,7 @@ def fit_linear_model(
     """A model for `class_scores`: weights are log-odds of a term inside and outside a class, smoothed.
 
     `labels` has distinct (key, class); a text may have several. Returns (class, term, weight) and (class, bias). Only
-    counts are needed: texts are read once, and nothing iterates.
+    counts are needed, which are stored at once in the shared folder: texts are read a single time.
     """
     classes = labels.groupBy(key).agg(F.collect_set("class").alias("classes"))
     # a null class counts every labelled text
@@ -95,7 +104,8 @@ def fit_linear_model(
         .groupBy("class", "term")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # both uses below read all counts, so Spark computes and shuffles them once
+    # everything below reads these counts, which are far smaller than the texts
+    counts = stored(counts, "term-counts")
     totals = counts.groupBy("class").agg(F.sum("n").alias("t_in"), F.count(F.lit(1)).alias("n_terms"))
     of_all = totals.agg(
         F.max(F.when(F.col("class").isNull(), F.struct(F.col("t_in").alias("t"), F.col("n_terms").alias("n"))))
