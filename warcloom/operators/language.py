@@ -15,7 +15,7 @@ from warcloom.fixed_values import (
 )
 from warcloom.functions.binding import let
 from warcloom.functions.literals import count_listed, keep_listed
-from warcloom.functions.texts import SPACE
+from warcloom.functions.texts import NOT_SPACE, SPACE
 from warcloom.functions.tokens import normalised_words
 from warcloom.operators.ranking import top_n_per_group
 
@@ -96,8 +96,11 @@ def corpus_words(
     strip_chars: str = STOPLIST_STRIP_CHARS,
 ) -> DataFrame:
     """Words of a corpus as rows (lang, word): stripped of `strip_chars`, in lower case, without ignored ones."""
-    split = corpus.select(lang.alias("lang"), F.explode_outer(F.split(text, SPACE + "+")).alias("raw"))
-    words = split.select("lang", F.lower(F.btrim("raw", F.lit(strip_chars))).alias("word")).filter("word != ''")
+    # one pass: from the first to the last character that is not stripped, in every run without whitespace
+    kept = "[^" + SPACE[1:-1] + "".join("\\" + c if c.isascii() and not c.isalnum() else c for c in strip_chars) + "]"
+    found = F.regexp_extract_all(text, F.lit(f"{kept}(?:{NOT_SPACE}*{kept})?"), F.lit(0))
+    words = corpus.select(lang.alias("lang"), F.explode_outer(found).alias("raw")).filter("raw IS NOT NULL")
+    words = words.select("lang", F.lower("raw").alias("word"))
     for name, listed in ignored.items():
         words = words.filter((F.col("lang") != name) | ~F.col("word").isin(listed) | F.col("lang").isNull())
     return words

@@ -115,7 +115,7 @@ def _open(path: str):
     if path.startswith("file:"):
         path = "/" + path[len("file:") :].lstrip("/")
         return fs.LocalFileSystem().open_input_file(path)
-    system, inner = fs.FileSystem.from_uri(path)
+    system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     return system.open_input_file(inner)
 
 
