@@ -149,6 +149,9 @@ def apply_step(records: DataFrame, step: Step, active: Column) -> DataFrame:
     after = step.apply(before)
     valid = F.size(invalid_rules(names)) == 0
     checked = after.withColumn("_use", F.col("_active") & valid)
-    result = {name: F.when(F.col("_use"), F.col(name).cast(kind)).otherwise(F.col(f"_old_{name}")) for name, kind in step.outputs.items()}
+    result = {
+        name: F.when(F.col("_use"), F.col(name).cast(kind)).otherwise(F.col(f"_old_{name}"))
+        for name, kind in step.outputs.items()
+    }
     result |= {name: F.col(f"_old_{name}") for name in step.inputs if name not in names}
     return checked.withColumns(result).drop("_active", "_use", *(f"_old_{name}" for name in saved))

@@ -92,7 +92,12 @@ def recoded_pages(spark, sf_dir):
     name = F.element_at(
         F.array(*map(F.lit, ["utf-8", "windows-1250", "ISO-8859-2", "UTF-16LE"])), (F.col("page_id") % 4 + 1).cast("int")
     )
-    return pages.select("page_id", "html", F.call_function("encode", "html", name).alias("content"), F.lit(None).cast("string").alias("content_type"))
+    return pages.select(
+        "page_id",
+        "html",
+        F.call_function("encode", "html", name).alias("content"),
+        F.lit(None).cast("string").alias("content_type"),
+    )
 
 
 @query()

@@ -54,9 +54,16 @@ def warc_scan(spark, sf_dir):
     )
 
 
+# Bytes of a record besides its URL, the digits of its length and its HTTP part: texts, a 12-digit ID, nine line ends.
+_RECORD_BYTES = 12 + 9 * len(CRLF) + len(
+    "WARC/1.0WARC-Type: responseWARC-Record-ID: <urn:uuid:>WARC-Target-URI: WARC-Date: 2015-12-24T07:11:07ZContent-Length: "
+)
+
+
 @query(
-    f"""SELECT CAST(sum(octet_length(encode({_HTTP} || html)) + length(CAST(octet_length(encode({_HTTP} || html)) AS VARCHAR))
-    + octet_length(encode(url)) + {len("WARC/1.0" + "WARC-Type: response" + "WARC-Record-ID: <urn:uuid:>" + "WARC-Target-URI: ") + len("WARC-Date: 2015-12-24T07:11:07Z" + "Content-Length: ") + 12 + 9 * 2}) AS BIGINT) AS n_bytes FROM pages"""
+    f"""WITH sizes AS (SELECT url, octet_length(encode({_HTTP} || html)) AS size FROM pages)
+SELECT CAST(sum(size + length(CAST(size AS VARCHAR)) + octet_length(encode(url)) + {_RECORD_BYTES}) AS BIGINT) AS n_bytes
+FROM sizes"""
 )
 def warc_files(spark, sf_dir):
     return files(spark, write_warcs(spark, sf_dir)).agg(F.sum("length").alias("n_bytes"))
@@ -176,7 +183,8 @@ def rollback_guard(spark, sf_dir):
 
 @query(
     ORACLE_GATED
-    + """ SELECT id, CASE WHEN NOT is_revisit THEN CAST(length(content) - length(replace(content, '<p>', '  ')) AS BIGINT) END AS n_paragraphs
+    + """ SELECT id,
+  CASE WHEN NOT is_revisit THEN CAST(length(content) - length(replace(content, '<p>', '  ')) AS BIGINT) END AS n_paragraphs
 FROM gated WHERE drop_reason IS NULL AND mime_group = 'HTML'"""
 )
 def custom_step(spark, sf_dir):

@@ -11,7 +11,6 @@ from warcloom.operators.readability import with_reading_ease
 from warcloom.queries.catalog import query, table
 from warcloom.queries.inputs import STOPLIST_WORDS, stoplist_counts, stoplists
 from warcloom.queries.oracle_parts import (
-    CORPUS_COUNTS,
     SPACE,
     language_of,
     sentence_pieces,
@@ -173,7 +172,8 @@ _MODEL = """occurrences AS (
 ), class_totals AS (SELECT class, CAST(sum(n_in) AS DOUBLE) AS t_in FROM occurrences GROUP BY class
 ), sizes AS (SELECT CAST(sum(n_all) AS DOUBLE) AS t_all, count(*) AS n_terms FROM everywhere
 ), model AS (
-  SELECT o.class, o.term, ln((n_in + 1.0::DOUBLE) / (t_in + n_terms)) - ln((n_all - n_in + 1.0::DOUBLE) / (t_all - t_in + n_terms)) AS weight
+  SELECT o.class, o.term, ln((n_in + 1.0::DOUBLE) / (t_in + n_terms))
+    - ln((n_all - n_in + 1.0::DOUBLE) / (t_all - t_in + n_terms)) AS weight
   FROM occurrences o JOIN everywhere e USING (term) JOIN class_totals c USING (class), sizes
 ), bias AS (
   SELECT class, ln((count(*) + 1.0::DOUBLE) / ((SELECT count(DISTINCT doc_id) FROM labelled) - count(*) + 1)) AS bias
@@ -209,7 +209,8 @@ FROM scores GROUP BY doc_id"""
 def topic_assign(spark, sf_dir):
     texts = _tokenised(spark, sf_dir)
     graded = table(spark, sf_dir, "labels")
-    sources = graded.select("doc_id").join(documents(spark, sf_dir), "doc_id").select("doc_id", F.col("source").alias("class"))
+    sources = graded.select("doc_id").join(documents(spark, sf_dir), "doc_id")
+    sources = sources.select("doc_id", F.col("source").alias("class"))
     labels = sources.union(graded.filter("quality = 1").select("doc_id", F.lit("quality"))).distinct()
     scores, bias = _scored(texts, labels)
     return classify.topics(scores, "doc_id", bias).select("doc_id", F.array_join("topics", ",").alias("topics"))
