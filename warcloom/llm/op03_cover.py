@@ -68,8 +68,7 @@ class _Texts:
         checks = (mix(windows(self.words.hashes, WINDOW, _OTHER)[self.where]) >> np.uint64(32)).astype(np.uint32)
         order = np.lexsort((checks, hashes))
         self.where, hashes, checks = self.where[order], hashes[order], checks[order]
-        self.new = np.ones(len(order), bool)
-        self.new[1:] = (hashes[1:] != hashes[:-1]) | (checks[1:] != checks[:-1])
+        self.new = rounds.starts_run(hashes, checks)
         self.hashes, self.checks = hashes[self.new], checks[self.new]
 
     def ask_windows(self, got: dict):
@@ -103,15 +102,6 @@ class _Texts:
 
 
 def _earliest(got: list[tuple[int, int, bytes]]):
-    """For each window asked about: does an earlier document hold it?"""
-    asked = [(part, *rounds.unpack(data)) for part, kind, data in got if kind == 1]
-    if asked:
-        hashes, checks, ids = (np.concatenate([x[k] for x in asked]) for k in (1, 2, 3))
-        order = np.lexsort((ids, checks, hashes))
-        h, c = hashes[order], checks[order]
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
-        late = np.zeros(len(h), bool)
-        late[order] = ~new
-        yield from rounds.deal(late, [(x[0], 1, len(x[1])) for x in asked])
+    """For each window asked about: does an earlier document hold it? Answers of the round before go along."""
+    yield from rounds.earliest(got, 1)
     yield from ((part, 0, data) for part, kind, data in got if kind == 0)

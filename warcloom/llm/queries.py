@@ -6,7 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from warcloom.llm import op03_cover
+from warcloom.llm import op01_suffixes, op03_cover
+
+
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op01_suffixes.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,7 +22,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_substring_dedup,)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op3_substring_dedup)}
 
 
 def all_oracles() -> dict[str, str]:

@@ -129,22 +129,40 @@ def slices(hashes: np.ndarray, buckets: int) -> Iterable[tuple[int, int, int]]:
     return [(b, a, z) for b, (a, z) in enumerate(zip(cuts, cuts[1:], strict=False)) if z > a]
 
 
-def bits(answers: dict[int, bytes], hashes: np.ndarray, buckets: int) -> np.ndarray:
-    """The bit that came back for each of the sorted hashes."""
+def bits(answers: dict[int, bytes], hashes: np.ndarray, buckets: int, which: int = 0) -> np.ndarray:
+    """The bit that came back for each of the sorted hashes; of several bits, the one asked for."""
     out = np.zeros(len(hashes), bool)
     for b, a, z in slices(hashes, buckets):
-        out[a:z] = np.unpackbits(unpack(answers[b])[0], count=z - a)
+        out[a:z] = np.unpackbits(unpack(answers[b])[which], count=z - a)
     return out
 
 
-def deal(flags: np.ndarray, to: list[tuple[int, int, int]]) -> Iterable[tuple[int, int, bytes]]:
+def deal(flags: tuple[np.ndarray, ...], to: list[tuple[int, int, int]]) -> Iterable[tuple[int, int, bytes]]:
     """Flags in the order of the letters (part, kind, length) as packed bits for each."""
     at = 0
     for part, kind, n in to:
-        yield part, kind, pack(np.packbits(flags[at : at + n]))
+        yield part, kind, pack(*(np.packbits(f[at : at + n]) for f in flags))
         at += n
 
 
+def starts_run(*columns: np.ndarray) -> np.ndarray:
+    """Which entries of sorted columns differ from the one before."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return new
+
+
+def earliest(got: list[tuple[int, int, bytes]], of: int) -> Iterable[tuple[int, int, bytes]]:
+    """For each (hash, check, id) in letters of one kind: does a smaller id come with the same hash and check?"""
+    asked = [(part, *unpack(data)) for part, kind, data in got if kind == of]
+    if asked:
+        hashes, checks, ids = (np.concatenate([x[k] for x in asked]) for k in (1, 2, 3))
+        order = np.lexsort((ids, checks, hashes))
+        late = np.zeros(len(order), bool)
+        late[order] = ~starts_run(hashes[order], checks[order])
+        yield from deal((late,), [(x[0], of, len(x[1])) for x in asked])
+
+
 def seen_elsewhere(got: list[tuple[int, int, bytes]]) -> Iterable[tuple[int, int, bytes]]:
     """For each hash asked about: does another part ask about it, too?"""
     asked = [widen(unpack(data)) for _, _, data in got]
@@ -154,4 +172,4 @@ def seen_elsewhere(got: list[tuple[int, int, bytes]]) -> Iterable[tuple[int, int
     twice = np.zeros(len(hashes), bool)
     twice[order[1:]] |= same
     twice[order[:-1]] |= same
-    yield from deal(twice, [(part, kind, len(x)) for (part, kind, _), x in zip(got, asked, strict=True)])
+    yield from deal((twice,), [(part, kind, len(x)) for (part, kind, _), x in zip(got, asked, strict=True)])
