@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from warcloom.llm import op01_suffixes, op03_cover
+from warcloom.llm import op01_suffixes, op03_cover, op07_packing
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,12 +17,16 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op03_cover.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op07_packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op3_substring_dedup)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op3_substring_dedup, op7_best_fit_packing)}
 
 
 def all_oracles() -> dict[str, str]:
