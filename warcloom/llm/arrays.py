@@ -53,11 +53,12 @@ def blocks(texts: list[bytes], most: int = BLOCK_BYTES) -> Iterator[tuple[int, i
 class Words:
     """Words (runs of bytes other than ASCII white space) of several texts.
 
-    ``hashes`` all words in order; ``counts`` by text; ``offsets`` the first word of each text, and the total at the end.
+    ``hashes`` all words in order; ``counts`` by text; ``offsets`` the first word of each text, and the total at the end;
+    ``tails``, if asked for, the last three bytes of each word as a number.
     """
 
-    def __init__(self, texts: list[bytes]):
-        hashes, counts = [], []
+    def __init__(self, texts: list[bytes], with_tails: bool = False):
+        hashes, counts, tails = [], [], []
         for a, b in blocks(texts):
             data = b"\n".join(texts[a:b]) + b"\n"
             raw = np.frombuffer(data, np.uint8)
@@ -70,14 +71,17 @@ class Words:
             hashes.append(mix((total[e] - total[s]) * down[s]))
             text_ends = np.cumsum([len(x) + 1 for x in texts[a:b]])
             counts.append(np.diff(np.searchsorted(s, text_ends), prepend=0))
+            if with_tails:
+                tail = raw[e - 1].astype(np.uint32)
+                for k in (2, 3):
+                    tail = tail * np.uint32(256) + np.where(e - s >= k, raw[np.maximum(e - k, 0)], 0).astype(np.uint32)
+                tails.append(tail)
         join = lambda xs, kind: np.concatenate(xs) if xs else np.zeros(0, kind)
         self.hashes = join(hashes, np.uint64)
+        self.tails = join(tails, np.uint32)
         self.counts = join(counts, np.int64).astype(np.int64)
         self.offsets = np.concatenate([[0], np.cumsum(self.counts)]).astype(np.int64)
 
-    def text_of(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.counts)), self.counts)
-
 
 def windows(values: np.ndarray, width: int, base: int = _WORD) -> np.ndarray:
     """Hash of values[i : i + width] for each i, by doubling; the last ``width - 1`` have no meaning."""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from warcloom.llm import op01_suffixes, op03_cover, op07_packing
+from warcloom.llm import op01_suffixes, op03_cover, op04_hidden_markov, op05_secrets, op06_language, op07_packing
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,18 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op03_cover.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op4_hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op04_hidden_markov.score(_table(spark, sf_dir, "documents"))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op05_secrets.find_secrets(_table(spark, sf_dir, "documents"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op06_language.identify(_table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op07_packing.pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -26,7 +38,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op3_substring_dedup, op7_best_fit_packing)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op3_substring_dedup, op4_hidden_markov_scores, op5_secret_scan, op6_language_id, op7_best_fit_packing)}
 
 
 def all_oracles() -> dict[str, str]:
