@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from warcloom.llm import op01_suffixes, op03_cover, op04_hidden_markov, op05_secrets, op06_language, op07_packing
+from warcloom.llm import op01_suffixes, op02_weighted_minhash, op03_cover, op04_hidden_markov, op05_secrets, op06_language, op07_packing, op10_latent_leaks
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op01_suffixes.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op2_minhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op02_weighted_minhash.classes(_table(spark, sf_dir, "documents"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op03_cover.remove_repeats(_table(spark, sf_dir, "documents"))
 
@@ -33,12 +37,28 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op07_packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_latent_leaks.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+OPERATORS = (
+    op1_suffix_dedup,
+    op2_minhash_classes,
+    op3_substring_dedup,
+    op4_hidden_markov_scores,
+    op5_secret_scan,
+    op6_language_id,
+    op7_best_fit_packing,
+    op10_benchmark_leaks,
+)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op3_substring_dedup, op4_hidden_markov_scores, op5_secret_scan, op6_language_id, op7_best_fit_packing)}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def all_oracles() -> dict[str, str]:

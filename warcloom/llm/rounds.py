@@ -67,19 +67,19 @@ def letters(rows: Iterable[tuple[int, int, int, bytes]]) -> pa.Table:
     return pa.table({f.name: pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_LETTER)}, schema=_LETTER)
 
 
-def squeeze(hashes: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Sorted 64-bit numbers as differences, in six bytes each where they fit."""
+def squeeze(hashes: np.ndarray, width: int = 6) -> tuple[np.ndarray, ...]:
+    """Sorted 64-bit numbers as differences, in ``width`` bytes each where they fit."""
     steps = np.diff(hashes, prepend=np.uint64(0))
-    if len(steps) < 2 or steps[1:].max() >= 1 << 48:
+    if len(steps) < 2 or steps[1:].max() >= 1 << 8 * width:
         return (steps,)
-    return steps[:1], np.ascontiguousarray(steps[1:].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+    return steps[:1], np.ascontiguousarray(steps[1:].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width])
 
 
-def widen(packed: tuple[np.ndarray, ...]) -> np.ndarray:
+def widen(packed: tuple[np.ndarray, ...], width: int = 6) -> np.ndarray:
     if len(packed) == 1:
         return np.cumsum(packed[0], dtype=np.uint64)
     wide = np.zeros((len(packed[1]), 8), np.uint8)
-    wide[:, :6] = packed[1]
+    wide[:, :width] = packed[1]
     return np.cumsum(np.concatenate([packed[0], wide.view("<u8").ravel()]), dtype=np.uint64)
 
 
