@@ -73,7 +73,7 @@ class _Texts:
         at = (least[starts] & _PLACE).astype(np.int64)
         new = np.flatnonzero(np.diff(at, prepend=-1))
         last = np.concatenate([new[1:], [len(at)]]).astype(np.int64)[: len(new)] - 1
-        return at[new] + base, starts[new] + base, starts[last] + base, grams[at[new]]
+        return at[new] + base, starts[new] + base, starts[last] + base, mix(grams[at[new]], 1)  # mixed again: the smallest of many are not spread evenly
 
     def ask_anchors(self):
         for b, a, z in rounds.slices(self.sorted, self.buckets):
@@ -179,9 +179,14 @@ def _later(got: list[tuple[int, int, bytes]]):
     if asked:
         hashes, sides, around, ids, seq, place = (np.concatenate([x[k] for x in asked]) for k in range(1, 7))
         order = np.lexsort((place, seq, ids))
+        flags = (np.arange(REACH + 1) <= sides[:, :1]) & (np.arange(REACH + 1) + sides[:, 1:] >= WINDOW)
+        first: dict[bytes, int] = {}
+        for k in order.tolist():
+            first.setdefault(sides[k].tobytes() + around[k].tobytes(), k)
+        order = np.fromiter(first.values(), np.int64, len(first))  # the earliest of each different context; others repeat it
+        flags[order] = False
         _, back, n = np.unique(hashes[order], return_inverse=True, return_counts=True)
         order = order[n[back] > 1]
-        flags = np.zeros((len(hashes), REACH + 1), bool)
         if len(order):
             flags[order] = _repeats(sides[order].astype(np.int64), around[order])
         at = 0
