@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from warcloom.llm import op01_suffixes, op02_weighted_minhash, op03_cover, op04_hidden_markov, op05_secrets, op06_language, op07_packing, op10_latent_leaks
+from warcloom.llm import op01_suffixes, op02_weighted_minhash, op03_cover, op04_hidden_markov, op05_secrets, op06_language, op07_packing, op08_edit_counts, op09_flat_graph, op10_latent_leaks
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +37,14 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op07_packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op8_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op08_edit_counts.count_edits(_table(spark, sf_dir, "documents"))
+
+
+def op9_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op09_flat_graph.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_latent_leaks.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -53,6 +61,8 @@ OPERATORS = (
     op5_secret_scan,
     op6_language_id,
     op7_best_fit_packing,
+    op8_edit_token_counts,
+    op9_embedding_near_duplicates,
     op10_benchmark_leaks,
 )
 
