@@ -2,12 +2,14 @@
 
 Passages are ``2 * HALF`` words of a document, one starting every ``HALF`` words; words are lower-cased (A-Z) and ASCII
 punctuation separates them. The columns of the passage matrix are the words of the benchmark items, as only they can match
-one; a column's weight is log(n / df) / sqrt(df) with df counted over all passages, so that words of few passages count
-most. Columns of more than ``COMMON`` of all passages are left out, except that each item keeps its ``LEAST`` rarest.
-
-The leading right singular vectors of the passage matrix A come from one distributed pass: every task adds up its part of
-Z = A^T A G for a Gaussian matrix G, the parts are summed by blocks of columns, and the driver finishes the decomposition
-from Z and G (Nystrom) on a matrix bounded by the items' vocabulary. Passages and items are compared by the dot product of
+one; a column's weight is log(n / df) / sqrt(df) with df counted over all half passages, so that words of few passages count
+most. Columns of more than ``COMMON`` of all half passages are left out, except that each item keeps its ``LEAST`` rarest.
+
+The leading right singular vectors of the passage matrix A come from one distributed pass of a randomised decomposition:
+every task adds up its part of Z = A^T A G, the parts are summed by blocks of columns, and the driver finishes with a matrix
+bounded by the items' vocabulary (Nystrom). G starts at the items' own vectors and ``EXTRA`` random ones: among thousands of
+rare words the spectrum is flat, and a start by chance alone finds few of the directions that the items need.
+Passages and items are compared by the dot product of
 their latent coordinates over the norms of their weights. Pairs at ``COSINE`` or more are candidates. A candidate is a leak
 if the longest common subsequence of the item and the passage with ``HALF`` words on either side covers ``COVERED`` of the
 item's words and ``ANSWER`` of its answer, the item's last quarter (four words at least).
@@ -29,9 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from warcloom.llm.arrays import Words, blocks
+from warcloom.llm.stored import free_name
 
-HALF, ITEMS, RANK, EXTRA = 32, 256, 208, 16
-COMMON, LEAST = 0.02, 12
+HALF, ITEMS, EXTRA = 32, 256, 24
+COMMON, LEAST = 0.004, 12
 COSINE, COVERED, ANSWER = 0.4, 0.6, 0.5
 BATCH_BYTES = 1 << 21
 SCHEMA = "doc_id long, item_id long, cosine double, covered double, answer_covered double"
@@ -127,7 +130,7 @@ def build(docs: DataFrame, items: list[tuple[int | None, bytes]]) -> Space | Non
         df, n = np.zeros(len(shared.value), np.int64), 0
         for _, texts in _texts(batches):
             p = _Passages(texts, shared.value)
-            df += np.bincount(p.pairs()[1], minlength=len(df))
+            df += np.bincount(np.unique(p.half * (1 << 24) + p.column) & ((1 << 24) - 1), minlength=len(df))
             n += p.total
         return {0: (df, np.array([n]))}
 
@@ -141,13 +144,17 @@ def build(docs: DataFrame, items: list[tuple[int | None, bytes]]) -> Space | Non
         keep[own[np.argsort(df[own], kind="stable")[:LEAST]]] = True
     columns, df = columns[keep], np.maximum(df[keep], 1)
     weight = (np.log(1 + n / df) / np.sqrt(df)).astype(np.float32)
-    size = min(RANK + EXTRA, len(columns))
-    gauss = np.random.default_rng(3).standard_normal((len(columns), size)).astype(np.float32)
-    shared = spark.sparkContext.broadcast((columns, weight, gauss))
+    own = [_own(w, columns) for w in words]
+    norm = np.array([max(np.sqrt((weight[x].astype(np.float64) ** 2).sum()), 1e-30) for x in own])
+    start = np.random.default_rng(3).standard_normal((len(columns), len(items) + EXTRA)).astype(np.float32) / np.float32(np.sqrt(len(columns)))
+    for k, x in enumerate(own):
+        start[:, k] = 0
+        start[x, k] = weight[x] / norm[k]
+    shared = spark.sparkContext.broadcast((columns, weight, start))
 
     def gram(batches: Iterator[pa.RecordBatch]) -> dict:
-        columns, weight, gauss = shared.value
-        weighted = gauss * weight[:, None]
+        columns, weight, start = shared.value
+        weighted = start * weight[:, None]
         z = np.zeros_like(weighted)
         for _, texts in _texts(batches):
             passage, column = _Passages(texts, columns).pairs()
@@ -157,12 +164,8 @@ def build(docs: DataFrame, items: list[tuple[int | None, bytes]]) -> Space | Non
 
     parts = _summed(docs, gram)
     z = np.concatenate([parts[k][0] for k in sorted(parts)]).astype(np.float64)
-    basis = _nystrom(z, gauss.astype(np.float64), min(RANK, size))
-    coordinates = np.zeros((len(items), basis.shape[1]))
-    for k, w in enumerate(words):
-        own = _own(w, columns)
-        norm = np.sqrt((weight[own].astype(np.float64) ** 2).sum())
-        coordinates[k] = (basis[own] * weight[own, None]).sum(axis=0) / max(norm, 1e-30)
+    basis = _nystrom(z, start.astype(np.float64))
+    coordinates = np.stack([(basis[x] * weight[x, None]).sum(axis=0) / n for x, n in zip(own, norm, strict=True)])
     return Space(columns, weight, basis.astype(np.float32), [i for i, _ in items], words, coordinates.astype(np.float32))
 
 
@@ -172,7 +175,7 @@ def _own(words: np.ndarray, columns: np.ndarray) -> np.ndarray:
 
 
 def _add_gram(z: np.ndarray, weighted: np.ndarray, weight: np.ndarray, passage: np.ndarray, column: np.ndarray) -> None:
-    """z += A^T (A gauss) for some passages, given as sorted (passage, column)."""
+    """z += A^T (A start) for some passages, given as sorted (passage, column)."""
     if not len(passage):
         return
     new = np.flatnonzero(np.diff(passage, prepend=-1))
@@ -184,15 +187,14 @@ def _add_gram(z: np.ndarray, weighted: np.ndarray, weight: np.ndarray, passage:
     z[used] += np.add.reduceat(y[row[order]], starts, axis=0) * weight[used, None]
 
 
-def _nystrom(z: np.ndarray, gauss: np.ndarray, rank: int) -> np.ndarray:
-    """Leading eigenvectors of a matrix M from z = M gauss."""
+def _nystrom(z: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Leading eigenvectors of M from z = M start; as many as the start has independent columns."""
     shift = 1e-9 * max(np.linalg.norm(z), 1e-30)
-    z = z + shift * gauss
-    values, vectors = np.linalg.eigh((gauss.T @ z + z.T @ gauss) / 2)
-    good = values > values.max() * 1e-10
-    half = z @ (vectors[:, good] / np.sqrt(values[good]))
-    left, _, _ = np.linalg.svd(half, full_matrices=False)
-    return left[:, :rank]
+    z = z + shift * start
+    values, vectors = np.linalg.eigh((start.T @ z + z.T @ start) / 2)
+    good = values > values.max() * 1e-9
+    left, _, _ = np.linalg.svd(z @ (vectors[:, good] / np.sqrt(values[good])), full_matrices=False)
+    return left
 
 
 def common_subsequence(a: list, b: list) -> int:
@@ -231,7 +233,7 @@ def _leaks(space: Space, ids: list, texts: list[bytes]) -> list[tuple]:
             item = space.item_words[k].tolist()
             at = int(p.words.offsets[t]) + (h - int(p.first[t])) * HALF
             low, high = max(at - HALF, int(p.words.offsets[t])), min(at + 3 * HALF, int(p.words.offsets[t + 1]))
-            region = p.words.hashes[low - 0 : max(high, min(at + len(item) + HALF, int(p.words.offsets[t + 1])))].tolist()
+            region = p.words.hashes[low : max(high, min(at + len(item) + HALF, int(p.words.offsets[t + 1])))].tolist()
             covered = common_subsequence(item, region) / len(item)
             answer = item[-max(4, len(item) // 4) :]
             if covered >= COVERED and (told := common_subsequence(answer, region) / len(answer)) >= ANSWER:
@@ -265,5 +267,6 @@ def _search(docs: DataFrame, space: Space) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the documents that hold an item; rows and columns as they are."""
-    leaked = find_leaks(docs, benchmark).select(F.col("doc_id").alias("leaked_id")).distinct()
-    return docs.join(leaked, F.col("doc_id").cast("long").eqNullSafe(F.col("leaked_id")), "left_anti")
+    name = free_name(docs, "leaked_id")
+    leaked = find_leaks(docs, benchmark).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(leaked, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_anti")
