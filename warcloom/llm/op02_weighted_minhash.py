@@ -6,11 +6,12 @@ other documents make up ``SIMILAR`` of its weight, since no shared weight comes
 Sketches are improved consistent weighted samples: ``BANDS`` bands of ``ROWS`` samples (shingle, quantised weight) each,
 taken over the shared shingles. Two texts at similarity 0.8 meet in some band with probability 0.995 or more.
 
-Texts that share a band are not paired with each other. Each is compared with the smallest of its band, one comparison per
-text and round, and not at all if both are in one class already. Those below ``SIMILAR`` form the band's next group, with a
-smallest of their own. What that leaves open are links between a text that fell out and a member that did not; since one
-minus the similarity is a metric, only members farther from the smallest than the text's own distance less 0.2 can be such
-partners, and those of other classes are compared, too. Verified links make classes; the smallest doc_id of each is kept.
+Texts that share a band are not paired with each other. Each is compared with the smallest of its band, first with the
+smallest of all its bands, then with those that this has not joined it to. Those that are below ``SIMILAR`` are compared
+with each other in blocks of ``BLOCK``, but not if they are in one class already. What that leaves open are links between
+a text that fell out and a member that did not; since one minus the similarity is a metric, only members farther from the
+smallest than the text's own distance less 0.2 can be such partners, and those of other classes are compared, too. Verified
+links make classes; the smallest doc_id of each is kept.
 
 Equal texts are one text throughout. Rules: null, empty and blank texts have no shingles and stay alone; so do rows without
 doc_id. Rows that share a doc_id are one document; the first (by text) is its row that is kept. An empty table gives no
@@ -24,16 +25,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from warcloom.llm import rounds
 from warcloom.llm.arrays import Words, mix, windows
 from warcloom.llm.components import components
-from warcloom.llm.stored import stored
+from warcloom.llm.stored import free_name, stored
 
 WORDS, SIMILAR = 5, 0.8
-BANDS, ROWS = 10, 4
+BANDS, ROWS, BLOCK = 10, 4, 200
 _SHORT = np.uint64((1 << 56) - 1)
 _CHUNK = 1 << 17
 ROW = "doc_id long, first_row boolean, owner long, key binary, bands array<long>, total double, vector binary"
@@ -138,7 +139,13 @@ def _sketch(text: np.ndarray, hashes: np.ndarray, weight: np.ndarray, texts: int
 def similarity(a: bytes, total_a: float, b: bytes, total_b: float) -> float:
     """Weighted Jaccard: sum of the smaller weights over sum of the larger ones."""
     (*ha, wa), (*hb, wb) = rounds.unpack(a), rounds.unpack(b)
-    ha, hb = rounds.widen(tuple(ha), 6), rounds.widen(tuple(hb), 6)
+    return _overlap((wa, rounds.widen(tuple(ha), 6), total_a), (wb, rounds.widen(tuple(hb), 6), total_b))
+
+
+def _overlap(a: tuple[np.ndarray, np.ndarray, float], b: tuple[np.ndarray, np.ndarray, float]) -> float:
+    (wa, ha, total_a), (wb, hb, total_b) = a, b
+    if min(total_a, total_b) < SIMILAR * max(total_a, total_b) - 1e-6:
+        return 0.0
     at = np.minimum(np.searchsorted(hb, ha), len(hb) - 1)
     same = hb[at] == ha
     low = float(np.minimum(wa[same], wb[at[same]]).sum(dtype=np.float64))
@@ -166,60 +173,98 @@ def classes(docs: DataFrame) -> DataFrame:
     frequency = rounds.answer(rounds.ask(rows, None, lambda p, _: _Texts(p, buckets).ask_frequency()), _frequency)
     made = stored(rounds.finish(rows, frequency, lambda p, got: _Texts(p, buckets).rows(got, n), ROW))
     first = made.where("key IS NOT NULL").groupBy("key").agg(F.min("owner").alias("text_id"))
-    member = made.select("doc_id", "first_row", "key").join(first, "key", "left").select("doc_id", "first_row", F.coalesce("text_id", "doc_id").alias("text_id"))
-    vectors = made.where("vector IS NOT NULL").join(first.select(F.col("text_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    links = _links(vectors)
-    copies = member.where("doc_id <> text_id").select(F.col("doc_id").alias("a"), F.col("text_id").alias("b"))
-    found = components(links.select("a", "b").union(copies))
-    out = member.join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
-    class_id = F.coalesce("component", "doc_id")
+    member = stored(made.select("doc_id", "first_row", "key").join(first, "key", "left").select("doc_id", "first_row", F.coalesce("text_id", "doc_id").alias("text_id")))
+    texts = member.where("doc_id = text_id").select("doc_id").distinct()
+    inside = _linked(made.where("vector IS NOT NULL").select("doc_id", "bands", "total", "vector").join(texts, "doc_id", "left_semi"))
+    out = member.join(inside.select(F.col("node").alias("text_id"), "component"), "text_id", "left")
+    class_id = F.coalesce("component", "text_id")
     kept = F.coalesce(class_id == F.col("doc_id"), F.lit(True)) & F.col("first_row")
     return out.select("doc_id", class_id.alias("class_id"), kept.alias("kept"))
 
 
-def _links(vectors: DataFrame) -> DataFrame:
-    """Verified links (a, b) that join every class; see the head of this module."""
+def _linked(vectors: DataFrame) -> DataFrame:
+    """(node, component) of the texts that have a verified link; see the head of this module."""
     spark = vectors.sparkSession
-    keys = vectors.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    lead = lambda x: x.groupBy("band", "key", "turn").agg(F.min("doc_id").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n")
-    keys = keys.withColumn("turn", F.lit(0))
-    open_ = stored(keys.join(lead(keys), ["band", "key", "turn"]))
-    checked = spark.createDataFrame([], "a long, b long, j double")
-    inside = spark.createDataFrame([], "node long, component long")
-    fringe = []
-    while True:
-        while True:  # compare with the smallest of the group, one comparison per text and pass
-            own = inside.select(F.col("node").alias("doc_id"), F.col("component").alias("doc_class"))
-            its = inside.select(F.col("node").alias("lead"), F.col("component").alias("lead_class"))
-            pairs = open_.where("doc_id <> lead").select("doc_id", "lead").distinct().join(own, "doc_id", "left").join(its, "lead", "left")
-            pairs = pairs.where("coalesce(doc_class, doc_id) <> coalesce(lead_class, lead)").select(F.col("doc_id").alias("a"), F.col("lead").alias("b"))
-            pairs = pairs.join(checked, ["a", "b"], "left_anti").groupBy("a").agg(F.min("b").alias("b"))
-            new = stored(_verified(pairs, vectors))
-            if new.isEmpty():
-                break
-            checked = stored(checked.union(new))
-            inside = components(checked.where(f"j >= {SIMILAR}"))
-        own = inside.select(F.col("node").alias("doc_id"), F.col("component").alias("doc_class"))
-        its = inside.select(F.col("node").alias("lead"), F.col("component").alias("lead_class"))
-        state = open_.join(own, "doc_id", "left").join(its, "lead", "left")
-        apart = "coalesce(doc_class, doc_id) <> coalesce(lead_class, lead)"
-        j = checked.select(F.col("a").alias("doc_id"), F.col("b").alias("lead"), "j")
-        fringe.append(stored(state.where("doc_id <> lead").join(j, ["doc_id", "lead"]).select("band", "key", "turn", "doc_id", "j", F.expr(apart).alias("out"))))
-        rest = state.where(apart).select("doc_id", "band", "key", (F.col("turn") + 1).alias("turn"))
-        open_ = stored(rest.join(lead(rest), ["band", "key", "turn"]))
-        if open_.isEmpty():
-            break
+    members = stored(_with_lead(vectors.select("doc_id", F.posexplode("bands").alias("band", "key"))))
+    others = members.where("doc_id <> lead")
+    # the smallest of each text's leads first, then those of its leads that this has not joined it to
+    checked = stored(_verified(others.groupBy(F.col("doc_id").alias("a")).agg(F.min("lead").alias("b")), vectors))
+    inside = _joined(spark.createDataFrame([], "node long, component long"), checked)
+    pairs = _apart(others.select(F.col("doc_id").alias("a"), F.col("lead").alias("b")).distinct(), inside)
+    more = stored(_verified(pairs.join(checked, ["a", "b"], "left_anti"), vectors))
+    checked, inside = checked.union(more), _joined(inside, more)
+    # texts that fell out of a group, with each other
+    state = stored(_classes_of(others, inside, "doc_id", "lead"))
+    size = state.where("class_a <> class_b").groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
+    left = state.where("class_a <> class_b").join(size, ["band", "key"])
+    left = left.select("band", "key", "doc_id", F.col("class_a").alias("class"), F.expr(f"CAST(ceil(size / {BLOCK}) AS int)").alias("blocks"))
+    left = left.withColumn("block", F.expr("CAST(pmod(xxhash64(doc_id), blocks) AS int)")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    left = left.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    found = left.join(vectors.select("doc_id", "total", "vector"), "doc_id").groupBy("band", "key", "low", "high").applyInArrow(_all_links, "a long, b long, j double")
+    inside = _joined(inside, stored(found))
+    # and with those members of the group that can be near enough
+    j = checked.select(F.col("a").alias("doc_id"), F.col("b").alias("lead"), "j")
+    group = _classes_of(others, inside, "doc_id", "lead").join(j, ["doc_id", "lead"]).withColumn("out", F.col("class_a") != F.col("class_b"))
     reach = 1 - SIMILAR
-    for group in fringe:
-        left = group.where(f"out AND j >= {1 - 2 * reach} AND j < {SIMILAR}").select("band", "key", "turn", F.col("doc_id").alias("a"), F.col("j").alias("ja"))
-        right = group.where(f"NOT out AND j >= {SIMILAR}").select("band", "key", "turn", F.col("doc_id").alias("b"), F.col("j").alias("jb"))
-        pairs = left.join(right, ["band", "key", "turn"]).where(f"(1 - jb) >= (1 - ja) - {reach}").select("a", "b").distinct()
-        pairs = pairs.join(inside.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(inside.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
-        new = stored(_verified(pairs.where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b"), vectors))
-        if not new.where(f"j >= {SIMILAR}").isEmpty():
-            checked = stored(checked.union(new))
-            inside = components(checked.where(f"j >= {SIMILAR}"))
-    return checked.where(f"j >= {SIMILAR}")
+    out = group.where(f"out AND j >= {1 - 2 * reach} AND j < {SIMILAR}").select("band", "key", F.col("doc_id").alias("a"), F.col("j").alias("ja"))
+    member = group.where(f"NOT out AND j >= {SIMILAR}").select("band", "key", F.col("doc_id").alias("b"), F.col("j").alias("jb"))
+    pairs = out.join(member, ["band", "key"]).where(f"(1 - jb) >= (1 - ja) - {reach}").select("a", "b").distinct()
+    return _joined(inside, stored(_verified(_apart(pairs, inside), vectors)))
+
+
+def _all_links(rows: pa.Table) -> pa.Table:
+    """Links that join the classes of one block of a group, or of two; pairs of one class are not compared."""
+    rows = rows.sort_by([("doc_id", "ascending")])
+    ids, block, own = (rows[c].to_pylist() for c in ("doc_id", "block", "class"))
+    weights = [(x[-1], rounds.widen(tuple(x[:-1]), 6), total) for x, total in zip(map(rounds.unpack, rows["vector"].to_pylist()), rows["total"].to_pylist(), strict=True)]
+    two = rows["low"][0].as_py() != rows["high"][0].as_py()
+    above = {c: c for c in own}
+
+    def top(c: int) -> int:
+        while above[c] != c:
+            above[c] = above[above[c]]
+            c = above[c]
+        return c
+
+    out = []
+    for i in range(len(ids)):
+        for k in range(i):
+            if (two and block[i] == block[k]) or (p := top(own[i])) == (q := top(own[k])):
+                continue
+            if (j := _overlap(weights[i], weights[k])) >= SIMILAR:
+                above[max(p, q)] = min(p, q)
+                out.append((ids[i], ids[k], j))
+    columns = list(zip(*out, strict=True)) or [()] * 3
+    return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["a", "b", "j"])
+
+
+def _with_lead(keys: DataFrame) -> DataFrame:
+    """Members of each group of two or more, with the smallest."""
+    lead = keys.groupBy("band", "key").agg(F.min("doc_id").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return keys.join(lead, ["band", "key"])
+
+
+def _classes_of(pairs: DataFrame, inside: DataFrame, a: str, b: str) -> DataFrame:
+    """pairs with class_a and class_b, a text's own id where it has no link yet."""
+    for name, out in ((a, "class_a"), (b, "class_b")):
+        own = inside.select(F.col("node").alias(name), F.col("component").alias(out))
+        pairs = pairs.join(own, name, "left").withColumn(out, F.coalesce(out, name))
+    return pairs
+
+
+def _apart(pairs: DataFrame, inside: DataFrame) -> DataFrame:
+    return _classes_of(pairs, inside, "a", "b").where("class_a <> class_b").select("a", "b")
+
+
+def _joined(inside: DataFrame, new: DataFrame) -> DataFrame:
+    """Classes after the links among newly compared pairs; only classes that a link touches take part."""
+    links = new.where(f"j >= {SIMILAR}")
+    if links.isEmpty():
+        return inside
+    merged = components(_classes_of(links, inside, "a", "b").select(F.col("class_a").alias("a"), F.col("class_b").alias("b")))
+    nodes = inside.union(merged.select("node", F.col("node").alias("component")).join(inside.select("node"), "node", "left_anti"))
+    by_class = merged.select(F.col("node").alias("component"), F.col("component").alias("now"))
+    return stored(nodes.join(by_class, "component", "left").select("node", F.coalesce("now", "component").alias("component")))
 
 
 def _frequency(got: list[tuple[int, int, bytes]]):
@@ -235,13 +280,9 @@ def _frequency(got: list[tuple[int, int, bytes]]):
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs with one document of each class; rows and columns as they are."""
-    kept = classes(docs).where("kept").select(F.col("doc_id").alias("kept_id"))
-    named = docs.withColumn("__row", F.row_number().over(_within_id()))
-    return named.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi").where("__row = 1 OR doc_id IS NULL").drop("__row")
-
-
-def _within_id():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
+    """docs with one document of each class; rows and columns as they are. Of rows that share a doc_id the first by text stays."""
+    kept, row = free_name(docs, "kept_id"), free_name(docs, "row_of_id")
+    ids = classes(docs).where("kept").select(F.col("doc_id").alias(kept)).distinct()
+    found = docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col(kept)), "left_semi")
+    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
+    return found.withColumn(row, F.row_number().over(order)).where(F.col("doc_id").isNull() | (F.col(row) == 1)).drop(row)
