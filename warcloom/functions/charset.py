@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from warcloom.fixed_values import (
     BYTE_ORDER_MARKS,
     CHARSET_ALIASES,
-    CHARSET_SAMPLE_BYTES,
     CZECH_LETTERS,
     DEFAULT_CHARSETS,
     META_CHARSET_PATTERN,
@@ -84,12 +83,12 @@ def guess_charset(
     content: Column,
     candidates: Column | None = None,
     charsets: list[str] | None = None,
-    sample_bytes: int = CHARSET_SAMPLE_BYTES,
+    sample_bytes: int | None = None,
 ) -> Column:
     """The charset that gives most Czech letters, then fewest errors, then comes first in `charsets`.
 
-    `candidates`, an array column, restricts the choice per row. Null for an empty content. All decoding stays inside
-    the row, so nothing is exploded or shuffled.
+    `candidates`, an array column, restricts the choice per row. Null for an empty content. The whole content is
+    weighed, or its first `sample_bytes`. All decoding stays inside the row, so nothing is exploded or shuffled.
     """
     charsets = DEFAULT_CHARSETS if charsets is None else charsets
     order = F.array(*map(F.lit, charsets))
@@ -111,7 +110,8 @@ def guess_charset(
         return F.get(order, (-F.array_max(usable)["position"] - 1).cast("int"))
 
     names = order if candidates is None else F.filter(candidates, lambda name: F.array_contains(order, name))
-    return let(F.substring(content, 1, sample_bytes), lambda sample: best(sample, names))
+    weighed = content if sample_bytes is None else F.substring(content, 1, sample_bytes)
+    return let(weighed, lambda sample: best(sample, names))
 
 
 def without_xml_declaration(text: Column) -> Column:
