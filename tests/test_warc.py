@@ -128,6 +128,53 @@ def test_limits_of_the_scan(spark, tmp_path):
     assert list(requests) == ["urn:uuid:1"]
 
 
+def test_broken_records_hide_no_others(spark, tmp_path):
+    five = [record("response", n, b"body %d" % n) for n in range(5)]
+    broken = {
+        "length": five[1].replace(b"Content-Length", b"Content-Size"),
+        "number": five[1].replace(b"Content-Length: ", b"Content-Length: x"),
+        "start": b"NOISE" + five[1],
+    }
+    for name, bad in broken.items():
+        parts = [five[0], bad, *five[2:]]
+        (tmp_path / f"{name}.warc").write_bytes(b"".join(parts))
+        (tmp_path / f"{name}.warc.gz").write_bytes(b"".join(map(gzip.compress, parts)))
+        for path, sizes in ((f"{name}.warc", [512 << 20]), (f"{name}.warc.gz", [512 << 20, 100, 300])):
+            for size in sizes:
+                rows = scan(spark, str(tmp_path / path), split_bytes=size).collect()
+                assert sorted(r.content for r in rows if r.content) == [b"body 0", b"body 2", b"body 3", b"body 4"]
+                assert sum(r.rec_block is None for r in rows) == 1
+
+
+def test_stacked_and_cut_encodings(spark, tmp_path):
+    text = b"first-" + b"second" * 50
+    coded = [
+        ("gzip", gzip.compress(b"first-") + gzip.compress(b"second" * 50), text, None),
+        ("gzip", gzip.compress(text)[:-12], None, "cut off"),
+        ("deflate, gzip", gzip.compress(zlib.compress(text)), text, None),
+        ("gzip, zstd", b"anything", b"anything", "is not decoded"),
+    ]
+    made = [record("response", n, body, fields=[f"Content-Encoding: {name}"]) for n, (name, body, _, _) in enumerate(coded)]
+    (tmp_path / "coded.warc").write_bytes(b"".join(made))
+    rows = scan(spark, str(tmp_path / "coded.warc")).orderBy("warc_offset").collect()
+    for row, (_, body, want, error) in zip(rows, coded, strict=True):
+        assert bytes(row.content) == (body if want is None else want)
+        assert row.scan_error is None if error is None else error in row.scan_error
+
+
+def test_dropped_records_are_counted(spark, tmp_path):
+    from warcloom.operators.gates import gate_report
+    from warcloom.plans import steps
+    from warcloom.plans.run import process_warcs
+
+    lost = record("response", 20, b"x").replace(b"Content-Length", b"Content-Size")
+    (tmp_path / "a.warc").write_bytes(b"".join([*records(), lost, record("response", 21, b"<p>last</p>")]))
+    run = process_warcs(spark, str(tmp_path / "a.warc"), {"HTML": [steps.web_page_type()]})
+    report = {r.reason: r.n_records for r in gate_report(run.results).collect()}
+    assert report["record type"] == 2 and report["unreadable"] == 1
+    assert sum(report.values()) == len(records()) + 2
+
+
 def test_lists(spark, tmp_path):
     (tmp_path / "ids.txt").write_text("  urn:uuid:1 \n\nurn:uuid:2\nurn:uuid:1\n")
     assert {r[0] for r in listing.id_list(spark, str(tmp_path / "ids.txt")).collect()} == {"urn:uuid:1", "urn:uuid:2"}

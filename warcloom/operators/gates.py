@@ -20,6 +20,9 @@ from warcloom.fixed_values import (
 from warcloom.functions.binding import let
 
 
+UNREADABLE = "unreadable"
+
+
 def wanted_type(warc_type: Column, types: list[str] = RECORD_TYPES) -> Column:
     return F.coalesce(warc_type.isin(types), F.lit(False))
 
@@ -92,11 +95,13 @@ def usable_html(content: Column, limit: int = MAX_HTML_BYTES) -> Column:
     return let(content, usable)
 
 
-def drop_reason(groups: dict[str, str] = MIME_GROUPS, listed: Column | None = None) -> Column:
-    """The first gate that stops a record, or null. `listed` tells whether an ID list names it."""
+def drop_reason(groups: dict[str, str] = MIME_GROUPS, listed: Column | None = None, unreadable: Column | None = None) -> Column:
+    """The first gate that stops a record, or null. `listed` tells whether an ID list names it, `unreadable` whether the
+    scan could not read it."""
     in_list = F.lit(True) if listed is None else listed
     return (
-        F.when(~wanted_type(F.col("warc_type")), "record type")
+        F.when(F.lit(False) if unreadable is None else unreadable, UNREADABLE)
+        .when(~wanted_type(F.col("warc_type")), "record type")
         .when(~wanted_size(F.col("warc_record_size")), "record size")
         .when(~in_list, "not listed")
         .when(~passes_filters(), "metadata filter")
@@ -113,7 +118,9 @@ def with_gates(records: DataFrame, groups: dict[str, str] = MIME_GROUPS, listed:
             "mime_group": mime_group(F.col("mime_type"), groups),
         }
     )
-    return checked.withColumn("drop_reason", drop_reason(groups, listed))
+    scanned = {"scan_error", "warc_type"} <= set(records.columns)
+    unreadable = F.col("scan_error").isNotNull() & F.col("warc_type").isNull() if scanned else None
+    return checked.withColumn("drop_reason", drop_reason(groups, listed, unreadable))
 
 
 def passed(gated: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from warcloom.fixed_values import TABLE_MAX_VERSIONS
+from warcloom.operators.gates import UNREADABLE
 from warcloom.operators.ranking import top_n_per_group
 from warcloom.operators.records import harvest_info
 
@@ -39,12 +40,12 @@ def run_harvests(records: DataFrame) -> DataFrame:
 def run_counts(gated: DataFrame, failed: Column) -> DataFrame:
     """One row: records_processed, records_failed, and the sorted array of harvests.
 
-    Counts are aggregates over the output, so a retried task counts once.
+    Counts are aggregates over the output, so a retried task counts once. What the scan could not read has failed.
     """
     kept = F.col("drop_reason").isNull()
     per_harvest = gated.groupBy("harvest_id").agg(
         F.count_if(kept & ~failed).alias("processed"),
-        F.count_if(kept & failed).alias("failed"),
+        F.count_if((kept & failed) | (F.col("drop_reason") == UNREADABLE)).alias("failed"),
         F.count_if(~F.coalesce("drop_reason", F.lit("")).isin(_UNSEEN)).alias("seen"),
     )
     known = F.when((F.col("seen") > 0) & (F.col("harvest_id") != ""), F.col("harvest_id"))
@@ -56,7 +57,7 @@ def run_counts(gated: DataFrame, failed: Column) -> DataFrame:
 
 
 # Records stopped by these gates are not registered.
-_UNSEEN = ["record type", "record size", "not listed", "metadata filter", "invalid record"]
+_UNSEEN = [UNREADABLE, "record type", "record size", "not listed", "metadata filter", "invalid record"]
 
 
 def registered(gated: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warcloom.fixed_values import DROPPED_FIELDS, MIME_GROUPS
+from warcloom.fixed_values import DROPPED_FIELDS, MIME_GROUPS, RUN_STATUS
 from warcloom.operators import gates, output, registry
 from warcloom.operators.records import normalise, normalisation_errors
 from warcloom.plans.steps import Step, run_steps
@@ -56,7 +56,7 @@ def process_warcs(
     spark: SparkSession, glob: str, sequences: Mapping[str, Sequence[Step]], ids: DataFrame | None = None
 ) -> Run:
     configure(spark)
-    records = normalise(scan(spark, glob))
+    records = normalise(scan(spark, glob, all_records=True))
     return process(records.withColumn("errors", normalisation_errors()), sequences, ids)
 
 
@@ -86,23 +86,30 @@ def save_run(
 
 
 def save_results(spark: SparkSession, run: Run, main: str, harvests: str, runs: str, args: str = "") -> DataFrame:
-    """Store the results of a run, see `save_run`. A run that fails leaves a row with the status `failed`."""
+    """Store the results of a run, see `save_run`. 
+
+    The row of the run has the status `running` from its start, and is replaced by one with `finished` or `failed`.
+    """
     started = int(time.time() * 1000)
     run_id = f"run-{started}-{uuid.uuid4().hex[:8]}"
 
+    nothing = spark.sql("SELECT 0L AS records_processed, 0L AS records_failed, cast(array() AS array<string>) AS harvests")
+
     def log(counts: DataFrame, status: str) -> None:
         row = registry.run_row(counts, run_id, args, started, int(time.time() * 1000), status)
-        row.write.mode("append").parquet(runs)
+        row.drop("run_id").write.mode("overwrite").parquet(f"{runs.rstrip('/')}/run_id={run_id}")
 
+    log(nothing, RUN_STATUS[0])
     try:
         results = stored(run.results.drop(*DROPPED_FIELDS), "results")
+        if results.filter(F.col("drop_reason").isNull() | (F.col("drop_reason") != gates.UNREADABLE)).isEmpty() and not results.isEmpty():
+            raise OSError("none of the files could be read")
         output.write_table(output.decompose(gates.passed(results)), main, "append")
         known = stored_table(spark, harvests, "hid string, type string, date string")
         registry.new_harvests(registry.registered(results), known).write.mode("append").parquet(harvests)
         log(registry.run_counts(results, F.col("scan_error").isNotNull()), "finished")
     except Exception:
-        nothing = "0L AS records_processed, 0L AS records_failed, cast(array() AS array<string>) AS harvests"
-        log(spark.sql(f"SELECT {nothing}"), "failed")
+        log(nothing, "failed")
         raise
     return spark.read.parquet(runs).filter(F.col("run_id") == run_id)
 

@@ -7,6 +7,7 @@ encodings. Headers become maps and fields in Catalyst (`operators.records`).
 from __future__ import annotations
 
 import logging
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -35,7 +36,7 @@ NOT_DECODED = "is not decoded"
 _CHUNK = 1 << 20
 _BATCH_BYTES = 32 << 20
 _BATCH_ROWS = 1000
-_MAX_DECODED_BYTES = 1 << 30
+_RECORD_LINE = re.compile(rb"\nWARC/[0-9.]+\r?\n")
 _HTTP_TYPES = ("response", "revisit", "request")
 
 
@@ -45,15 +46,17 @@ def scan(
     record_types: Iterable[str] = RECORD_TYPES,
     max_record_bytes: int = MAX_RECORD_BYTES,
     split_bytes: int = 512 << 20,
+    all_records: bool = False,
 ) -> DataFrame:
     """One row per record of the wanted types and sizes.
 
-    Type and size are checked while framing, so unwanted payloads are never kept. A gzip file larger than
-    `split_bytes` is read by several tasks: each starts at the first gzip member of its range that holds a record. An
-    unreadable file, or a corrupt record, ends that file or range; the rows before it stay, and one row with
-    `scan_error` and no headers tells about it.
+    Type and size are checked while framing, so unwanted payloads are never kept; with `all_records` such a record gives
+    a row without payload, so that gates can count it. A gzip file larger than `split_bytes` is read by several tasks:
+    each starts at the first gzip member of its range that holds a record. An unreadable file, or a corrupt record,
+    gives one row with `scan_error` and no headers; reading goes on at the next gzip member, or line, that begins a
+    record, so the rows are the same for every `split_bytes`.
     """
-    return scan_files(files(spark, glob), record_types, max_record_bytes, split_bytes)
+    return scan_files(files(spark, glob), record_types, max_record_bytes, split_bytes, all_records)
 
 
 def scan_files(
@@ -61,6 +64,7 @@ def scan_files(
     record_types: Iterable[str] = RECORD_TYPES,
     max_record_bytes: int = MAX_RECORD_BYTES,
     split_bytes: int = 512 << 20,
+    all_records: bool = False,
 ) -> DataFrame:
     """`scan` over files given as rows (path, length)."""
     last = F.when(F.col("path").endswith(".gz"), F.greatest(F.col("length") - 1, F.lit(0))).otherwise(F.lit(0))
@@ -71,14 +75,13 @@ def scan_files(
         "start",
         F.when(last > 0, F.col("start") + split_bytes).otherwise(F.lit(2**62)).alias("end"),
     )
-    # the listing is metadata only; one task per range, or two million ranges at most
-    tasks = min(max(ranges.count(), 1), 2_000_000)
+    tasks = max(ranges.count(), 1)  # the listing is metadata only; one task per range
     wanted, limit = frozenset(record_types), max_record_bytes
 
     def frame(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                yield from _in_batches(_frame_range(row["path"], row["start"], row["end"], wanted, limit))
+                yield from _in_batches(_frame_range(row["path"], row["start"], row["end"], wanted, limit, all_records))
 
     return ranges.repartitionByRange(tasks, "path", "start").mapInArrow(frame, SCHEMA)
 
@@ -95,15 +98,22 @@ def _in_batches(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(pending, schema=_ARROW_SCHEMA)
 
 
-def _frame_range(path: str, start: int, end: int, wanted: frozenset[str], limit: int) -> Iterator[dict]:
+def _frame_range(path: str, start: int, end: int, wanted: frozenset[str], limit: int, all_records: bool) -> Iterator[dict]:
     row = dict.fromkeys(_ARROW_SCHEMA.names) | {"warc_filename": path}
     try:
         with _open(path) as raw:
             stream = _RecordStream(raw, start, end)
-            while (offset := stream.next_record()) is not None:
-                record = _frame_record(stream, wanted, limit)
-                if record is not None:
-                    yield row | {"warc_offset": offset} | record
+            while True:
+                try:
+                    if (offset := stream.next_record()) is None:
+                        break
+                    record = _frame_record(stream, wanted, limit)
+                    if all_records or record["content"] is not None:
+                        yield row | {"warc_offset": offset} | record
+                except (ValueError, EOFError, zlib.error) as problem:  # a broken record must not hide those after it
+                    yield row | {"warc_offset": stream.offset, "scan_error": f"{type(problem).__name__}: {problem}"}
+                    if not stream.resume():
+                        break
     except Exception as problem:  # a broken file must not fail the job
         logging.getLogger(__name__).error("%s: %s", path, problem)
         yield row | {"scan_error": f"{type(problem).__name__}: {problem}"}
@@ -128,8 +138,10 @@ class _RecordStream:
         self.engine = None
         raw.seek(0)
         self.gzip = raw.read(2) == b"\x1f\x8b"
+        self.none_here = False
         if start > 0:
             start = self._first_member(start)
+            self.none_here = start >= end
         raw.seek(start)
         self.position = start  # of the next raw byte that was not used yet
         self.raw_buffer = b""
@@ -154,6 +166,26 @@ class _RecordStream:
             window = keep + more if more else b""
         return self.end
 
+    def resume(self) -> bool:
+        """Go on behind a broken record: at the next line that begins one, in a gzip file within this member's bytes or
+        at the next member that begins one. False if there is none."""
+        while True:
+            if match := _RECORD_LINE.search(self.buffer):
+                self._used(match.start() + 1)
+                return True
+            if self.gzip:
+                break
+            self._used(max(len(self.buffer) - 16, 0))
+            if not self._more():
+                return False
+        start = self._first_member(self.offset + 1)
+        if start >= self.end:
+            return False
+        self.raw.seek(start)
+        self.position = self.offset = start
+        self.buffer, self.raw_buffer, self.engine = b"", b"", None
+        return True
+
     def _peek(self, at: int, size: int) -> bytes:
         self.raw.seek(at)
         return self.raw.read(size)
@@ -187,16 +219,17 @@ class _RecordStream:
 
     def next_record(self) -> int | None:
         """Go to the next record and return its offset; None at the end of file or range."""
-        if self.position >= self.end and not self.buffer and self.engine is None:
+        if self.none_here:
             return None
         while True:
             stripped = self.buffer.lstrip(b"\r\n")
             self._used(len(self.buffer) - len(stripped))
-            if self.buffer:
+            if len(self.buffer) >= 5 or not self._more():
                 break
-            if not self._more():
-                return None
-        return self.offset if self.offset < self.end else None
+        if not self.buffer:
+            return None
+        # the next range begins at the first member that holds a record; what lies before it belongs to this one
+        return None if self.offset >= self.end and self.buffer.startswith(b"WARC/") else self.offset
 
     def _used(self, size: int) -> None:
         self.buffer = self.buffer[size:]
@@ -214,7 +247,7 @@ class _RecordStream:
                     self._used(at + len(mark))
                     return block
             searched = len(self.buffer)
-            if searched > _CHUNK or not self._more():
+            if not self._more():
                 raise ValueError("record header without end")
 
     def take(self, size: int, keep: bool) -> bytes:
@@ -250,7 +283,8 @@ def _text(block: bytes) -> str:
         return block.decode("iso-8859-1")
 
 
-def _frame_record(stream: _RecordStream, wanted: frozenset[str], limit: int) -> dict | None:
+def _frame_record(stream: _RecordStream, wanted: frozenset[str], limit: int) -> dict:
+    """A record; `content` is null if its type or size is not wanted."""
     rec_block = _text(stream.block())
     if not rec_block.startswith("WARC/"):
         raise ValueError("not a WARC record")
@@ -260,10 +294,10 @@ def _frame_record(stream: _RecordStream, wanted: frozenset[str], limit: int) ->
         raise ValueError("record without length")
     keep = kind in wanted and int(length) <= limit
     body = stream.take(int(length), keep)
-    if not keep:
-        return None
     http_block, error = None, None
-    if kind in _HTTP_TYPES and fields.get("warc-target-uri", "").lower().startswith(("http:", "https:")) and body:
+    if not keep:
+        body = None
+    elif kind in _HTTP_TYPES and fields.get("warc-target-uri", "").lower().startswith(("http:", "https:")) and body:
         head, mark, rest = body.partition(b"\r\n\r\n")
         if not mark:
             head, mark, rest = body.partition(b"\n\n")
@@ -273,28 +307,45 @@ def _frame_record(stream: _RecordStream, wanted: frozenset[str], limit: int) ->
     return {"rec_block": rec_block, "http_block": http_block, "content": body, "scan_error": error}
 
 
-def _decoded(body: bytes, fields: dict[str, str]) -> tuple[bytes | None, str | None]:
-    """Payload without transfer and content encoding; kept as it is, with a reason, where that fails.
+def _decoded(body: bytes, fields: dict[str, str]) -> tuple[bytes, str | None]:
+    """Payload without transfer and content encodings, the last one undone first; as it came, with a reason, where that fails.
 
-    A payload that grows beyond what a row can hold is null. It would be far above every limit of extraction.
+    Names that are no encodings are passed over.
     """
     if fields.get("transfer-encoding", "").lower() == "chunked":
         body = _without_chunks(body)
-    encoding = fields.get("content-encoding", "").lower()
-    window_bits = {"gzip": [31], "x-gzip": [31], "deflate": [15, -15]}.get(encoding)
-    if encoding == "br":
-        return _without_brotli(body)
-    if window_bits is None or not body:
-        return body, None
-    for bits in window_bits:
+    data = body
+    for encoding in reversed([name.strip() for name in fields.get("content-encoding", "").lower().split(",")]):
+        if not data:
+            break
+        if encoding == "br":
+            data, error = _without_brotli(data)
+        elif encoding in _WINDOW_BITS:
+            data, error = _inflated(data, encoding)
+        else:
+            error = f"content-encoding {encoding} {NOT_DECODED}" if encoding in ("compress", "x-compress", "zstd") else None
+        if error:
+            return body, error
+    return data, None
+
+
+_WINDOW_BITS = {"gzip": (31,), "x-gzip": (31,), "deflate": (15, -15)}
+
+
+def _inflated(body: bytes, encoding: str) -> tuple[bytes, str | None]:
+    """All members of a compressed payload; what follows the last one and is no member is left out."""
+    for bits in _WINDOW_BITS[encoding]:
+        parts, rest = [], body
         try:
-            engine = zlib.decompressobj(bits)
-            data = engine.decompress(body, _MAX_DECODED_BYTES)
+            while rest:
+                engine = zlib.decompressobj(bits)
+                parts.append(engine.decompress(rest))
+                if not engine.eof:
+                    return body, f"content-encoding {encoding} is cut off"
+                rest = engine.unused_data if engine.unused_data.startswith(b"\x1f\x8b") else b""
         except zlib.error:
             continue
-        if engine.unconsumed_tail:
-            return None, f"content-encoding {encoding} gives more than {_MAX_DECODED_BYTES} bytes"
-        return data, None
+        return b"".join(parts), None
     return body, f"content-encoding {encoding} is broken"
 
 
