@@ -142,3 +142,37 @@ def test_page_text_needs_no_shuffle_and_pushes_filters(spark):
     assert "Exchange" not in text
     assert "EqualTo(page_id,3)" in text
     assert "Python" not in text
+
+
+def test_markup_with_optional_parts(spark):
+    from warcloom.functions import markup
+
+    pages = [
+        "<head><title></title><title>T</title><body><p>Kept text",
+        "<html><head><meta charset=utf-8><p>No body tag either",
+        "<body><p>before <iframe src=x> after</p>",
+        "<body><a title='a > b' href='/x'>go</a><a href=/y>z</a>",
+        "<body><p title=\"it's\">a &lt;b&gt; &amp;lt; &#65;&#x42; &nosuch; 1 & 2</p>",
+    ]
+    frame = spark.createDataFrame([(p,) for p in pages], "html string").repartition(1)
+    from warcloom.functions.texts import decode_entities
+
+    cleaned = markup.clean(F.col("html"))
+    rows = frame.select(
+        markup.title_markup(cleaned).alias("title"),
+        F.transform(markup.marked_blocks(decode_entities(markup.block_markup(cleaned))), lambda b: b["text"]).alias("blocks"),
+        markup.hrefs(cleaned).alias("links"),
+    ).collect()
+    assert rows[0].title == "T" and rows[0].blocks == ["Kept text"]
+    assert rows[1].blocks == ["No body tag either"]
+    assert rows[2].blocks == ["before after"]
+    assert rows[3].links == ["/x", "/y"]
+    assert rows[4].blocks == ["a <b> &lt; AB &nosuch; 1 & 2"]
+
+
+def test_every_declared_charset_is_weighed(spark):
+    from warcloom.operators.page_text import charset_of
+
+    body = '<meta charset="utf-8">'.encode() + "café élève".encode("iso-8859-1")
+    frame = spark.createDataFrame([(body, "text/html; charset=iso-8859-1")], "b binary, t string")
+    assert frame.select(charset_of(F.col("b"), F.col("t"))["charset"]).first()[0] == "iso-8859-1"

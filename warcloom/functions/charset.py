@@ -87,7 +87,7 @@ def guess_charset(
 ) -> Column:
     """The charset that gives most Czech letters, then fewest errors, then comes first in `charsets`.
 
-    `candidates`, an array column, restricts the choice per row. Null for an empty content. The whole content is
+    `candidates`, an array column of known names, takes the place of `charsets` for its row. Null for an empty content. The whole content is
     weighed, or its first `sample_bytes`. All decoding stays inside the row, so nothing is exploded or shuffled.
     """
     charsets = DEFAULT_CHARSETS if charsets is None else charsets
@@ -103,15 +103,13 @@ def guess_charset(
         )
 
     def best(sample: Column, names: Column) -> Column:
-        scores = F.transform(
-            names, lambda name: let(decode(sample, name), lambda text: score(text, F.array_position(order, name)))
-        )
+        scores = F.transform(names, lambda name, at: let(decode(sample, name), lambda text: score(text, at)))
         usable = F.filter(scores, lambda made: made["letters"].isNotNull())
-        return F.get(order, (-F.array_max(usable)["position"] - 1).cast("int"))
+        return F.get(names, (-F.array_max(usable)["position"]).cast("int"))
 
-    names = order if candidates is None else F.filter(candidates, lambda name: F.array_contains(order, name))
+    names = order if candidates is None else candidates
     weighed = content if sample_bytes is None else F.substring(content, 1, sample_bytes)
-    return let(weighed, lambda sample: best(sample, names))
+    return let(weighed, lambda sample: let(names, lambda known: best(sample, known)))
 
 
 def without_xml_declaration(text: Column) -> Column:

@@ -11,8 +11,11 @@ from warcloom.functions.literals import empty_strings
 from warcloom.functions.texts import decode_entities, normalise, squeeze
 from warcloom.functions.urls import has_scheme_and_host, resolve
 
-TAG = r"</?[a-zA-Z!?][^>]*>"
-_TAG_REST = r"/?[a-zA-Z!?][^>]*>"
+# What stands between a tag's name and its end. A ">" in quotes does not end it, unless a quote is never closed.
+_INSIDE = r"""(?:"[^"]*"|'[^']*'|[^'">])"""
+_END = rf"(?:{_INSIDE}*+>|[^>]*>)"
+_TAG_REST = rf"/?[a-zA-Z!?]{_END}"
+TAG = f"<{_TAG_REST}"
 
 # Marks put in place of tags while a page is cut into blocks.
 BLOCK, LINK_START, LINK_END = "\u0001", "\u0002", "\u0003"
@@ -24,8 +27,17 @@ def _any_of(*rests: str) -> str:
 
 
 def _element(name: str) -> str:
-    """An element with its content, without its first `<`."""
-    return rf"{name}\b[^>]*>.*?(?:</{name}\s*>|\z)"
+    """An element with its content, to the end of the page if it is not closed; without its first `<`."""
+    return rf"{name}\b{_END}.*?(?:</{name}\s*>|\z)"
+
+
+def _closed_element(name: str) -> str:
+    """An element with its content, or its tag alone if it is not closed."""
+    return rf"{name}\b{_END}(?:.*?</{name}\s*>)?"
+
+
+# The end tag of a head may be left out: it also ends where the body, or a first block, begins.
+_HEAD = rf"head\b{_END}.*?(?:</head\s*>|(?=<(?:{'|'.join(BLOCK_TAGS)})[\s/>])|\z)"
 
 
 def _without(text: Column, *characters: str) -> Column:
@@ -45,12 +57,12 @@ def visible_markup(cleaned: Column) -> Column:
 
     Embedded objects and form controls are left out.
     """
-    return F.regexp_replace(cleaned, _any_of(*map(_element, EMBEDDED_TAGS), _TAG_REST), "")
+    return F.regexp_replace(cleaned, _any_of(*map(_closed_element, EMBEDDED_TAGS), _TAG_REST), "")
 
 
 def title_markup(cleaned: Column) -> Column:
-    """Raw text of the first title, or null."""
-    return F.nullif(F.regexp_extract(cleaned, r"(?is)<title\b[^>]*>([^<]*)", 1), F.lit(""))
+    """Raw text of the first title that has any, or null."""
+    return F.nullif(F.regexp_extract(cleaned, rf"(?is)<title\b{_END}([^<]+)", 1), F.lit(""))
 
 
 def _direct_texts(inner: Column) -> Column:
@@ -86,7 +98,7 @@ def headlines(cleaned: Column) -> Column:
 
 def hrefs(cleaned: Column) -> Column:
     """Non-empty `href` values of all `a` elements, in order, repeats kept."""
-    pattern = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    pattern = rf"""(?is)<a\s(?:{_INSIDE}*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
     found = F.regexp_extract_all(cleaned, F.lit(pattern), F.lit(1))
     values = F.transform(found, lambda raw: F.trim(decode_entities(F.regexp_replace(raw, "^[\"']|[\"']$", ""))))
     return F.filter(values, lambda value: value != "")
@@ -100,10 +112,10 @@ def absolute_links(cleaned: Column, url: Column) -> Column:
 
 def block_markup(cleaned: Column) -> Column:
     """Body of a cleaned page with marks for tags: where a block begins, where a link begins and ends."""
-    without_head = F.regexp_replace(cleaned, _any_of(*map(_element, ["head", *EMBEDDED_TAGS])), "")
-    block_tag = rf"/?(?:{'|'.join(BLOCK_TAGS)})(?:[\s/][^>]*)?>"
+    without_head = F.regexp_replace(cleaned, _any_of(_HEAD, *map(_closed_element, EMBEDDED_TAGS)), "")
+    block_tag = rf"/?(?:{'|'.join(BLOCK_TAGS)})(?:>|[\s/]{_END})"
     blocks = F.regexp_replace(without_head, _any_of(block_tag, r"br\s*/?>\s*<br\s*/?>"), BLOCK)
-    links = F.regexp_replace(blocks, r"(?i)<a(?:\s[^>]*)?>", LINK_START)
+    links = F.regexp_replace(blocks, rf"(?i)<a(?:>|\s{_END})", LINK_START)
     links = F.regexp_replace(links, r"(?i)</a\s*>", LINK_END)
     return F.regexp_replace(F.regexp_replace(links, r"(?i)<br\s*/?>", " "), TAG, "")
 

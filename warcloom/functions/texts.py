@@ -15,8 +15,6 @@ SPACE = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 _NO_PLAIN_SPACE = r"[\t-\r\x1c-\x1f\x85[\p{Z}&&[^ ]]]"
 NOT_SPACE = r"[^\t-\r\x1c-\x20\x85\p{Z}]"
 
-_AMPERSAND = r"&(?:amp|#0*38|#[xX]0*26);"
-
 
 def squeeze(text: Column) -> Column:
     """Whitespace runs become one space, ends are trimmed."""
@@ -37,10 +35,10 @@ def _code_point(hexadecimal: Column) -> Column:
 def decode_entities(text: Column) -> Column:
     """Named (HTML 4) and numeric character references become characters, each reference once.
 
-    Only the distinct references present in a text are looked up. What decodes to an ampersand is replaced last, so
-    its result is not read as the start of another reference.
+    The text is cut at its references, each piece is looked up by itself, and the pieces are joined again, so the work
+    grows with the text alone and nothing that was decoded is read as a reference.
     """
-    names = string_map({name: chr(code) for name, code in name2codepoint.items() if name != "amp"} | {"apos": "'"})
+    names = string_map({name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"})
 
     def character(ref: Column) -> Column:
         decimal = F.conv(F.left(F.regexp_extract(ref, "^#0*([0-9]*)$", 1), F.lit(10)), 10, 16)
@@ -51,17 +49,15 @@ def decode_entities(text: Column) -> Column:
             .otherwise(F.element_at(names, ref))
         )
 
-    def replace(done: Column, ref: Column) -> Column:
-        whole = F.concat(F.lit("&"), ref, F.lit(";"))
-        return F.when(whole.rlike(f"^{_AMPERSAND}$"), done).otherwise(
-            F.coalesce(F.replace(done, whole, character(ref)), done)
-        )
+    def piece(own: Column) -> Column:
+        reference = F.substring(own, F.lit(2), F.length(own) - 2)
+        known = F.coalesce(let(reference, character), own)
+        return F.when(own.startswith("&") & own.endswith(";"), known).otherwise(own)
 
     def decoded(text: Column) -> Column:
-        reference = "&(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
-        found = F.array_distinct(F.regexp_extract_all(text, F.lit(reference)))
-        replaced = F.regexp_replace(F.aggregate(found, text, replace), _AMPERSAND, "&")
-        return F.when(F.instr(text, "&") > 0, replaced).otherwise(text)
+        pattern = "(?s)&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);|[^&]+|&"
+        pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        return F.when(F.instr(text, "&") > 0, F.array_join(F.transform(pieces, piece), "")).otherwise(text)
 
     return let(text, decoded)
 

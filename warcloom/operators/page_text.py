@@ -28,7 +28,7 @@ def charset_of(content: Column, content_type: Column) -> Column:
 
     def among(body: Column, declared: Column) -> Column:
         first = F.get(declared, F.lit(0))
-        # a declared charset outside the default list cannot be weighed, so it only stays if no other can
+        # every declared charset is weighed; the first declaration wins a tie
         resolved = F.coalesce(cs.guess_charset(body, F.transform(declared, _default_name)), first)
         return (
             F.when(F.size(declared) == 1, result(first, "declared"))
