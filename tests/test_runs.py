@@ -54,6 +54,7 @@ def test_run_over_files(spark, archive):
         "kept": 4,
         "mime type": 1,
         "invalid record": 1,
+        "record type": 1,
     }
     rows = {r["id"]: r for r in run.processed.collect()}
     assert sorted(rows) == ["urn:uuid:1", "urn:uuid:2", "urn:uuid:4", "urn:uuid:6"]
@@ -73,7 +74,11 @@ def test_run_with_id_list(spark, archive):
     ids = spark.createDataFrame([("urn:uuid:1",), ("urn:uuid:9",)], "id string")
     run = process_warcs(spark, archive, sequences(), ids)
     assert [r["id"] for r in run.processed.select("id").collect()] == ["urn:uuid:1"]
-    assert {r["reason"]: r["n_records"] for r in gate_report(run.results).collect()} == {"kept": 1, "not listed": 5}
+    assert {r["reason"]: r["n_records"] for r in gate_report(run.results).collect()} == {
+        "kept": 1,
+        "not listed": 5,
+        "record type": 1,
+    }
     empty = spark.createDataFrame([], "id string")
     rows = spark.createDataFrame([("a",)], "id string")
     assert only_ids(rows, empty).count() == 1 and only_ids(rows, ids).count() == 0
@@ -186,7 +191,7 @@ def test_topics_with_positive_bias(spark):
     found = {r["k"]: r["topics"] for r in classify.topics(scores, "k", bias).collect()}
     assert found == {1: ["news", "sport"], 2: ["news", "war"]}
     # a model too large for a broadcast gives the same
-    joined = classify.class_scores(texts, "k", "tokens", model, bias, "lang", broadcast_rows=1)
+    joined = classify.class_scores(texts, "k", "tokens", model, bias, "lang")
     assert sorted(map(str, joined.collect())) == sorted(map(str, scores.collect()))
 
 

@@ -10,10 +10,6 @@ from warcloom.functions.literals import sql_string
 from warcloom.session import stored
 
 
-# Rows of a model that an executor holds in memory without trouble, some 100 bytes each.
-BROADCAST_ROWS = 2_000_000
-
-
 def page_type(url: Column, needles: dict[str, list[str]] = PAGE_TYPE_NEEDLES, other: str = OTHER_PAGE_TYPE) -> Column:
     """First type one of whose strings occurs in a URL, case-sensitively; null without URL."""
     chosen = F.lit(other)
@@ -33,26 +29,27 @@ def class_scores(
     bias: DataFrame,
     language: str | None = None,
     only_language: str = DEFAULT_LANGUAGE,
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Decision scores of a linear model: rows (key, class, score) for every class that shares a term with a text.
 
     `model` has (class, term, weight), `bias` one row (class, bias) per class. A text with tokens but without any term
     of the model has one row with a null class. With `language`, texts of another language, or of none, have no row.
 
-    A model of up to `broadcast_rows` rows is broadcast: then a text stays in its task, which sums it up before the only
-    shuffle. A larger model is joined by term, where AQE splits the partitions of frequent terms.
+    A text's terms are counted first and the model is one row per term, so the join has one row per text and term; a
+    term's classes are laid out only to be summed in the same task. AQE broadcasts a model it measures small and splits
+    the partitions of frequent terms otherwise.
     """
     wanted = texts if language is None else texts.filter(F.col(language) == only_language)
     terms = wanted.select(key, F.explode_outer(tokens).alias("term")).filter("term IS NOT NULL")
-    weights = model.join(bias, "class")
-    if model.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        weights = F.broadcast(weights)
-    return (
-        terms.join(weights, "term", "left")
-        .groupBy(key, "class")
-        .agg((F.sum("weight") + F.max("bias")).alias("score"))
+    counted = terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    by_term = model.groupBy("term").agg(F.collect_list(F.struct("class", "weight")).alias("weights"))
+    scored = (
+        counted.join(by_term, "term", "left")
+        .select(key, "tf", F.explode_outer("weights").alias("w"))
+        .groupBy(key, F.col("w.class").alias("class"))
+        .agg(F.sum(F.col("tf") * F.col("w.weight")).alias("total"))
     )
+    return scored.join(bias, "class", "left").select(key, "class", (F.col("total") + F.col("bias")).alias("score"))
 
 
 def topics(scores: DataFrame, key: str, bias: DataFrame) -> DataFrame:

@@ -21,18 +21,13 @@ from warcloom.operators.ranking import top_n_per_group
 
 Stoplists = dict[str, list[str]]
 
-# A stoplist is a parameter of expressions, so its size must have a bound: 1,000 words for some dozen languages.
-MAX_STOPLIST_WORDS = 50_000
-
 
 def collect_stoplists(stoplist: DataFrame, order: list[str] = LANGUAGES) -> Stoplists:
     """Rows (lang, word) as `{language: words}`, languages in the given order.
 
-    The rows are counted by a limit first: more than MAX_STOPLIST_WORDS is an error, not a bigger driver.
+    Stoplists are parameters, a thousand words or so for each language, so they are collected.
     """
-    rows = stoplist.select("lang", "word").limit(MAX_STOPLIST_WORDS + 1).collect()
-    if len(rows) > MAX_STOPLIST_WORDS:
-        raise ValueError(f"a stoplist may have {MAX_STOPLIST_WORDS} words in all")
+    rows = stoplist.select("lang", "word").collect()
     words: dict[str, list[str]] = {}
     for lang, word in rows:
         words.setdefault(lang, []).append(word)

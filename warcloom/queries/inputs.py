@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from warcloom.fixed_values import STOPLIST_SIZE
 from warcloom.operators.language import Stoplists, collect_stoplists, corpus_words, top_words, word_counts
 from warcloom.operators.records import normalise, normalisation_errors
 from warcloom.queries.catalog import table
@@ -120,7 +121,7 @@ ORACLE_GATED = (
 )"""
 )
 
-STOPLIST_WORDS = 50
+STOPLIST_WORDS = STOPLIST_SIZE
 
 
 def stoplist_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,5 +130,5 @@ def stoplist_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stoplists(spark: SparkSession, sf_dir: str) -> Stoplists:
-    """The 50 most frequent words per language of all documents: a bounded result, used as a parameter."""
+    """The 1,000 most frequent words per language of all documents: a bounded result, used as a parameter."""
     return collect_stoplists(top_words(stoplist_counts(spark, sf_dir), STOPLIST_WORDS))

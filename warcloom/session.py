@@ -40,16 +40,6 @@ def build(app_name: str = "warcloom", master: str | None = None, **confs: str) -
     return configure(builder.getOrCreate())
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """A table that comes in fewer splits than there are cores, dealt out to all of them.
-
-    Text work is bound by processors, and a small file may be a single row group, which one task would read. A table of
-    any size has more splits than cores and stays as it is: no shuffle.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
-
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for tables that later stages read again.
 
