@@ -35,6 +35,7 @@ from warcloom.llm.stored import free_name, stored
 
 WORDS, SIMILAR = 5, 0.8
 BANDS, ROWS, BLOCK = 10, 4, 200
+REACH = 1 - SIMILAR
 _SHORT = np.uint64((1 << 56) - 1)
 _CHUNK = 1 << 17
 ROW = "doc_id long, first_row boolean, owner long, key binary, bands array<long>, total double, vector binary"
@@ -202,14 +203,44 @@ def _linked(vectors: DataFrame) -> DataFrame:
     left = left.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
     found = left.join(vectors.select("doc_id", "total", "vector"), "doc_id").groupBy("band", "key", "low", "high").applyInArrow(_all_links, "a long, b long, j double")
     inside = _joined(inside, stored(found))
-    # and with those members of the group that can be near enough
+    # and with those members of the lead's class that can be near enough
     j = checked.select(F.col("a").alias("doc_id"), F.col("b").alias("lead"), "j")
-    group = _classes_of(others, inside, "doc_id", "lead").join(j, ["doc_id", "lead"]).withColumn("out", F.col("class_a") != F.col("class_b"))
-    reach = 1 - SIMILAR
-    out = group.where(f"out AND j >= {1 - 2 * reach} AND j < {SIMILAR}").select("band", "key", F.col("doc_id").alias("a"), F.col("j").alias("ja"))
-    member = group.where(f"NOT out AND j >= {SIMILAR}").select("band", "key", F.col("doc_id").alias("b"), F.col("j").alias("jb"))
-    pairs = out.join(member, ["band", "key"]).where(f"(1 - jb) >= (1 - ja) - {reach}").select("a", "b").distinct()
-    return _joined(inside, stored(_verified(_apart(pairs, inside), vectors)))
+    near = _classes_of(j, inside, "doc_id", "lead").withColumn("out", F.col("class_a") != F.col("class_b"))
+    near = near.where(f"(out AND j >= {1 - 2 * REACH} AND j < {SIMILAR}) OR (NOT out AND j >= {SIMILAR})").select("lead", "doc_id", "j", "out")
+    size = near.groupBy("lead").agg(F.count_if("out").alias("outs"), F.count_if(~F.col("out")).alias("members")).where("outs > 0 AND members > 0")
+    size = size.select("lead", *(F.expr(f"CAST(ceil({c} / {BLOCK}) AS int)").alias(c) for c in ("outs", "members")))
+    both = near.join(size, "lead").withColumn("mine", F.expr("CAST(pmod(xxhash64(doc_id), IF(out, outs, members)) AS int)"))
+    both = both.withColumn("other", F.explode(F.sequence(F.lit(0), F.expr("IF(out, members, outs)") - 1)))
+    both = both.select("lead", "doc_id", "j", "out", F.expr("IF(out, mine, other)").alias("low"), F.expr("IF(out, other, mine)").alias("high"))
+    found = both.join(vectors.select("doc_id", "total", "vector"), "doc_id").groupBy("lead", "low", "high").applyInArrow(_fringe_links, "a long, b long, j double")
+    return _joined(inside, stored(found))
+
+
+def _fringe_links(rows: pa.Table) -> pa.Table:
+    """For each text of one block that fell out of a class: the nearest text of a block of its members, if that is a link.
+
+    A member nearer to the lead than the text's own distance less REACH cannot be one.
+    """
+    rows = rows.sort_by([("doc_id", "ascending")])
+    ids, j, total, out = (rows[c].to_numpy(zero_copy_only=False) for c in ("doc_id", "j", "total", "out"))
+    vectors = [(x[-1], rounds.widen(tuple(x[:-1]), 6)) for x in map(rounds.unpack, rows["vector"].to_pylist())]
+    members, found = np.flatnonzero(~out), []
+    if len(members) and out.any():
+        which = np.repeat(np.arange(len(members)), [len(vectors[k][1]) for k in members])
+        hashes = np.concatenate([vectors[k][1] for k in members])
+        order = np.argsort(hashes, kind="stable")
+        hashes, which, weight = hashes[order], which[order], np.concatenate([vectors[k][0] for k in members])[order]
+        for k in np.flatnonzero(out):
+            own, h = vectors[k]
+            a, z = np.searchsorted(hashes, h, side="left"), np.searchsorted(hashes, h, side="right")
+            n = z - a
+            at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            low = np.bincount(which[at], weights=np.minimum(weight[at], np.repeat(own, n)), minlength=len(members))
+            near = np.where(1 - j[members] >= 1 - j[k] - REACH - 1e-9, low / (total[k] + total[members] - low), 0)
+            if near.max() >= SIMILAR:
+                found.append((int(ids[k]), int(ids[members[near.argmax()]]), float(near.max())))
+    columns = list(zip(*found, strict=True)) or [()] * 3
+    return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["a", "b", "j"])
 
 
 def _all_links(rows: pa.Table) -> pa.Table:
