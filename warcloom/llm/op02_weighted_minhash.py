@@ -90,16 +90,19 @@ class _Texts:
         text, hashes, weight = self.text[keep], self.hashes[keep], weight[keep]
         begin = np.searchsorted(text, np.arange(texts + 1))
         bands = _sketch(text, hashes, weight, texts)
-        out, ids_seen = [], set()
+        out, ids_seen, owners = [], set(), {}
+        for row, first in enumerate(part.first):  # the first row of a text that has an id stands for it
+            if part.ids[row] is not None:
+                owners.setdefault(first, row)
         for row, first in enumerate(part.first):
             doc_id, i = part.ids[row], int(np.searchsorted(part.distinct, first))
             new = doc_id is None or doc_id not in ids_seen
             ids_seen.add(doc_id)
             a, z = begin[i], begin[i + 1]
             grouped = doc_id is not None and total[i] > 0
-            own = row == first and grouped and z > a
+            own = owners.get(first) == row and grouped and z > a
             key = hashlib.blake2b(part.texts[first], digest_size=16).digest() if grouped else None
-            owner = part.ids[first] if grouped and part.ids[first] is not None else doc_id
+            owner = part.ids[owners[first]] if grouped else doc_id
             out.append((doc_id, new, owner, key, bands[i].tolist() if own else None, float(total[i]), rounds.pack(*rounds.squeeze(hashes[a:z], 6), weight[a:z]) if own else None))
         columns = list(zip(*out, strict=True)) or [()] * 7
         kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.float64(), pa.binary())
