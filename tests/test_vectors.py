@@ -276,3 +276,11 @@ def test_mime_groups(spark):
     types = {"text/html": "HTML", "TEXT/HTMLX": "HTML", "application/xhtml+xml": "HTML", "application/pdf": "PDF",
              "image/png": "IMG", "imagemap": "IMG", "video/mp4": None, "": None, None: None}
     assert values(spark, [(t,) for t in types], "t string", gates.mime_group(F.col("t"))) == list(types.values())
+
+
+def test_numbers_are_one_token(spark):
+    text = "At 12:30 it was 3.14, not 1,000."
+    assert values(spark, [(text,)], "t string", tk.tokens(F.col("t"))) == [
+        ["At", "12:30", "it", "was", "3.14", ",", "not", "1,000", "."]
+    ]
+    assert values(spark, [(text,)], "t string", tk.words_of(F.col("t"))) == [["At", "it", "was", "not"]]

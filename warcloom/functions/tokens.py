@@ -12,7 +12,7 @@ from warcloom.fixed_values import ABBREVIATIONS, DEFAULT_LANGUAGE, TOKENIZER_LAN
 from warcloom.functions.binding import let
 from warcloom.functions.texts import NOT_SPACE, SPACE, strip_space
 
-TOKEN = r"[\p{L}\p{M}\p{N}_'\-]+|[^\t-\r\x1c-\x20\x85\p{Z}\p{L}\p{M}\p{N}_]"
+TOKEN = r"\p{N}+(?:[.,:]\p{N}+)+|[\p{L}\p{M}\p{N}_'\-]+|[^\t-\r\x1c-\x20\x85\p{Z}\p{L}\p{M}\p{N}_]"
 WORD = r"^[\p{L}\p{N}_\-']+$"
 
 # Characters that carry a syllable. A few Czech and Slovak pairs form one syllable; elsewhere any run does.
@@ -42,7 +42,7 @@ def normalised_words(text: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """Words and punctuation characters; no text gives an empty array."""
+    """Words, numbers with their inner signs (3.14, 12:30), and punctuation characters; no text gives an empty array."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
 
 
@@ -111,8 +111,8 @@ def words_of(text: Column) -> Column:
     """The valid words among the tokens of a text, without making the other tokens."""
 
     def found(source: Column) -> Column:
-        runs = F.regexp_extract_all(source, F.lit(r"[\p{L}\p{M}\p{N}_'\-]+"), F.lit(0))
-        return F.when(source.rlike(r"\p{M}"), valid_words(runs)).otherwise(runs)
+        runs = F.regexp_extract_all(source, F.lit(r"\p{N}+(?:[.,:]\p{N}+)+|[\p{L}\p{M}\p{N}_'\-]+"), F.lit(0))
+        return F.when(source.rlike(r"\p{M}|\p{N}[.,:]\p{N}"), valid_words(runs)).otherwise(runs)
 
     return let(F.coalesce(text, F.lit("")), found)
 

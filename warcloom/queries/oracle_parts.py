@@ -202,7 +202,7 @@ def sentence_pieces(text: str, language: str) -> str:
     return f"list_filter({trimmed}, lambda s: s <> '')"
 
 
-TOKEN = r"[\p{L}\p{M}\p{N}_'\-]+|[^\t-\r\x1c-\x20\x85\p{Z}\p{L}\p{M}\p{N}_]"
+TOKEN = r"\p{N}+(?:[.,:]\p{N}+)+|[\p{L}\p{M}\p{N}_'\-]+|[^\t-\r\x1c-\x20\x85\p{Z}\p{L}\p{M}\p{N}_]"
 
 
 def token_list(text: str) -> str:
