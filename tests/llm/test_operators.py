@@ -272,6 +272,47 @@ def test_leaks(spark):
     assert left.columns == frame.columns and left.count() == frame.count() - 3
 
 
+def test_leaks_of_an_item_that_many_documents_hold(spark):
+    chance = random.Random(11)
+    items = [[f"item{k}word{j}" for j in range(24)] for k in range(40)]
+    rows, want = [], set()
+    for i in range(600):
+        text = [f"doc{i}word{j}" for j in range(40)]
+        if i % 3 == 0:
+            own = [w for j, w in enumerate(items[0]) if i % 2 == 0 or j % 4 != 1]  # whole, or three quarters of it
+            text[8:8] = own
+            text[6:6] = chance.sample(items[1 + i % 39], 3)  # rare words of another item in the same passage
+            want.add((i, 0))
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    benchmark = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in op10_latent_leaks.find_leaks(docs, benchmark).collect()} == want
+
+
+def test_no_leak_is_below_the_bound(monkeypatch):
+    chance, op = random.Random(4), op10_latent_leaks
+    for cells in (7, 64, 4096):
+        monkeypatch.setattr(op, "_CELLS", cells)
+        common = [f"w{int(chance.paretovariate(0.5)) % 400}".encode() for _ in range(3000)]
+        items = [chance.choices(common, k=n) for n in (1, 3, 15, 40, 90, 150)]
+        texts = [chance.choices(common, k=chance.choice([0, 1, 31, 33, 64, 300])) for _ in range(30)]
+        for text in texts:
+            text[len(text) // 2 : len(text) // 2] = [w for w in chance.choice(items) if chance.random() < 0.8]
+        words = [op.Words([b" ".join(x)]).hashes for x in items]
+        vocabulary = np.unique(np.concatenate(words))
+        p = op._Passages([b" ".join(x) for x in texts], vocabulary)
+        found = set(zip(*(x.tolist() for x in op.Bound(words, vocabulary, np.array([chance.randint(0, 9) for _ in vocabulary])).candidates(p)), strict=True))
+        want = set()
+        for h, t in enumerate(p.text.tolist()):
+            start, end = int(p.words.offsets[t]), int(p.words.offsets[t + 1])
+            at = start + (h - int(p.first[t])) * op.HALF
+            for k, item in enumerate(words):
+                region = p.words.hashes[max(at - op.HALF, start) : min(max(at + 3 * op.HALF, at + len(item) + op.HALF), end)].tolist()
+                if op.common_subsequence(item.tolist(), region) >= op.COVERED * len(item):
+                    want.add((h, k))
+        assert want and want <= found
+
+
 def test_common_subsequence():
     chance = random.Random(3)
     for _ in range(300):

@@ -14,6 +14,12 @@ their latent coordinates over the norms of their weights. Pairs at ``COSINE`` or
 if the longest common subsequence of the item and the passage with ``HALF`` words on either side covers ``COVERED`` of the
 item's words and ``ANSWER`` of its answer, the item's last quarter (four words at least).
 
+An item that many documents hold has words of many passages, which weigh little or are left out, so its cosine can be small
+wherever other items' words stand beside it. So each passage that can hold a leak is a candidate, too, whatever its cosine:
+a subsequence that covers ``COVERED`` of an item leaves out no more than the rest, so of the item's rarest words, taken until
+they make up that rest and a third of what must be covered, that third must occur around the passage, and of all its words
+what must be covered. This bound needs no weight and loses no leak; what it lets through is verified like the others.
+
 Items are a stated query set; they are compared with all passages in blocks of ``ITEMS``, which bounds what is broadcast.
 
 Rules: null and empty texts and items without a word match nothing. Each (row, item) gives one row at most, with the best
@@ -39,7 +45,7 @@ COSINE, COVERED, ANSWER = 0.4, 0.6, 0.5
 BATCH_BYTES = 1 << 21
 SCHEMA = "doc_id long, item_id long, cosine double, covered double, answer_covered double"
 _SUMS = "block int, data binary"
-_COLUMNS = 64
+_COLUMNS, _CELLS = 64, 4096
 _CLEAN = bytes(ord(chr(c).lower()) if chr(c).isascii() and chr(c).isalnum() else (c if c >= 128 else 32) for c in range(256))
 
 
@@ -49,14 +55,92 @@ def clean(text: str | None) -> bytes:
 
 @dataclass
 class Space:
-    """Columns (sorted word hashes), weights, latent vectors of columns and items, and the items' words."""
+    """Words of the items (sorted hashes) and which of them are columns (-1: none); weights, latent vectors of columns and
+    items, the items' words, and the bound that every leak keeps."""
 
-    columns: np.ndarray
+    vocabulary: np.ndarray
+    place: np.ndarray
     weight: np.ndarray
     basis: np.ndarray
     item_ids: list[int | None]
     item_words: list[np.ndarray]
     items: np.ndarray
+    bound: Bound
+
+
+class Bound:
+    """What any passage must hold of each item to be its leak: first by the rarest words of the items, then by all."""
+
+    def __init__(self, item_words: list[np.ndarray], vocabulary: np.ndarray, df: np.ndarray):
+        rare, every, k = [], [], len(item_words)
+        self.least = np.array([_least(COVERED, len(words)) for words in item_words])
+        self.need = np.maximum(1, self.least // 3)
+        for item, words in enumerate(item_words):
+            own, n = np.unique(np.searchsorted(vocabulary, words), return_counts=True)
+            order = np.argsort(df[own], kind="stable")
+            rarest = order[: 1 + np.searchsorted(np.cumsum(n[order]), len(words) - self.least[item] + self.need[item])]
+            every.append(np.stack([own * k + item, n]))
+            rare.append(every[-1][:, rarest])
+        self.keys, self.times = _by_first(every)
+        column, self.rare_times = _by_first(rare)
+        column, self.rare_item = np.divmod(column, k)
+        self.begin = np.searchsorted(column, np.arange(len(vocabulary) + 1))
+        # a region's halves from its passage's first on; one more stands before
+        self.ahead = max(3, -(-(max(map(len, item_words)) + HALF) // HALF))
+
+    def candidates(self, p: _Passages) -> tuple[np.ndarray, np.ndarray]:
+        """(passage, item) of p that can be leaks, in order of passages."""
+        # empty cells between texts, so that no sum reaches into the next text
+        at = np.arange(p.total) + (np.cumsum(np.diff(p.text, prepend=p.text[:1]) != 0)) * self.ahead + 1
+        key = _distinct((p.half << 24) + p.column)
+        half, column = key >> 24, key & ((1 << 24) - 1)
+        where, found = at[half], [np.zeros((2, 0), np.int64)]
+        for low in range(0, int(at[-1]) if len(at) else 0, _CELLS):  # passages whose cells are low + 1 .. low + _CELLS
+            a, z = np.searchsorted(where, (low, low + _CELLS + self.ahead))
+            found.append(self._sums(where[a:z] - low, column[a:z]) + np.array([[low + 1], [0]]))
+        cell, item = np.concatenate(found, axis=1)
+        passage = np.minimum(np.searchsorted(at, cell), max(p.total - 1, 0))
+        real = at[passage] == cell if len(at) else np.zeros(0, bool)  # a cell between texts is no passage
+        passage, item = passage[real], item[real]
+        held = [self._held(where, column, at[passage[x : x + 4096]], item[x : x + 4096]) for x in range(0, len(passage), 4096)]
+        possible = np.concatenate(held) if held else np.zeros(0, bool)
+        return passage[possible], item[possible]
+
+    def _sums(self, cell: np.ndarray, column: np.ndarray) -> np.ndarray:
+        """(cell - 1, item) around which enough of the item's rarest words occur; a word counts once in each half."""
+        k, size = len(self.need), self.begin[column + 1] - self.begin[column]
+        which = np.repeat(self.begin[column] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        held = np.bincount(np.repeat(cell, size) * k + self.rare_item[which], weights=self.rare_times[which], minlength=(_CELLS + self.ahead) * k)
+        held = held.astype(np.uint16 if held.max() * (self.ahead + 1) < 1 << 16 else np.int64).reshape(-1, k)
+        around = sum(held[s : s + _CELLS] for s in range(self.ahead + 1))
+        return np.stack(np.divmod(np.flatnonzero(around >= self.need.astype(around.dtype)), k))
+
+    def _held(self, where: np.ndarray, column: np.ndarray, cell: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Whether the region of each (cell, item) holds as many of all words of the item as a leak must have."""
+        a, z = np.searchsorted(where, cell - 1), np.searchsorted(where, cell + self.ahead)
+        which = np.repeat(a - (np.cumsum(z - a) - (z - a)), z - a) + np.arange((z - a).sum())
+        pair = np.repeat(np.arange(len(cell)), z - a)
+        key = column[which] * len(self.need) + item[pair]
+        found = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        own = self.keys[found] == key
+        once = _distinct(pair[own] * len(self.keys) + found[own])
+        pair, found = np.divmod(once, len(self.keys))
+        return np.bincount(pair, weights=self.times[found], minlength=len(cell)) >= self.least[item]
+
+
+def _by_first(parts: list[np.ndarray]) -> np.ndarray:
+    rows = np.concatenate(parts, axis=1)
+    return rows[:, np.argsort(rows[0], kind="stable")]
+
+
+def _least(share: float, n: int) -> int:
+    """The smallest number of n words that is ``share`` of them or more."""
+    return next(x for x in range(n + 1) if x / n >= share)
+
+
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    keys = np.sort(keys)
+    return keys[np.diff(keys, prepend=-1) != 0]
 
 
 class _Passages:
@@ -79,13 +163,17 @@ class _Passages:
         text = np.searchsorted(w.offsets, at, side="right") - 1
         self.half = self.first[text] + (at - w.offsets[text]) // HALF
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """(passage, column), each once; passage h is half h and the next of the same text."""
-        with_before = self.half[self.half > 0]
+    def pairs(self, place: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(passage, column), each once; passage h is half h and the next of the same text. ``place`` renumbers columns."""
+        half, column = self.half, self.column
+        if place is not None:
+            column = place[column]
+            half, column = half[column >= 0], column[column >= 0]
+        with_before = half[half > 0]
         same = self.text[with_before] == self.text[with_before - 1]
-        passage = np.concatenate([self.half, with_before[same] - 1])
-        column = np.concatenate([self.column, self.column[self.half > 0][same]])
-        both = np.unique(passage * (1 << 24) + column)
+        passage = np.concatenate([half, with_before[same] - 1])
+        column = np.concatenate([column, column[half > 0][same]])
+        both = _distinct(passage * (1 << 24) + column)
         return both >> 24, both & ((1 << 24) - 1)
 
 
@@ -130,7 +218,7 @@ def build(docs: DataFrame, items: list[tuple[int | None, bytes]]) -> Space | Non
         df, n = np.zeros(len(shared.value), np.int64), 0
         for _, texts in _texts(batches):
             p = _Passages(texts, shared.value)
-            df += np.bincount(np.unique(p.half * (1 << 24) + p.column) & ((1 << 24) - 1), minlength=len(df))
+            df += np.bincount(_distinct(p.half * (1 << 24) + p.column) & ((1 << 24) - 1), minlength=len(df))
             n += p.total
         return {0: (df, np.array([n]))}
 
@@ -142,6 +230,8 @@ def build(docs: DataFrame, items: list[tuple[int | None, bytes]]) -> Space | Non
     for w in words:
         own = np.unique(np.searchsorted(columns, w))
         keep[own[np.argsort(df[own], kind="stable")[:LEAST]]] = True
+    vocabulary, bound = columns, Bound(words, columns, df)
+    place = np.where(keep, np.cumsum(keep) - 1, -1)
     columns, df = columns[keep], np.maximum(df[keep], 1)
     weight = (np.log(1 + n / df) / np.sqrt(df)).astype(np.float32)
     own = [_own(w, columns) for w in words]
@@ -166,7 +256,7 @@ def build(docs: DataFrame, items: list[tuple[int | None, bytes]]) -> Space | Non
     z = np.concatenate([parts[k][0] for k in sorted(parts)]).astype(np.float64)
     basis = _nystrom(z, start.astype(np.float64))
     coordinates = np.stack([(basis[x] * weight[x, None]).sum(axis=0) / n for x, n in zip(own, norm, strict=True)])
-    return Space(columns, weight, basis.astype(np.float32), [i for i, _ in items], words, coordinates.astype(np.float32))
+    return Space(vocabulary, place, weight, basis.astype(np.float32), [i for i, _ in items], words, coordinates.astype(np.float32), bound)
 
 
 def _own(words: np.ndarray, columns: np.ndarray) -> np.ndarray:
@@ -213,12 +303,23 @@ def common_subsequence(a: list, b: list) -> int:
 
 
 def _leaks(space: Space, ids: list, texts: list[bytes]) -> list[tuple]:
-    p = _Passages(texts, space.columns)
-    passage, column = p.pairs()
-    if not len(passage):
-        return []
+    p = _Passages(texts, space.vocabulary)
+    passage, column = p.pairs(space.place)
     new = np.flatnonzero(np.diff(passage, prepend=-1))
+    possible_passage, possible_item = space.bound.candidates(p)
     found: dict[tuple[int, int], tuple[float, float, float]] = {}
+
+    def verify(h: int, k: int, cosine: float) -> None:
+        t = int(p.text[h])
+        item = space.item_words[k].tolist()
+        at = int(p.words.offsets[t]) + (h - int(p.first[t])) * HALF
+        low, high = max(at - HALF, int(p.words.offsets[t])), min(at + 3 * HALF, int(p.words.offsets[t + 1]))
+        region = p.words.hashes[low : max(high, min(at + len(item) + HALF, int(p.words.offsets[t + 1])))].tolist()
+        covered = common_subsequence(item, region) / len(item)
+        answer = item[-max(4, len(item) // 4) :]
+        if covered >= COVERED and (told := common_subsequence(answer, region) / len(answer)) >= ANSWER:
+            found[t, k] = max(found.get((t, k), (0, 0, 0)), (covered, told, cosine))
+
     for a in range(0, len(new), 4096):
         begin = new[a : a + 4096]
         last = new[a + 4096] if a + 4096 < len(new) else len(passage)
@@ -227,17 +328,16 @@ def _leaks(space: Space, ids: list, texts: list[bytes]) -> list[tuple]:
         latent = np.add.reduceat(space.basis[own] * w[:, None], begin - begin[0], axis=0)
         norm = np.sqrt(np.add.reduceat(w * w, begin - begin[0]))
         cosine = latent @ space.items.T / norm[:, None]
-        for r, k in zip(*np.nonzero(cosine >= COSINE), strict=True):
-            h = int(passage[begin[r]])
-            t = int(p.text[h])
-            item = space.item_words[k].tolist()
-            at = int(p.words.offsets[t]) + (h - int(p.first[t])) * HALF
-            low, high = max(at - HALF, int(p.words.offsets[t])), min(at + 3 * HALF, int(p.words.offsets[t + 1]))
-            region = p.words.hashes[low : max(high, min(at + len(item) + HALF, int(p.words.offsets[t + 1])))].tolist()
-            covered = common_subsequence(item, region) / len(item)
-            answer = item[-max(4, len(item) // 4) :]
-            if covered >= COVERED and (told := common_subsequence(answer, region) / len(answer)) >= ANSWER:
-                found[t, int(k)] = max(found.get((t, int(k)), (0, 0, 0)), (covered, told, float(cosine[r, k])))
+        candidate = cosine >= COSINE
+        first, end = np.searchsorted(possible_passage, (passage[begin[0]], passage[last - 1] + 1))
+        row = np.minimum(np.searchsorted(passage[begin], possible_passage[first:end]), len(begin) - 1)
+        there = passage[begin[row]] == possible_passage[first:end]
+        candidate[row[there], possible_item[first:end][there]] = True
+        for r, k in zip(*np.nonzero(candidate), strict=True):
+            verify(int(passage[begin[r]]), int(k), float(cosine[r, k]))
+    # passages without a column have no cosine
+    for i in np.flatnonzero(~np.isin(possible_passage, passage[new])):
+        verify(int(possible_passage[i]), int(possible_item[i]), 0.0)
     return [(ids[t], space.item_ids[k], cos, covered, told) for (t, k), (covered, told, cos) in sorted(found.items())]
 
 
