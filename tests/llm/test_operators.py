@@ -77,6 +77,24 @@ def test_near_duplicates(spark, documents):
         assert Counter(r.doc_id for r in found if r.kept and r.doc_id is not None) == Counter(set(want.values()))
 
 
+def test_links_to_members_that_joined_by_other_texts(spark):
+    # 1, 2 and 3 are one class by lead 1, so 3 is not compared with lead 2; 4 shares a band with 2 and 3 only
+    own = {i: np.arange(a, z, dtype=np.uint64) for i, (a, z) in {1: (0, 100), 2: (0, 98), 3: (10, 108), 4: (20, 118)}.items()}
+    bands = {1: [10, 11, 1], 2: [10, 2, 12], 3: [3, 11, 12], 4: [4, 5, 12]}
+    pack = op02_weighted_minhash.rounds.pack
+    rows = [(i, bands[i], float(len(h)), bytes(pack(*op02_weighted_minhash.rounds.squeeze(h, 6), np.ones(len(h), np.float32)))) for i, h in own.items()]
+    near = {(a, b): len(np.intersect1d(own[a], own[b])) / len(np.union1d(own[a], own[b])) for a in own for b in own if a < b}
+    assert {x for x, j in near.items() if j < 0.8} == {(1, 4), (2, 4)}
+    vectors = spark.createDataFrame(rows, "doc_id long, bands array<long>, total double, vector binary")
+    assert {r.node: r.component for r in op02_weighted_minhash._linked(vectors).collect()} == {1: 1, 2: 1, 3: 1, 4: 1}
+
+
+def test_similarity_of_texts_of_unequal_weight():
+    pack, squeeze = op02_weighted_minhash.rounds.pack, op02_weighted_minhash.rounds.squeeze
+    a, b = (bytes(pack(*squeeze(np.arange(n, dtype=np.uint64), 6), np.ones(n, np.float32))) for n in (100, 75))
+    assert op02_weighted_minhash.similarity(a, 100.0, b, 75.0) == 0.75  # distances to a lead must be true ones
+
+
 def test_one_of_each_class_stays(spark):
     frame = awkward(spark)
     kept = op02_weighted_minhash.keep_one(frame)

@@ -9,9 +9,10 @@ taken over the shared shingles. Two texts at similarity 0.8 meet in some band wi
 Texts that share a band are not paired with each other. Each is compared with the smallest of its band, first with the
 smallest of all its bands, then with those that this has not joined it to. Those that are below ``SIMILAR`` are compared
 with each other in blocks of ``BLOCK``, but not if they are in one class already. What that leaves open are links between
-a text that fell out and a member that did not; since one minus the similarity is a metric, only members farther from the
-smallest than the text's own distance less 0.2 can be such partners, and those of other classes are compared, too. Verified
-links make classes; the smallest doc_id of each is kept.
+a text that fell out and a text of its band that is in the class of the smallest, by whatever links. Where a text fell out,
+all of the latter are compared with the smallest; since one minus the similarity is a metric, only those farther from the
+smallest than the other text's own distance less 0.2 can be partners, and these are compared. Verified links make classes;
+the smallest doc_id of each is kept.
 
 Equal texts are one text throughout. Rules: null, empty and blank texts have no shingles and stay alone; so do rows without
 doc_id. Rows that share a doc_id are one document; the first (by text) is its row that is kept. An empty table gives no
@@ -146,10 +147,12 @@ def similarity(a: bytes, total_a: float, b: bytes, total_b: float) -> float:
     return _overlap((wa, rounds.widen(tuple(ha), 6), total_a), (wb, rounds.widen(tuple(hb), 6), total_b))
 
 
+def _can_link(total_a: float, total_b: float) -> bool:
+    return min(total_a, total_b) >= SIMILAR * max(total_a, total_b) - 1e-6
+
+
 def _overlap(a: tuple[np.ndarray, np.ndarray, float], b: tuple[np.ndarray, np.ndarray, float]) -> float:
     (wa, ha, total_a), (wb, hb, total_b) = a, b
-    if min(total_a, total_b) < SIMILAR * max(total_a, total_b) - 1e-6:
-        return 0.0
     at = np.minimum(np.searchsorted(hb, ha), len(hb) - 1)
     same = hb[at] == ha
     low = float(np.minimum(wa[same], wb[at[same]]).sum(dtype=np.float64))
@@ -206,10 +209,15 @@ def _linked(vectors: DataFrame) -> DataFrame:
     left = left.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
     found = left.join(vectors.select("doc_id", "total", "vector"), "doc_id").groupBy("band", "key", "low", "high").applyInArrow(_all_links, "a long, b long, j double")
     inside = _joined(inside, stored(found))
-    # and with those members of the lead's class that can be near enough
-    j = checked.select(F.col("a").alias("doc_id"), F.col("b").alias("lead"), "j")
-    near = _classes_of(j, inside, "doc_id", "lead").withColumn("out", F.col("class_a") != F.col("class_b"))
-    near = near.where(f"(out AND j >= {1 - 2 * REACH} AND j < {SIMILAR}) OR (NOT out AND j >= {SIMILAR})").select("lead", "doc_id", "j", "out")
+    # and with those members of the lead's class that can be near enough, by whatever links they are in it
+    pairs = others.select(F.col("doc_id").alias("a"), F.col("lead").alias("b")).distinct()
+    state = _classes_of(pairs, inside, "a", "b").withColumn("out", F.col("class_a") != F.col("class_b")).select("a", "b", "out")
+    state = stored(state.join(state.where("out").select("b").distinct(), "b", "left_semi"))
+    missing = state.select("a", "b").join(checked, ["a", "b"], "left_anti")
+    checked = checked.union(stored(_verified(missing, vectors)))
+    near = stored(state.join(checked, ["a", "b"]).select(F.col("b").alias("lead"), F.col("a").alias("doc_id"), "j", "out"))
+    far = near.groupBy("lead").agg(F.max(F.when(F.col("out"), F.col("j"))).alias("nearest_out"), F.min(F.when(~F.col("out"), F.col("j"))).alias("farthest_member"))
+    near = near.join(far, "lead").where(f"IF(out, j >= farthest_member - {REACH} - 1e-6, j <= nearest_out + {REACH} + 1e-6)").select("lead", "doc_id", "j", "out")
     size = near.groupBy("lead").agg(F.count_if("out").alias("outs"), F.count_if(~F.col("out")).alias("members")).where("outs > 0 AND members > 0")
     size = size.select("lead", *(F.expr(f"CAST(ceil({c} / {BLOCK}) AS int)").alias(c) for c in ("outs", "members")))
     both = near.join(size, "lead").withColumn("mine", F.expr("CAST(pmod(xxhash64(doc_id), IF(out, outs, members)) AS int)"))
@@ -239,7 +247,7 @@ def _fringe_links(rows: pa.Table) -> pa.Table:
             n = z - a
             at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
             low = np.bincount(which[at], weights=np.minimum(weight[at], np.repeat(own, n)), minlength=len(members))
-            near = np.where(1 - j[members] >= 1 - j[k] - REACH - 1e-9, low / (total[k] + total[members] - low), 0)
+            near = np.where(1 - j[members] >= 1 - j[k] - REACH - 1e-6, low / (total[k] + total[members] - low), 0)
             if near.max() >= SIMILAR:
                 found.append((int(ids[k]), int(ids[members[near.argmax()]]), float(near.max())))
     columns = list(zip(*found, strict=True)) or [()] * 3
@@ -265,7 +273,7 @@ def _all_links(rows: pa.Table) -> pa.Table:
         for k in range(i):
             if (two and block[i] == block[k]) or (p := top(own[i])) == (q := top(own[k])):
                 continue
-            if (j := _overlap(weights[i], weights[k])) >= SIMILAR:
+            if _can_link(weights[i][-1], weights[k][-1]) and (j := _overlap(weights[i], weights[k])) >= SIMILAR:
                 above[max(p, q)] = min(p, q)
                 out.append((ids[i], ids[k], j))
     columns = list(zip(*out, strict=True)) or [()] * 3
