@@ -20,7 +20,7 @@ def header_map(block: Column) -> Column:
         fields,
         lambda line: F.struct(
             F.rtrim(F.substring_index(line, ":", 1)).alias("key"),
-            F.regexp_replace(F.regexp_replace(line, r"^[^:]*:[ \t]*", ""), r"[ \t]+$", "").alias("value"),
+            F.regexp_replace(F.regexp_replace(line, r"^[^:]*:[ \t]*", ""), r"(?<![ \t])[ \t]++$", "").alias("value"),
         ),
     )
     return F.coalesce(F.map_from_entries(entries), empty_map())

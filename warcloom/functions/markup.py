@@ -11,9 +11,11 @@ from warcloom.functions.literals import empty_strings
 from warcloom.functions.texts import decode_entities, normalise, squeeze
 from warcloom.functions.urls import has_scheme_and_host, resolve
 
-# What stands between a tag's name and its end. A ">" in quotes does not end it, unless a quote is never closed.
-_INSIDE = r"""(?:"[^"]*"|'[^']*'|[^'">])"""
-_END = rf"(?:{_INSIDE}*+>|[^>]*>)"
+# What stands between a tag's name and its end. A ">" in quotes does not end it, unless a quote is never closed; a "<"
+# outside quotes does, as the tag is then no tag. So no "<" looks beyond the next, and repeated groups are possessive,
+# which the engine runs as loops: time is linear in the page, and no page is too deep.
+_INSIDE = r"""(?:"[^"]*+"|'[^']*+'|[^'"<>])"""
+_END = rf"(?:{_INSIDE}*+>|[^<>]*+>)"
 _TAG_REST = rf"/?[a-zA-Z!?]{_END}"
 TAG = f"<{_TAG_REST}"
 
@@ -31,9 +33,14 @@ def _element(name: str) -> str:
     return rf"{name}\b{_END}.*?(?:</{name}\s*>|\z)"
 
 
+def _content(name: str) -> str:
+    """What stands before the end tag of an element; not another such element, so that no two starts look at the same text."""
+    return rf"(?:[^<]++|<(?!/{name}\s*>|{name}\b))*+"
+
+
 def _closed_element(name: str) -> str:
-    """An element with its content, or its tag alone if it is not closed."""
-    return rf"{name}\b{_END}(?:.*?</{name}\s*>)?"
+    """An element with its content, or its tag alone if it is not closed before the next of its kind."""
+    return rf"{name}\b{_END}(?:{_content(name)}</{name}\s*>)?"
 
 
 # The end tag of a head may be left out: it also ends where the body, or a first block, begins.
@@ -89,7 +96,7 @@ def headlines(cleaned: Column) -> Column:
     """All h1, then all h2, ... h6, as normalised direct text, empty ones left out."""
 
     def inner(page: Column, level: int) -> Column:
-        return F.regexp_extract_all(page, F.lit(rf"(?is)<h{level}\b[^>]*>(.*?)</h{level}\s*>"), F.lit(1))
+        return F.regexp_extract_all(page, F.lit(rf"(?is)<h{level}\b{_END}({_content(f'h{level}')})</h{level}\s*>"), F.lit(1))
 
     elements = let(cleaned, lambda page: F.concat(*(inner(page, level) for level in range(1, 7))))
     texts = F.flatten(F.transform(elements, _direct_texts))
@@ -98,8 +105,14 @@ def headlines(cleaned: Column) -> Column:
 
 def hrefs(cleaned: Column) -> Column:
     """Non-empty `href` values of all `a` elements, in order, repeats kept."""
-    pattern = rf"""(?is)<a\s(?:{_INSIDE}*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-    found = F.regexp_extract_all(cleaned, F.lit(pattern), F.lit(1))
+    tags = F.regexp_extract_all(cleaned, F.lit(rf"(?is)<a\s{_END}"), F.lit(0))
+    # quoted values are passed over, so nothing within them is an attribute; the first href of a tag counts
+    attribute = r"""(?is)\shref\s*+=\s*+("[^"]*"|'[^']*'|[^\s"'>]+)|"[^"]*"|'[^']*'"""
+
+    def first(tag: Column) -> Column:
+        return F.get(F.filter(F.regexp_extract_all(tag, F.lit(attribute), F.lit(1)), lambda raw: raw != ""), F.lit(0))
+
+    found = F.filter(F.transform(tags, first), lambda raw: raw.isNotNull())
     values = F.transform(found, lambda raw: F.trim(decode_entities(F.regexp_replace(raw, "^[\"']|[\"']$", ""))))
     return F.filter(values, lambda value: value != "")
 

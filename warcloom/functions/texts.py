@@ -22,7 +22,7 @@ def squeeze(text: Column) -> Column:
 
 
 def strip_space(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+\z", "")
+    return F.regexp_replace(text, rf"^{SPACE}++|(?<!{SPACE}){SPACE}++\z", "")
 
 
 def _code_point(hexadecimal: Column) -> Column:

@@ -12,7 +12,10 @@ from warcloom.fixed_values import ABBREVIATIONS, DEFAULT_LANGUAGE, TOKENIZER_LAN
 from warcloom.functions.binding import let
 from warcloom.functions.texts import NOT_SPACE, SPACE, strip_space
 
-TOKEN = r"\p{N}+(?:[.,:]\p{N}+)+|[\p{L}\p{M}\p{N}_'\-]+|[^\t-\r\x1c-\x20\x85\p{Z}\p{L}\p{M}\p{N}_]"
+# Repeated groups are possessive, which the engine runs as loops, so that no text is too deep.
+_NUMBER = r"\p{N}++(?:[.,:]\p{N}++)++"
+_RUN = r"[\p{L}\p{M}\p{N}_'\-]+"
+TOKEN = rf"{_NUMBER}|{_RUN}|[^\t-\r\x1c-\x20\x85\p{{Z}}\p{{L}}\p{{M}}\p{{N}}_]"
 WORD = r"^[\p{L}\p{N}_\-']+$"
 
 # Characters that carry a syllable. A few Czech and Slovak pairs form one syllable; elsewhere any run does.
@@ -29,7 +32,7 @@ SENTENCE = NUCLEUS = "\u0001"
 
 def stripped_word(word: Column) -> Column:
     """A word without non-word characters at its ends."""
-    return F.regexp_replace(word, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
+    return F.regexp_replace(word, r"^[^\p{L}\p{N}]++|(?<![^\p{L}\p{N}])[^\p{L}\p{N}]++$", "")
 
 
 def normalised_words(text: Column) -> Column:
@@ -59,7 +62,7 @@ def _boundary(language: str) -> str:
     stop = rf"(?<!{start}(?iu:{listed}))(?<!{start}\p{{Lu}})\."
     return (
         rf"(?=[.!?])(?:(?:[!?]{closing}*|\.{closing}+){SPACE}+(?={opening}*[\p{{Lu}}\p{{N}}])"
-        rf"|{stop}{SPACE}+(?={opening}*\p{{Lu}}|{opening}+\p{{N}}|(?<!\p{{N}}\.{SPACE}{{1,100}})\p{{N}}))"
+        rf"|{stop}{SPACE}+(?={opening}*\p{{Lu}}|{opening}+\p{{N}})|(?<!\p{{N}}){stop}{SPACE}+(?=\p{{N}}))"
     )
 
 
@@ -111,7 +114,7 @@ def words_of(text: Column) -> Column:
     """The valid words among the tokens of a text, without making the other tokens."""
 
     def found(source: Column) -> Column:
-        runs = F.regexp_extract_all(source, F.lit(r"\p{N}+(?:[.,:]\p{N}+)+|[\p{L}\p{M}\p{N}_'\-]+"), F.lit(0))
+        runs = F.regexp_extract_all(source, F.lit(f"{_NUMBER}|{_RUN}"), F.lit(0))
         return F.when(source.rlike(r"\p{M}|\p{N}[.,:]\p{N}"), valid_words(runs)).otherwise(runs)
 
     return let(F.coalesce(text, F.lit("")), found)

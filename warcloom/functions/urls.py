@@ -34,7 +34,7 @@ def _url_key(lower: Column) -> Column:
         .when(scheme == "https", F.regexp_replace(host, ":443$", ""))
         .otherwise(host)
     )
-    path = F.regexp_replace(F.regexp_extract(whole, _PATH, 1), "/+$", "")
+    path = F.regexp_replace(F.regexp_extract(whole, _PATH, 1), "(?<!/)/++$", "")
     path = F.when(path == "", F.lit("/")).otherwise(path)
     arguments = F.array_join(F.array_sort(F.split(F.regexp_extract(whole, r"\?(.*)$", 1), "&")), "&")
     query = F.regexp_replace(F.concat(F.lit("?"), arguments), r"^\?$", "")
@@ -77,7 +77,7 @@ def resolve(reference: Column, base: Column) -> Column:
 def _resolve(reference: Column, base: Column) -> Column:
     origin = F.concat(F.regexp_extract(base, _SCHEME, 1), F.lit("://"), F.regexp_extract(base, _AUTHORITY, 1))
     base_path = F.regexp_extract(base, _PATH, 1)
-    base_folder = F.concat(F.lit("/"), F.regexp_replace(F.regexp_replace(base_path, "[^/]*$", ""), "^/", ""))
+    base_folder = F.concat(F.lit("/"), F.regexp_replace(F.regexp_replace(base_path, "(?<![^/])[^/]++$", ""), "^/", ""))
     tail = F.regexp_replace(F.regexp_replace(reference, _NO_QUERY, ""), r"\??#?$", "")
     path = F.regexp_extract(reference, _NO_QUERY, 0)
     merged = F.regexp_replace(F.concat(base_folder, path), "/{2,}", "/")
