@@ -20,7 +20,8 @@ def export_name(column: str) -> str:
     return column.replace("_", "-")
 
 
-def _as_text(records: DataFrame, column: str) -> Column:
+def as_text(records: DataFrame, column: str) -> Column:
+    """A column as the text of a cell: strings as they are, nested values as JSON."""
     kind = records.schema[column].dataType.typeName()
     return F.col(column) if kind == "string" else F.to_json(column) if kind in ("array", "map", "struct") else (
         F.col(column).cast("string")
@@ -33,7 +34,7 @@ def decompose(records: DataFrame, separate: list[str] = SEPARATE_COLUMNS, droppe
     Fields that are null are absent from the JSON.
     """
     columns = [
-        F.coalesce(_as_text(records, name), F.lit("")).alias(name)
+        F.coalesce(as_text(records, name), F.lit("")).alias(name)
         if name in records.columns
         else F.lit("").alias(name)
         for name in separate
@@ -93,5 +94,5 @@ def upsert(stored: DataFrame, batch: DataFrame, key: str = "key", version: str |
 def cells(rows: DataFrame, key: str = "key") -> DataFrame:
     """Long form (row, column, value): strings as they are, other values as JSON; null cells are left out."""
     columns = [name for name in rows.columns if name != key]
-    texts = rows.select(F.col(key).alias("row"), *(_as_text(rows, name).alias(name) for name in columns))
+    texts = rows.select(F.col(key).alias("row"), *(as_text(rows, name).alias(name) for name in columns))
     return texts.unpivot(["row"], columns, "column", "value").filter("value IS NOT NULL")

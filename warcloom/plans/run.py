@@ -11,11 +11,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warcloom.fixed_values import DROPPED_FIELDS, MIME_GROUPS, RUN_STATUS
+from warcloom.fixed_values import DROPPED_FIELDS, MIME_GROUPS, RUN_STATUS, SEPARATE_COLUMNS
 from warcloom.operators import gates, output, registry
 from warcloom.operators.records import normalise, normalisation_errors
 from warcloom.plans.steps import Step, run_steps
 from warcloom.session import configure, stored
+from warcloom.sources.keyed import KeyedTable, Manifest
 from warcloom.sources.warc import scan
 
 
@@ -66,11 +67,28 @@ def reprocess(stored: DataFrame, steps: Sequence[Step]) -> DataFrame:
     return run_steps(rows, {"stored": list(steps)}).drop("mime_group", "is_revisit")
 
 
+def reprocess_table(table: KeyedTable, steps: Sequence[Step], batch_of: tuple[str, int] | None = None) -> Manifest:
+    """Run text-level steps again on a stored main table, and put what they give back into its rows.
+
+    Steps see key, url, plain text and language. Their outputs become cells: those that rows have a column for replace it,
+    others are added as columns. Revisits, and cells that no step names, stay as they are.
+    """
+    text = {name: F.nullif(F.col(name), F.lit("")) for name in ("plain_text", "language", "refers_to")}
+    rows = table.read().withColumns(text | {"url": F.get_json_object("IF", "$.url")})
+    texts = rows.filter(F.col("refers_to").isNull()).select("key", "url", *text)
+    outputs = [name for step in steps for name in step.outputs if name not in DROPPED_FIELDS]
+    again = reprocess(texts, steps)
+    cells = {name: output.as_text(again, name) for name in dict.fromkeys(outputs)}
+    # a separate column is empty where it has no value, so that an old value goes; other cells are absent
+    put = [F.coalesce(c, F.lit("")).alias(n) if n in SEPARATE_COLUMNS else c.alias(n) for n, c in cells.items()]
+    return table.upsert(again.select("key", *put), batch_of=batch_of)
+
+
 def save_run(
     spark: SparkSession,
     glob: str,
     sequences: Mapping[str, Sequence[Step]],
-    main: str,
+    main: str | KeyedTable,
     harvests: str,
     runs: str,
     ids: DataFrame | None = None,
@@ -79,19 +97,29 @@ def save_run(
     """Process WARC files into tables: `main` rows, new `harvests`, and one row of `runs`, which is returned.
 
     Files are scanned and pages extracted once: results, without payloads, go to the shared folder, and all tables are
-    made from there. A lost executor costs only its own part. `main` receives rows by append; `output.upsert` makes one
-    table of it and an older one.
+    made from there. A lost executor costs only its own part. In a keyed table as `main`, rows replace those of earlier
+    runs with the same key; a path receives rows by append, as an export.
     """
     return save_results(spark, process_warcs(spark, glob, sequences, ids), main, harvests, runs, args)
 
 
-def save_results(spark: SparkSession, run: Run, main: str, harvests: str, runs: str, args: str = "") -> DataFrame:
-    """Store the results of a run, see `save_run`. 
+def save_results(
+    spark: SparkSession,
+    run: Run,
+    main: str | KeyedTable,
+    harvests: str,
+    runs: str,
+    args: str = "",
+    batch_of: tuple[str, int] | None = None,
+) -> DataFrame:
+    """Store the results of a run, see `save_run`.
 
-    The row of the run has the status `running` from its start, and is replaced by one with `finished` or `failed`.
+    The row of the run has the status `running` from its start, and is replaced by one with `finished` or `failed`. With
+    `batch_of`, (writer, number), the run may be repeated after a failure: a keyed table takes its rows once, known
+    harvests are not added again, and its row in the log is replaced.
     """
     started = int(time.time() * 1000)
-    run_id = f"run-{started}-{uuid.uuid4().hex[:8]}"
+    run_id = f"run-{started}-{uuid.uuid4().hex[:8]}" if batch_of is None else f"batch-{uuid.uuid5(uuid.NAMESPACE_URL, batch_of[0])}-{batch_of[1]}"
 
     nothing = spark.sql("SELECT 0L AS records_processed, 0L AS records_failed, cast(array() AS array<string>) AS harvests")
 
@@ -104,7 +132,11 @@ def save_results(spark: SparkSession, run: Run, main: str, harvests: str, runs:
         results = stored(run.results.drop(*DROPPED_FIELDS), "results")
         if results.filter(F.col("drop_reason").isNull() | (F.col("drop_reason") != gates.UNREADABLE)).isEmpty() and not results.isEmpty():
             raise OSError("none of the files could be read")
-        output.write_table(output.decompose(gates.passed(results)), main, "append")
+        rows = output.decompose(gates.passed(results))
+        if isinstance(main, KeyedTable):
+            main.upsert(rows, batch_of=batch_of)
+        else:
+            output.write_table(rows, main, "append")
         known = stored_table(spark, harvests, "hid string, type string, date string")
         registry.new_harvests(registry.registered(results), known).write.mode("append").parquet(harvests)
         log(registry.run_counts(results, F.col("scan_error").isNotNull()), "finished")

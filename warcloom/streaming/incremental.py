@@ -10,6 +10,7 @@ from warcloom.operators.records import normalisation_errors, normalise
 from warcloom.plans.run import process, save_results
 from warcloom.plans.steps import Step
 from warcloom.session import configure
+from warcloom.sources.keyed import KeyedTable
 from warcloom.sources.warc import scan_files
 
 _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -19,7 +20,7 @@ def save_new_files(
     spark: SparkSession,
     folder: str,
     sequences: Mapping[str, Sequence[Step]],
-    main: str,
+    main: str | KeyedTable,
     harvests: str,
     runs: str,
     checkpoint: str,
@@ -27,14 +28,15 @@ def save_new_files(
 ) -> None:
     """Process the files of a folder that are not in the `checkpoint` yet, in batches, and end.
 
-    The stream carries paths and lengths only. If a batch is interrupted, its files are processed again: rows of `main`
-    are keyed, so `output.upsert` sees the same rows twice.
+    The stream carries paths and lengths only. An interrupted batch is processed again: a keyed table as `main` knows the
+    batches of this checkpoint and takes each once; a path, to which rows are appended, gets its rows twice.
     """
     configure(spark)
 
     def save(batch: DataFrame, number: int) -> None:
-        records = normalise(scan_files(batch)).withColumn("errors", normalisation_errors())
-        save_results(batch.sparkSession, process(records, sequences), main, harvests, runs, f"batch {number}")
+        records = normalise(scan_files(batch, all_records=True)).withColumn("errors", normalisation_errors())
+        run = process(records, sequences)
+        save_results(batch.sparkSession, run, main, harvests, runs, f"batch {number}", (checkpoint, number))
 
     for_each_batch_of_files(spark, folder, checkpoint, save, max_files_per_batch)
 
