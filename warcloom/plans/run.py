@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from warcloom.fixed_values import DROPPED_FIELDS, MIME_GROUPS, RUN_STATUS, SEPARATE_COLUMNS
 from warcloom.operators import gates, output, registry
 from warcloom.operators.records import normalise, normalisation_errors
-from warcloom.plans.steps import Step, run_steps
+from warcloom.plans.steps import Step, failed_steps, run_steps
 from warcloom.session import configure, stored
 from warcloom.sources.keyed import KeyedTable, Manifest
 from warcloom.sources.warc import scan
@@ -139,7 +139,7 @@ def save_results(
             output.write_table(rows, main, "append")
         known = stored_table(spark, harvests, "hid string, type string, date string")
         registry.new_harvests(registry.registered(results), known).write.mode("append").parquet(harvests)
-        log(registry.run_counts(results, F.col("scan_error").isNotNull()), "finished")
+        log(registry.run_counts(results, F.col("scan_error").isNotNull() | failed_steps(results)), "finished")
     except Exception:
         log(nothing, "failed")
         raise

@@ -10,13 +10,19 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from warcloom.fixed_values import MIME_GROUPS, PAGE_TYPE_NEEDLES
+from warcloom.fixed_values import DEFAULT_LANGUAGE, MIME_GROUPS, PAGE_TYPE_NEEDLES
+from warcloom.functions import tokens as tk
 from warcloom.operators.classify import page_type
 from warcloom.operators.gates import invalid_rules
 from warcloom.operators.language import Stoplists
+from warcloom.operators.linear import LinearModel, sentiment_of, topics_of
 from warcloom.operators.page_text import with_charset, with_html, with_page_text
 from warcloom.operators.readability import with_reading_ease, with_sentences, with_tokens
 from warcloom.sources.warc import NOT_DECODED
@@ -78,6 +84,104 @@ def flesch_reading_ease() -> Step:
     return Step("FleschReadingEase", with_reading_ease, outputs, ["plain_text"])
 
 
+def _classified(name: str, output: str, kind: str, expression: Callable, only_language: str) -> Step:
+    """A step that scores the tokens of texts of one language; the tokens of a step before it, or else its own."""
+
+    def apply(records: DataFrame) -> DataFrame:
+        own = tk.tokens(F.col("plain_text"))
+        made = F.col("plain_text_tokens") if "plain_text_tokens" in records.columns else None
+        tokens = own if made is None else F.when(F.size(made) > 0, made).otherwise(own)
+        wanted = F.when(F.col("language") == only_language, tokens)
+        return records.withColumn(output, expression(records.sparkSession)(wanted))
+
+    return Step(name, apply, {output: kind}, ["plain_text", "language"])
+
+
+def topics(model: LinearModel, only_language: str = DEFAULT_LANGUAGE) -> Step:
+    """Sorted classes with a positive score; unset for other languages and texts without tokens. No shuffle."""
+    return _classified("TopicIdentifier", "topics", "array<string>", lambda spark: topics_of(spark, model), only_language)
+
+
+def sentiment(model: LinearModel, only_language: str = DEFAULT_LANGUAGE) -> Step:
+    """Sentiment in [-1, 1]; unset for other languages and texts without tokens. No shuffle."""
+    return _classified("SentimentAnalyzer", "sentiment", "double", lambda spark: sentiment_of(spark, model), only_language)
+
+
+#: How the message of a failed step begins in the column `errors`.
+FAILED_STEP = "step "
+
+
+def failed_steps(records: DataFrame) -> Column:
+    """Whether a step has failed on a record."""
+    if "errors" not in records.columns:
+        return F.lit(False)
+    return F.coalesce(F.exists("errors", lambda message: message.startswith(FAILED_STEP)), F.lit(False))
+
+
+def python_step(
+    name: str, function: Callable[[pd.DataFrame], pd.DataFrame], outputs: Mapping[str, str], inputs: Sequence[str]
+) -> Step:
+    """A step of the user's own that cannot fail a run: `function` makes the output columns of a batch of input rows.
+
+    It gets pandas frames of the records that the step is for, and returns as many rows in their order. A batch on which
+    it raises, or gives something else, is halved until the rows that fail stand alone: these keep what they had before the
+    step, with a message in `errors`, and all others have their results. Results must depend on the row alone, as
+    a row may be tried several times. The payload crosses to Python only if it is among the inputs.
+    """
+    columns = list(outputs)
+    kinds = {c: T._parse_datatype_string(kind) for c, kind in outputs.items()}
+    schema = T.StructType([*(T.StructField(c, kind) for c, kind in kinds.items()), T.StructField("_error", T.StringType())])
+    arrow = {c: to_arrow_type(kind) for c, kind in kinds.items()}
+
+    def results(frame: pd.DataFrame) -> list[pa.Array]:
+        made = function(frame.copy())
+        if len(made) != len(frame):
+            raise ValueError(f"{len(made)} rows for {len(frame)}")
+        return [pa.array(made[c], arrow[c], from_pandas=True) for c in columns]
+
+    def tried(frame: pd.DataFrame, at: list[int], done: list[tuple[list[int], list[pa.Array], str | None]]) -> None:
+        """Results of rows, of each half apart where the whole fails. A stack of halves, as deep as it is."""
+        open_ranges = [(0, len(at))] if at else []
+        while open_ranges:
+            low, high = open_ranges.pop()
+            try:
+                done.append((at[low:high], results(frame.iloc[low:high].reset_index(drop=True)), None))
+            except Exception as error:
+                if high - low > 1:
+                    middle = (low + high) // 2
+                    open_ranges += [(middle, high), (low, middle)]
+                else:
+                    done.append((at[low:high], [pa.nulls(1, arrow[c]) for c in columns], f"{type(error).__name__}: {error}"))
+
+    def work(active: pa.Array, *given: pa.Array) -> pa.Array:
+        at = [k for k, x in enumerate(active.to_pylist()) if x]
+        frame = pa.table([x.take(pa.array(at, pa.int64())) for x in given], names=list(inputs)).to_pandas()
+        done: list[tuple[list[int], list[pa.Array], str | None]] = []
+        tried(frame, at, done)
+        order = pa.array([k for rows, *_ in done for k in rows], pa.int64())
+        places = {k: place for place, k in enumerate(order.to_pylist())}
+        take = pa.array([places.get(k) for k in range(len(active))], pa.int64())
+        made = [pa.concat_arrays([arrays[c] for _, arrays, _ in done] or [pa.nulls(0, arrow[x])]).take(take) for c, x in enumerate(columns)]
+        messages = pa.array([error for rows, _, error in done for _ in rows], pa.string()).take(take)
+        return pa.StructArray.from_arrays([*made, messages], names=[*columns, "_error"])
+
+    run = F.arrow_udf(work, schema)
+
+    def apply(records: DataFrame) -> DataFrame:
+        active = F.col("_active") if "_active" in records.columns else F.lit(True)
+        made = records.withColumn("_made", run(active, *(F.col(c) for c in inputs)))
+        message = F.concat(F.lit(f"{FAILED_STEP}{name}: "), F.col("_made._error"))
+        before = F.coalesce("errors", F.expr("cast(array() as array<string>)"))
+        failed = F.col("_made._error").isNotNull()
+        results = {
+            c: F.when(failed, F.col(f"_old_{c}") if f"_old_{c}" in records.columns else F.lit(None)).otherwise(F.col(f"_made.{c}")) for c in columns
+        }
+        results["errors"] = F.when(failed, F.array_append(before, message)).otherwise(F.col("errors"))
+        return made.withColumns(results).drop("_made")
+
+    return Step(name, apply, {**outputs, "errors": "array<string>"}, [*inputs, "errors"])
+
+
 def pdf_text() -> Step:
     """PDF records are kept as they are."""
     return Step("PDFTextExtractor", lambda records: records, {})

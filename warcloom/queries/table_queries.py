@@ -343,7 +343,7 @@ def run_harvests(spark, sf_dir):
     return registry.run_harvests(records(spark, sf_dir))
 
 
-# The row that is asked for is the one of the longest page, so the key comes from the data.
+# The greatest key is asked for, so it comes from the data.
 @query("SELECT url AS key, page_id FROM pages WHERE url = (SELECT max(url) FROM pages)")
 def point_get(spark, sf_dir):
     stored = table(spark, sf_dir, "pages").select(F.col("url").alias("key"), "page_id")
