@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 BLOCK_BYTES = 1 << 20
+#: The C library's call, where it has one.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _BASE, _WORD = 0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Powers that a worker keeps; longer texts, which are few, make their own.
+KEPT_POWERS = 1 << 21
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -34,10 +40,18 @@ def powers(base: int, n: int) -> np.ndarray:
         have = np.full(max(n, 1 << 16), base, np.uint64)
         have[0] = 1
         have = np.cumprod(have, dtype=np.uint64)
-        _powers[base] = have
+        if len(have) <= KEPT_POWERS:
+            _powers[base] = have
     return have
 
 
+def give_back() -> None:
+    """Free memory of this worker process goes back to the system, as workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def blocks(texts: list[bytes], most: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of texts that hold about ``most`` bytes together; a longer text stands alone."""
     start = size = 0

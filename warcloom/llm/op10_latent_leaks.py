@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from warcloom.llm.arrays import Words, blocks
+from warcloom.llm.arrays import Words, blocks, give_back
 from warcloom.llm.stored import free_name
 
 HALF, ITEMS, EXTRA = 32, 256, 24
@@ -192,6 +192,8 @@ def _summed(docs: DataFrame, part) -> dict[int, tuple[np.ndarray, ...]]:
 
         made = part(batches)
         yield pa.record_batch([pa.array(made, pa.int32()), pa.array([rounds.pack(*x) for x in made.values()], pa.binary())], names=["block", "data"])
+        del made
+        give_back()
 
     def add(rows: pa.Table) -> pa.Table:
         from warcloom.llm import rounds
@@ -270,11 +272,32 @@ def _add_gram(z: np.ndarray, weighted: np.ndarray, weight: np.ndarray, passage:
         return
     new = np.flatnonzero(np.diff(passage, prepend=-1))
     row = np.cumsum(np.diff(passage, prepend=passage[0]) != 0)
-    y = np.add.reduceat(weighted[column], new, axis=0)
+    y = _row_sums(weighted, column, new)
     order = np.argsort(column, kind="stable")
     starts = np.flatnonzero(np.diff(column[order], prepend=-1))
     used = column[order][starts]
-    z[used] += np.add.reduceat(y[row[order]], starts, axis=0) * weight[used, None]
+    z[used] += _row_sums(y, row[order], starts) * weight[used, None]
+
+
+def _row_sums(matrix: np.ndarray, rows: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """For each stretch of ``rows`` the sum of these rows of a matrix; a stretch ends where the next begins.
+
+    The first rows of all stretches are added at once, then the second ones, and so on; a long stretch is summed alone.
+    """
+    out = np.zeros((len(begin), matrix.shape[1]), matrix.dtype)
+    size = np.diff(np.append(begin, len(rows)))
+    order = np.argsort(-size, kind="stable")
+    single = int((size > 256).sum())
+    for k in order[:single]:
+        out[k] = matrix[rows[begin[k] : begin[k] + size[k]]].sum(axis=0)
+    order = order[single:]
+    begin, size = begin[order], size[order]
+    part = np.zeros((len(order), matrix.shape[1]), matrix.dtype)
+    for j in range(int(size[0]) if len(size) else 0):
+        n = int(np.searchsorted(-size, -j))
+        part[:n] += matrix[rows[begin[:n] + j]]
+    out[order] = part
+    return out
 
 
 def _nystrom(z: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -308,6 +331,7 @@ def _leaks(space: Space, ids: list, texts: list[bytes]) -> list[tuple]:
     new = np.flatnonzero(np.diff(passage, prepend=-1))
     possible_passage, possible_item = space.bound.candidates(p)
     found: dict[tuple[int, int], tuple[float, float, float]] = {}
+    weighted = space.basis * space.weight[:, None]
 
     def verify(h: int, k: int, cosine: float) -> None:
         t = int(p.text[h])
@@ -325,7 +349,7 @@ def _leaks(space: Space, ids: list, texts: list[bytes]) -> list[tuple]:
         last = new[a + 4096] if a + 4096 < len(new) else len(passage)
         own = column[begin[0] : last]
         w = space.weight[own]
-        latent = np.add.reduceat(space.basis[own] * w[:, None], begin - begin[0], axis=0)
+        latent = _row_sums(weighted, own, begin - begin[0])
         norm = np.sqrt(np.add.reduceat(w * w, begin - begin[0]))
         cosine = latent @ space.items.T / norm[:, None]
         candidate = cosine >= COSINE
@@ -361,6 +385,7 @@ def _search(docs: DataFrame, space: Space) -> DataFrame:
             columns = list(zip(*_leaks(shared.value, ids, texts), strict=True)) or [()] * 5
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "cosine", "covered", "answer_covered"])
+        give_back()
 
     return docs.mapInArrow(work, SCHEMA)
 
