@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from warcloom.llm import rounds
-from warcloom.llm.arrays import Words, mix, windows
+from warcloom.llm.arrays import Words, blocks, mix, windows
 from warcloom.llm.components import components
 from warcloom.llm.stored import free_name, stored
 
@@ -39,6 +39,8 @@ BANDS, ROWS, BLOCK = 10, 4, 200
 REACH = 1 - SIMILAR
 _SHORT = np.uint64((1 << 56) - 1)
 _CHUNK = 1 << 17
+#: Bytes of text whose words are laid out at once; what is kept of them is smaller.
+_TEXT_BYTES = 1 << 21
 ROW = "doc_id long, first_row boolean, owner long, key binary, bands array<long>, total double, vector binary"
 _random = np.random.default_rng(5)
 _GAMMA = _random.gamma(2.0, 1.0, 1 << 16).astype(np.float32)
@@ -51,22 +53,10 @@ class _Texts:
 
     def __init__(self, part: rounds.Part, buckets: int):
         self.part, self.buckets = part, buckets
-        words = Words([part.texts[k] for k in part.distinct])
-        place = np.arange(len(words.hashes)) - np.repeat(words.offsets[:-1], words.counts)
-        text = np.repeat(np.arange(len(words.counts)), words.counts)
-        whole = np.repeat(words.counts, words.counts) - place >= WORDS
-        hashes = windows(words.hashes, WORDS)
-        for n in range(1, WORDS):  # a text of fewer words is one shingle
-            short = np.flatnonzero(words.counts == n)
-            at = words.offsets[short]
-            hashes[at] = windows(words.hashes, n)[at] + np.uint64(n)
-            whole[at] = True
-        hashes, text = mix(hashes[whole]) & _SHORT, text[whole]
-        order = np.lexsort((hashes, text))
-        new = rounds.starts_run(text[order], hashes[order]) if len(order) else np.zeros(0, bool)
-        at = np.flatnonzero(new)
-        self.tf = np.diff(np.append(at, len(order)))
-        self.text, self.hashes = text[order][new], hashes[order][new]
+        texts = [part.texts[k] for k in part.distinct]
+        made = [_shingles(texts[a:z], a) for a, z in blocks(texts, _TEXT_BYTES)] or [_shingles([], 0)]
+        self.text, self.hashes, self.tf = (np.concatenate(x) for x in zip(*made, strict=True))
+        del made
         slot = {k: i for i, k in enumerate(part.distinct)}
         rows = np.bincount([slot[k] for k in part.first], minlength=len(part.distinct))
         self.sorted, self.back = np.unique(self.hashes, return_inverse=True)
@@ -110,6 +100,25 @@ class _Texts:
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "first_row", "owner", "key", "bands", "total", "vector"])
 
 
+def _shingles(texts: list[bytes], first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the text, from ``first`` on; hash; count) of the shingles of texts, ordered by text and hash."""
+    words = Words(texts)
+    place = np.arange(len(words.hashes)) - np.repeat(words.offsets[:-1], words.counts)
+    text = np.repeat(np.arange(first, first + len(words.counts), dtype=np.int32), words.counts)
+    whole = np.repeat(words.counts, words.counts) - place >= WORDS
+    hashes = windows(words.hashes, WORDS)
+    for n in range(1, WORDS):  # a text of fewer words is one shingle
+        short = np.flatnonzero(words.counts == n)
+        at = words.offsets[short]
+        hashes[at] = windows(words.hashes, n)[at] + np.uint64(n)
+        whole[at] = True
+    hashes, text = mix(hashes[whole]) & _SHORT, text[whole]
+    order = np.lexsort((hashes, text))
+    new = rounds.starts_run(text[order], hashes[order]) if len(order) else np.zeros(0, bool)
+    at = np.flatnonzero(new)
+    return text[order][new], hashes[order][new], np.diff(np.append(at, len(order))).astype(np.int32)
+
+
 def _sketch(text: np.ndarray, hashes: np.ndarray, weight: np.ndarray, texts: int) -> np.ndarray:
     """Band keys of each text. For shingle x of weight S: r, ln c and beta by hash; t = floor(ln S / r + beta); the sample
     is the (x, t) of smallest ln c - r * (t - beta) - r."""

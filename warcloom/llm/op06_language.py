@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from warcloom.llm.arrays import give_back
+
 BITS = 16
 SAMPLE = 3000
 ALPHA, BETA, L1, L2, EPOCHS, BATCH = 10.0, 1.0, 1e-3, 1e-3, 6, 32
@@ -206,5 +208,6 @@ def keep_known(docs: DataFrame, least: float = 0.0) -> DataFrame:
         for batch in batches:
             found = shared.value.predict(batch["text"].to_pylist())
             yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
+        give_back()
 
     return docs.mapInArrow(work, docs.schema)

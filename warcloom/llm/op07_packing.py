@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from warcloom.llm.arrays import give_back
 from warcloom.llm.stored import stored
 from warcloom.llm.tokens import WordEncoder, default_path
 
@@ -51,6 +52,7 @@ def pieces(docs: DataFrame, path: str, tokens: int = TOKENS, end_id: int = END_I
                     rows.append((doc_id, k, at // 4, len(own) // 4, zlib.crc32(own), zlib.crc32(b"%d %d" % (seen, zlib.crc32(own)))))
             columns = list(zip(*rows, strict=True)) or [()] * len(_PIECE)
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, _PIECE, strict=True)], schema=_PIECE)
+        give_back()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, PIECE)
 

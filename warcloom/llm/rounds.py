@@ -19,6 +19,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from warcloom.llm.arrays import give_back
+
 PART_BYTES = 12_000_000
 NO_ID = np.iinfo(np.int64).min
 LETTER = "bucket int, part int, kind int, data binary"
@@ -64,7 +66,10 @@ class Part:
 
 def letters(rows: Iterable[tuple[int, int, int, bytes]]) -> pa.Table:
     rows = list(rows)
-    return pa.table({f.name: pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_LETTER)}, schema=_LETTER)
+    made = pa.table({f.name: pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_LETTER)}, schema=_LETTER)
+    del rows
+    give_back()
+    return made
 
 
 def squeeze(hashes: np.ndarray, width: int = 6) -> tuple[np.ndarray, ...]:
@@ -107,7 +112,12 @@ def answer(asked: DataFrame, reply: Callable[[list[tuple[int, int, bytes]]], Ite
 
 def finish(docs: DataFrame, answers: DataFrame, result: Callable[[Part, dict], pa.Table], schema: str) -> DataFrame:
     """Rows that parts make of their documents and the last answers."""
-    return docs.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(lambda rows, got: result(Part(rows), mail(got)), schema)
+    def work(rows: pa.Table, got: pa.Table) -> pa.Table:
+        made = result(Part(rows), mail(got))
+        give_back()
+        return made
+
+    return docs.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(work, schema)
 
 
 def mail(got: pa.Table) -> dict[int, dict[int, bytes]]:
