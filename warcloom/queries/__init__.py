@@ -18,4 +18,4 @@ def all_oracles():
 
 
 def _load():
-    from warcloom.queries import page_queries, record_queries, run_queries, table_queries, text_queries  # noqa: F401
+    from warcloom.queries import graph_queries, page_queries, record_queries, run_queries, table_queries, text_queries  # noqa: F401
