@@ -312,13 +312,14 @@ def _decoded(body: bytes, fields: dict[str, str]) -> tuple[bytes, str | None]:
 
     Names that are no encodings are passed over.
     """
-    if fields.get("transfer-encoding", "").lower() == "chunked":
-        body = _without_chunks(body)
+    names = ",".join([fields.get("content-encoding", ""), fields.get("transfer-encoding", "")]).lower().split(",")
     data = body
-    for encoding in reversed([name.strip() for name in fields.get("content-encoding", "").lower().split(",")]):
+    for encoding in reversed([name.strip() for name in names]):
         if not data:
             break
-        if encoding == "br":
+        if encoding == "chunked":
+            data, error = _without_chunks(data)
+        elif encoding == "br":
             data, error = _without_brotli(data)
         elif encoding in _WINDOW_BITS:
             data, error = _inflated(data, encoding)
@@ -360,19 +361,24 @@ def _without_brotli(body: bytes) -> tuple[bytes, str | None]:
         return body, "content-encoding br is broken"
 
 
-def _without_chunks(body: bytes) -> bytes:
+def _without_chunks(body: bytes) -> tuple[bytes, str | None]:
+    """Chunks put together. A body that begins with no chunk size was not chunked; one that breaks off later is an error."""
     parts, at = [], 0
     while True:
         line_end = body.find(b"\r\n", at)
-        size = body[at:line_end].split(b";")[0].strip() if line_end >= 0 else b""
-        try:
-            length = int(size, 16)
-        except ValueError:
-            # no chunk size where one must be: the body was not chunked, or the rest is as it came
-            return b"".join(parts) + body[at:] if parts else body
+        size = _CHUNK_SIZE.fullmatch(body, at, line_end) if line_end >= 0 else None
+        if size is None:
+            return (body, f"transfer-encoding chunked: broken size line, {NOT_DECODED}") if parts else (body, None)
+        length = int(size[1], 16)
         if length == 0:
-            return b"".join(parts)
-        parts.append(body[line_end + 2 : line_end + 2 + length])
-        at = line_end + 2 + length + 2
+            return b"".join(parts), None
+        at = line_end + 2 + length
+        if at > len(body):
+            return body, f"transfer-encoding chunked: cut off, {NOT_DECODED}"
+        parts.append(body[line_end + 2 : at])
+        at += 2
         if at >= len(body):
-            return b"".join(parts)
+            return b"".join(parts), None
+
+
+_CHUNK_SIZE = re.compile(rb"[ \t]*([0-9a-fA-F]{1,16})[ \t]*(?:;[^\r\n]*)?")
