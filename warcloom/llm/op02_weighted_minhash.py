@@ -65,7 +65,7 @@ class _Texts:
     def ask_frequency(self):
         # the letters' order is that of 64-bit hashes, so the 56 bits stand above
         for b, a, z in rounds.slices(self.sorted << np.uint64(8), self.buckets):
-            yield b, self.part.part, 0, rounds.pack(self.df[a:z].astype(np.uint32), *rounds.squeeze(self.sorted[a:z], 5))
+            yield b, self.part.part, 0, rounds.pack(rounds.narrow(self.df[a:z]), *rounds.squeeze(self.sorted[a:z], 5))
 
     def rows(self, got: dict, n: int) -> pa.Table:
         part = self.part
@@ -323,10 +323,10 @@ def _frequency(got: list[tuple[int, int, bytes]]):
     asked = [rounds.unpack(data) for _, _, data in got]
     hashes = np.concatenate([rounds.widen(x[1:], 5) for x in asked])
     unique, back = np.unique(hashes, return_inverse=True)
-    total = np.bincount(back, weights=np.concatenate([x[0] for x in asked]), minlength=len(unique)).astype(np.uint32)[back]
+    total = np.bincount(back, weights=np.concatenate([x[0] for x in asked]), minlength=len(unique)).astype(np.int64)[back]
     at = 0
     for (part, kind, _), x in zip(got, asked, strict=True):
-        yield part, kind, rounds.pack(total[at : at + len(x[0])])
+        yield part, kind, rounds.pack(rounds.narrow(total[at : at + len(x[0])]))
         at += len(x[0])
 
 

@@ -72,6 +72,11 @@ def letters(rows: Iterable[tuple[int, int, int, bytes]]) -> pa.Table:
     return made
 
 
+def narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in four bytes each where they fit, else in eight."""
+    return counts.astype(np.uint32 if not len(counts) or counts.max() < 1 << 32 else np.uint64)
+
+
 def squeeze(hashes: np.ndarray, width: int = 6) -> tuple[np.ndarray, ...]:
     """Sorted 64-bit numbers as differences, in ``width`` bytes each where they fit."""
     steps = np.diff(hashes, prepend=np.uint64(0))
