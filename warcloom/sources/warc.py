@@ -9,13 +9,14 @@ from __future__ import annotations
 import logging
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from warcloom.fixed_values import MAX_RECORD_BYTES, RECORD_TYPES
+from warcloom.session import stored
 from warcloom.sources.listing import files
 
 SCHEMA = (
@@ -36,8 +37,9 @@ NOT_DECODED = "is not decoded"
 _CHUNK = 1 << 20
 _BATCH_BYTES = 32 << 20
 _BATCH_ROWS = 1000
-_RECORD_LINE = re.compile(rb"\nWARC/[0-9.]+\r?\n")
+_RECORD_LINE = re.compile(rb"\nWARC/[0-9.]{1,8}\r?\n")
 _HTTP_TYPES = ("response", "revisit", "request")
+_FILE_END = 2**62
 
 
 def scan(
@@ -51,10 +53,11 @@ def scan(
     """One row per record of the wanted types and sizes.
 
     Type and size are checked while framing, so unwanted payloads are never kept; with `all_records` such a record gives
-    a row without payload, so that gates can count it. A gzip file larger than `split_bytes` is read by several tasks:
-    each starts at the first gzip member of its range that holds a record. An unreadable file, or a corrupt record,
-    gives one row with `scan_error` and no headers; reading goes on at the next gzip member, or line, that begins a
-    record, so the rows are the same for every `split_bytes`.
+    a row without payload, so that gates can count it. A file larger than `split_bytes` is read by several tasks: in a
+    gzip file each starts at the first member of its range that holds a record, in a plain file where `plain_ranges`
+    found that the records of the range begin. An unreadable file, or a corrupt record, gives one row with `scan_error`
+    and no headers; reading goes on at the next gzip member, or line, that begins a record, so the rows are the same for
+    every `split_bytes`.
     """
     return scan_files(files(spark, glob), record_types, max_record_bytes, split_bytes, all_records)
 
@@ -67,25 +70,124 @@ def scan_files(
     all_records: bool = False,
 ) -> DataFrame:
     """`scan` over files given as rows (path, length)."""
-    last = F.when(F.col("path").endswith(".gz"), F.greatest(F.col("length") - 1, F.lit(0))).otherwise(F.lit(0))
-    ranges = listed.select(
-        "path", "length", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(split_bytes).cast("long"))).alias("start")
-    ).select(
-        "path",
-        "start",
-        F.when(last > 0, F.col("start") + split_bytes).otherwise(F.lit(2**62)).alias("end"),
-    )
+    ranges = _ranges(listed, split_bytes)
     tasks = max(ranges.count(), 1)  # the listing is metadata only; one task per range
-    wanted, limit = frozenset(record_types), max_record_bytes
+    keep = _keep(record_types, max_record_bytes)
 
     def frame(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                yield from _in_batches(_frame_range(row["path"], row["start"], row["end"], wanted, limit, all_records))
+                yield from _in_batches(_frame_range(row["path"], row["start"], row["end"], keep, all_records))
 
     return ranges.repartitionByRange(tasks, "path", "start").mapInArrow(frame, SCHEMA)
 
 
+def _keep(record_types: Iterable[str], max_record_bytes: int) -> Callable[[dict[str, str]], bool]:
+    """Whether a record with these header fields has its payload built."""
+    wanted = frozenset(record_types)
+    return lambda fields: fields.get("warc-type") in wanted and int(fields["content-length"]) <= max_record_bytes
+
+
+def _ranges(listed: DataFrame, split_bytes: int) -> DataFrame:
+    """Ranges (path, start, end) of files (path, length); a range has the records that begin in it."""
+    compressed = F.col("path").endswith(".gz")
+    large = listed.filter(~compressed & (F.col("length") > split_bytes))
+    last = F.when(compressed, F.greatest(F.col("length") - 1, F.lit(0))).otherwise(F.lit(0)).cast("long")
+    starts = F.sequence(F.lit(0).cast("long"), last, F.lit(split_bytes).cast("long"))
+    ranges = (
+        listed.filter(compressed | (F.col("length") <= split_bytes))
+        .select("path", last.alias("last"), F.explode(starts).alias("start"))
+        .select("path", "start", F.when(F.col("last") > 0, F.col("start") + split_bytes).otherwise(F.lit(_FILE_END)).alias("end"))
+    )
+    return ranges if large.isEmpty() else ranges.unionByName(plain_ranges(large, split_bytes))
+
+
+def plain_ranges(listed: DataFrame, split_bytes: int) -> DataFrame:
+    """Ranges (path, start, end) of plain files (path, length), each starting at the first of its records.
+
+    Nothing in a plain file tells a record from one that lies in the payload of another, an archive within an archive.
+    So every range is walked from a guess, in parallel and without building payloads, to the first record behind it. A
+    range begins where the records of all before it end; one that was walked from elsewhere is walked again. The first
+    begins at 0, so once no range is wrong all are right, and each turn mends at least one more range of a file. One
+    turn does unless a payload holds records at the start of a range. Only ranges, no records, are shuffled.
+    """
+    starts = F.sequence(F.lit(0).cast("long"), (F.col("length") - 1).cast("long"), F.lit(split_bytes).cast("long"))
+    ranges = listed.select("path", F.explode(starts).alias("start")).select(
+        "path", "start", (F.col("start") + split_bytes).alias("end"), F.when(F.col("start") == 0, F.lit(0).cast("long")).alias("entry")
+    )
+    walked = stored(_walked(ranges), "ranges")
+    before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    while True:
+        seen = walked.withColumn("begin", F.coalesce(F.max("exit").over(before), F.lit(0).cast("long")))
+        wrong = seen.filter("begin != entry").select("path", "start", "end", F.col("begin").alias("entry"))
+        if wrong.isEmpty():
+            # what reaches the end of the file is read to it, in whatever form the bytes are
+            end = F.when(F.col("exit") == _FILE_END, F.col("exit")).otherwise(F.col("end"))
+            return walked.filter("entry < end").select("path", F.col("entry").alias("start"), end.alias("end"))
+        walked = stored(seen.filter("begin = entry").drop("begin").unionByName(_walked(wrong)), "ranges")
+
+
+def _walked(ranges: DataFrame) -> DataFrame:
+    """Ranges (path, start, end, entry) with the offset of the first record behind them as `exit`; `entry` may be null."""
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [row | dict(zip(("entry", "exit"), _walk_range(**row), strict=True)) for row in batch.to_pylist()]
+            yield pa.RecordBatch.from_pylist(rows, schema=_WALKED)
+
+    tasks = max(ranges.count(), 1)
+    return ranges.repartitionByRange(tasks, "path", "start").mapInArrow(
+        walk, "path string, start long, end long, entry long, exit long"
+    )
+
+
+_WALKED = pa.schema([("path", pa.string())] + [(name, pa.int64()) for name in ("start", "end", "entry", "exit")])
+
+
+def _walk_range(path: str, start: int, end: int, entry: int | None) -> tuple[int, int]:
+    if entry is not None and entry >= end:
+        return entry, entry
+    try:
+        with _open(path) as raw:
+            if entry is None:
+                entry = _likely_record(raw, start, end)
+                if entry >= end:
+                    return entry, entry
+            stream = _RecordStream(raw, entry, end)
+            if not stream.gzip:
+                for _ in _records(stream, lambda fields: False):
+                    pass
+                if stream.buffer:
+                    return entry, stream.offset
+    except OSError:  # the scan reports it
+        entry = start if entry is None else entry
+    return entry, _FILE_END
+
+
+def _likely_record(raw, start: int, end: int) -> int:
+    """Offset in a plain file of the first line from `start` on that begins a record which another one, or the end of the
+    file, follows; `end` if there is none before."""
+    base = max(start - 1, 0)
+    while base < end:
+        raw.seek(base)
+        window = raw.read(_CHUNK)
+        for match in _RECORD_LINE.finditer(window):
+            at = base + match.start() + 1
+            if at >= end:
+                return end
+            raw.seek(at)
+            head, mark, _ = raw.read(1 << 16).partition(b"\r\n\r\n")
+            length = _fields(_text(head)).get("content-length", "") if mark else ""
+            if length.isdigit():
+                raw.seek(min(at + len(head) + len(mark) + int(length), raw.size()))
+                if raw.read(32).lstrip(b"\r\n")[:5] in (b"WARC/", b""):
+                    return at
+        if len(window) <= 16:
+            return end
+        base += len(window) - 16
+    return end
+
+
 def _in_batches(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
     pending, size = [], 0
     for row in rows:
@@ -98,27 +200,38 @@ def _in_batches(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(pending, schema=_ARROW_SCHEMA)
 
 
-def _frame_range(path: str, start: int, end: int, wanted: frozenset[str], limit: int, all_records: bool) -> Iterator[dict]:
+def _frame_range(
+    path: str, start: int, end: int, keep: Callable[[dict[str, str]], bool], all_records: bool
+) -> Iterator[dict]:
     row = dict.fromkeys(_ARROW_SCHEMA.names) | {"warc_filename": path}
     try:
         with _open(path) as raw:
             stream = _RecordStream(raw, start, end)
-            while True:
-                try:
-                    if (offset := stream.next_record()) is None:
-                        break
-                    record = _frame_record(stream, wanted, limit)
-                    if all_records or record["content"] is not None:
-                        yield row | {"warc_offset": offset} | record
-                except (ValueError, EOFError, zlib.error) as problem:  # a broken record must not hide those after it
-                    yield row | {"warc_offset": stream.offset, "scan_error": f"{type(problem).__name__}: {problem}"}
-                    if not stream.resume():
-                        break
+            if not stream.gzip and path.endswith(".gz"):  # ranges of this file are meant for members
+                stream.end, stream.none_here = _FILE_END, start > 0
+            for record in _records(stream, keep):
+                if all_records or record.get("content") is not None or record.get("rec_block") is None:
+                    yield row | record
     except Exception as problem:  # a broken file must not fail the job
         logging.getLogger(__name__).error("%s: %s", path, problem)
         yield row | {"scan_error": f"{type(problem).__name__}: {problem}"}
 
 
+def _records(stream: _RecordStream, keep: Callable[[dict[str, str]], bool]) -> Iterator[dict]:
+    """Records of a stream, with what could not be read as rows of `scan_error` alone."""
+    while True:
+        try:
+            if (offset := stream.next_record()) is None:
+                return
+            record = _frame_record(stream, keep)
+        except (ValueError, EOFError, zlib.error) as problem:  # a broken record must not hide those after it
+            yield {"warc_offset": stream.offset, "scan_error": f"{type(problem).__name__}: {problem}"}
+            if not stream.resume():
+                return
+        else:
+            yield {"warc_offset": offset} | record
+
+
 def _open(path: str):
     from pyarrow import fs
 
@@ -139,7 +252,7 @@ class _RecordStream:
         raw.seek(0)
         self.gzip = raw.read(2) == b"\x1f\x8b"
         self.none_here = False
-        if start > 0:
+        if start > 0 and self.gzip:
             start = self._first_member(start)
             self.none_here = start >= end
         raw.seek(start)
@@ -228,8 +341,9 @@ class _RecordStream:
                 break
         if not self.buffer:
             return None
-        # the next range begins at the first member that holds a record; what lies before it belongs to this one
-        return None if self.offset >= self.end and self.buffer.startswith(b"WARC/") else self.offset
+        # in a gzip file the next range begins at the first member that holds a record; what lies before it belongs here
+        behind = self.offset >= self.end and (not self.gzip or self.buffer.startswith(b"WARC/"))
+        return None if behind else self.offset
 
     def _used(self, size: int) -> None:
         self.buffer = self.buffer[size:]
@@ -252,6 +366,10 @@ class _RecordStream:
 
     def take(self, size: int, keep: bool) -> bytes:
         parts = []
+        if not keep and not self.gzip and size > len(self.buffer) + _CHUNK and self.offset + size <= self.raw.size():
+            self.offset += size
+            self.raw.seek(self.offset)
+            self.buffer, size = b"", 0
         while size > 0:
             if not self.buffer and not self._more():
                 raise EOFError("record is cut off")
@@ -283,8 +401,8 @@ def _text(block: bytes) -> str:
         return block.decode("iso-8859-1")
 
 
-def _frame_record(stream: _RecordStream, wanted: frozenset[str], limit: int) -> dict:
-    """A record; `content` is null if its type or size is not wanted."""
+def _frame_record(stream: _RecordStream, keep: Callable[[dict[str, str]], bool]) -> dict:
+    """A record; `content` is null if its payload is not kept."""
     rec_block = _text(stream.block())
     if not rec_block.startswith("WARC/"):
         raise ValueError("not a WARC record")
@@ -292,10 +410,10 @@ def _frame_record(stream: _RecordStream, wanted: frozenset[str], limit: int) ->
     kind, length = fields.get("warc-type"), fields.get("content-length", "")
     if not length.isdigit():
         raise ValueError("record without length")
-    keep = kind in wanted and int(length) <= limit
-    body = stream.take(int(length), keep)
+    kept = keep(fields)
+    body = stream.take(int(length), kept)
     http_block, error = None, None
-    if not keep:
+    if not kept:
         body = None
     elif kind in _HTTP_TYPES and fields.get("warc-target-uri", "").lower().startswith(("http:", "https:")) and body:
         head, mark, rest = body.partition(b"\r\n\r\n")
