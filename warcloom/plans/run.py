@@ -17,6 +17,7 @@ from warcloom.operators.records import normalise, normalisation_errors
 from warcloom.plans.steps import Step, failed_steps, run_steps
 from warcloom.session import configure, stored
 from warcloom.sources.keyed import KeyedTable, Manifest
+from warcloom.sources.listed import scan_listed
 from warcloom.sources.warc import scan
 
 
@@ -37,28 +38,32 @@ def process(
 ) -> Run:
     """Gate normalised records and run their steps.
 
-    Types without a sequence fail the MIME type gate; types are tried in the order of `sequences`.
+    Types without a sequence fail the MIME type gate; types are tried in the order of `sequences`. Records that
+    `scan_listed` gave say themselves whether they are listed; others are joined with `ids`, payloads and all.
     """
     unknown = [group for group in sequences if group not in MIME_GROUPS]
     if unknown:
         raise ValueError(f"record type {unknown[0]!r} is not supported")
     groups = {group: MIME_GROUPS[group] for group in sequences}
-    listed = records
-    if ids is not None and not ids.isEmpty():
-        marked = ids.select("id").distinct().withColumn("_listed", F.lit(True))
-        listed = records.join(marked, "id", "left").withColumn("_listed", F.coalesce("_listed", F.lit(False)))
-        gated = gates.with_gates(listed, groups, F.col("_listed")).drop("_listed")
+    if "is_listed" in records.columns:
+        gated = gates.with_gates(records, groups, F.col("is_listed")).drop("is_listed")
+    elif ids is not None and not ids.isEmpty():
+        marked = ids.select("id").distinct().withColumn("is_listed", F.lit(True))
+        listed = records.join(marked, "id", "left").withColumn("is_listed", F.coalesce("is_listed", F.lit(False)))
+        gated = gates.with_gates(listed, groups, F.col("is_listed")).drop("is_listed")
     else:
-        gated = gates.with_gates(listed, groups)
+        gated = gates.with_gates(records, groups)
     return Run(run_steps(gated, sequences, F.col("drop_reason").isNull()))
 
 
 def process_warcs(
     spark: SparkSession, glob: str, sequences: Mapping[str, Sequence[Step]], ids: DataFrame | None = None
 ) -> Run:
+    """`process` over WARC files. With an ID list, payloads of other records are never built, see `scan_listed`."""
     configure(spark)
-    records = normalise(scan(spark, glob, all_records=True))
-    return process(records.withColumn("errors", normalisation_errors()), sequences, ids)
+    restricted = ids is not None and not ids.isEmpty()
+    found = scan_listed(spark, glob, ids) if restricted else scan(spark, glob, all_records=True)
+    return process(normalise(found).withColumn("errors", normalisation_errors()), sequences)
 
 
 def reprocess(stored: DataFrame, steps: Sequence[Step]) -> DataFrame:

@@ -6,6 +6,7 @@ encodings. Headers become maps and fields in Catalyst (`operators.records`).
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import re
 import zlib
@@ -40,6 +41,8 @@ _BATCH_ROWS = 1000
 _RECORD_LINE = re.compile(rb"\nWARC/[0-9.]{1,8}\r?\n")
 _HTTP_TYPES = ("response", "revisit", "request")
 _FILE_END = 2**62
+# Whether a record, by its offset, header block and header fields, has its payload built.
+Keep = Callable[[int, str, dict[str, str]], bool]
 
 
 def scan(
@@ -72,20 +75,19 @@ def scan_files(
     """`scan` over files given as rows (path, length)."""
     ranges = _ranges(listed, split_bytes)
     tasks = max(ranges.count(), 1)  # the listing is metadata only; one task per range
-    keep = _keep(record_types, max_record_bytes)
+    keep = keep_of(record_types, max_record_bytes)
 
     def frame(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                yield from _in_batches(_frame_range(row["path"], row["start"], row["end"], keep, all_records))
+                yield from in_batches(_frame_range(row["path"], row["start"], row["end"], keep, all_records))
 
     return ranges.repartitionByRange(tasks, "path", "start").mapInArrow(frame, SCHEMA)
 
 
-def _keep(record_types: Iterable[str], max_record_bytes: int) -> Callable[[dict[str, str]], bool]:
-    """Whether a record with these header fields has its payload built."""
+def keep_of(record_types: Iterable[str], max_record_bytes: int) -> Keep:
     wanted = frozenset(record_types)
-    return lambda fields: fields.get("warc-type") in wanted and int(fields["content-length"]) <= max_record_bytes
+    return lambda offset, rec_block, fields: fields.get("warc-type") in wanted and int(fields["content-length"]) <= max_record_bytes
 
 
 def _ranges(listed: DataFrame, split_bytes: int) -> DataFrame:
@@ -155,7 +157,7 @@ def _walk_range(path: str, start: int, end: int, entry: int | None) -> tuple[int
                     return entry, entry
             stream = _RecordStream(raw, entry, end)
             if not stream.gzip:
-                for _ in _records(stream, lambda fields: False):
+                for _ in _records(stream, lambda offset, rec_block, fields: False):
                     pass
                 if stream.buffer:
                     return entry, stream.offset
@@ -188,7 +190,7 @@ def _likely_record(raw, start: int, end: int) -> int:
     return end
 
 
-def _in_batches(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+def in_batches(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
     pending, size = [], 0
     for row in rows:
         pending.append(row)
@@ -200,9 +202,7 @@ def _in_batches(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(pending, schema=_ARROW_SCHEMA)
 
 
-def _frame_range(
-    path: str, start: int, end: int, keep: Callable[[dict[str, str]], bool], all_records: bool
-) -> Iterator[dict]:
+def _frame_range(path: str, start: int, end: int, keep: Keep, all_records: bool) -> Iterator[dict]:
     row = dict.fromkeys(_ARROW_SCHEMA.names) | {"warc_filename": path}
     try:
         with _open(path) as raw:
@@ -217,13 +217,13 @@ def _frame_range(
         yield row | {"scan_error": f"{type(problem).__name__}: {problem}"}
 
 
-def _records(stream: _RecordStream, keep: Callable[[dict[str, str]], bool]) -> Iterator[dict]:
+def _records(stream: _RecordStream, keep: Keep) -> Iterator[dict]:
     """Records of a stream, with what could not be read as rows of `scan_error` alone."""
     while True:
         try:
             if (offset := stream.next_record()) is None:
                 return
-            record = _frame_record(stream, keep)
+            record = _frame_record(stream, offset, keep)
         except (ValueError, EOFError, zlib.error) as problem:  # a broken record must not hide those after it
             yield {"warc_offset": stream.offset, "scan_error": f"{type(problem).__name__}: {problem}"}
             if not stream.resume():
@@ -232,6 +232,42 @@ def _records(stream: _RecordStream, keep: Callable[[dict[str, str]], bool]) -> I
             yield {"warc_offset": offset} | record
 
 
+def fetch_records(path: str, wanted: set[tuple[int, str]], keep: Keep) -> Iterator[dict]:
+    """Records of one file by (offset, MD5 of the header block). Only payloads of these that `keep` takes are built.
+
+    Reading starts at each offset. What does not begin there, as after a damaged gzip member, is found by reading the file
+    from its start; what is not found at all is a row with `scan_error`.
+    """
+    row = dict.fromkeys(_ARROW_SCHEMA.names) | {"warc_filename": path}
+    left = set(wanted)
+
+    def among(stream: _RecordStream, sought: set[tuple[int, str]]) -> Iterator[dict]:
+        def chosen(offset: int, rec_block: str, fields: dict[str, str]) -> bool:
+            return (offset, _digest(rec_block)) in sought and keep(offset, rec_block, fields)
+
+        for record in _records(stream, chosen):
+            if record.get("rec_block") is not None and (key := (record["warc_offset"], _digest(record["rec_block"]))) in sought:
+                left.discard(key)
+                yield row | record
+
+    try:
+        with _open(path) as raw:
+            for offset in sorted({offset for offset, _ in wanted}):
+                yield from among(_RecordStream(raw, offset, offset + 1), {key for key in wanted if key[0] == offset})
+            if left:
+                yield from among(_RecordStream(raw, 0, _FILE_END), frozenset(left))
+        lost = "record is gone"
+    except Exception as problem:  # a broken file must not fail the job
+        logging.getLogger(__name__).error("%s: %s", path, problem)
+        lost = f"{type(problem).__name__}: {problem}"
+    for offset, _ in sorted(left):
+        yield row | {"warc_offset": offset, "scan_error": lost}
+
+
+def _digest(rec_block: str) -> str:
+    return hashlib.md5(rec_block.encode(), usedforsecurity=False).hexdigest()
+
+
 def _open(path: str):
     from pyarrow import fs
 
@@ -401,7 +437,7 @@ def _text(block: bytes) -> str:
         return block.decode("iso-8859-1")
 
 
-def _frame_record(stream: _RecordStream, keep: Callable[[dict[str, str]], bool]) -> dict:
+def _frame_record(stream: _RecordStream, offset: int, keep: Keep) -> dict:
     """A record; `content` is null if its payload is not kept."""
     rec_block = _text(stream.block())
     if not rec_block.startswith("WARC/"):
@@ -410,7 +446,7 @@ def _frame_record(stream: _RecordStream, keep: Callable[[dict[str, str]], bool])
     kind, length = fields.get("warc-type"), fields.get("content-length", "")
     if not length.isdigit():
         raise ValueError("record without length")
-    kept = keep(fields)
+    kept = keep(offset, rec_block, fields)
     body = stream.take(int(length), kept)
     http_block, error = None, None
     if not kept:
