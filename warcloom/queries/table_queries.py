@@ -13,6 +13,8 @@ from warcloom.queries.catalog import query, table
 from warcloom.queries.inputs import CRLF, ORACLE_GATED, ORACLE_RECORDS, STOPLIST_WORDS, records, stoplists
 from warcloom.queries.oracle_parts import PLAIN_TEXT, CLEANED, decoded, page_blocks, squeezed, text_statistics, token_list
 from warcloom.session import shared_folder
+from warcloom.sources import warc_format
+from warcloom.sources.listed import scan_listed
 from warcloom.sources.listing import config_cells, files
 from warcloom.sources.warc import scan
 
@@ -54,6 +56,44 @@ def warc_scan(spark, sf_dir):
     )
 
 
+@query(
+    """SELECT 'urn:uuid:' || lpad(CAST(page_id AS VARCHAR), 12, '0') AS id, url,
+  CAST(octet_length(encode(html)) AS BIGINT) AS n_bytes, md5(html) AS payload FROM pages"""
+)
+def warc_scan_ranges(spark, sf_dir):
+    # the plain files are read in ranges of a megabyte
+    found = normalise(scan(spark, write_warcs(spark, sf_dir), split_bytes=1 << 20))
+    size = F.octet_length("content").cast("bigint")
+    return found.select("id", "url", size.alias("n_bytes"), F.md5("content").alias("payload"))
+
+
+# Size of a record as its header states it.
+_SIZE = f"octet_length(encode({_HTTP} || html))"
+
+
+@query(
+    f"""SELECT 'urn:uuid:' || lpad(CAST(page_id AS VARCHAR), 12, '0') AS id, CAST({_SIZE} AS BIGINT) AS n_bytes,
+  md5(html) AS payload FROM pages WHERE {_SIZE} <= 2000"""
+)
+def warc_source(spark, sf_dir):
+    # type and size are filters of the source: larger pages are passed over while framing
+    found = warc_format.register(spark).read.format("warc").load(write_warcs(spark, sf_dir))
+    small = found.filter((F.col("warc_type") == "response") & (F.col("warc_record_size") <= 2000))
+    return small.select(F.col("warc_record_id").alias("id"), F.col("warc_record_size").alias("n_bytes"), F.md5("content").alias("payload"))
+
+
+@query(
+    """SELECT 'urn:uuid:' || lpad(CAST(page_id AS VARCHAR), 12, '0') AS id, html LIKE '%lang="en"%' AS is_listed,
+  CASE WHEN html LIKE '%lang="en"%' THEN md5(html) END AS payload FROM pages"""
+)
+def listed_records(spark, sf_dir):
+    # the list names the English pages; other records keep their header and no payload
+    listed = table(spark, sf_dir, "pages").filter(F.col("html").contains('lang="en"'))
+    name = F.concat(F.lit("urn:uuid:"), F.lpad(F.col("page_id").cast("string"), 12, "0"))
+    found = scan_listed(spark, write_warcs(spark, sf_dir), listed.select(name.alias("id")))
+    return normalise(found).select("id", "is_listed", F.md5("content").alias("payload"))
+
+
 # Bytes of a record besides its URL, the digits of its length and its HTTP part: texts, a 12-digit ID, nine line ends.
 _RECORD_BYTES = 12 + 9 * len(CRLF) + len(
     "WARC/1.0WARC-Type: responseWARC-Record-ID: <urn:uuid:>WARC-Target-URI: WARC-Date: 2015-12-24T07:11:07ZContent-Length: "

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -48,7 +49,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
         root = tempfile.mkdtemp(prefix="warcloom-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

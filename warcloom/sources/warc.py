@@ -40,7 +40,7 @@ _BATCH_BYTES = 32 << 20
 _BATCH_ROWS = 1000
 _RECORD_LINE = re.compile(rb"\nWARC/[0-9.]{1,8}\r?\n")
 _HTTP_TYPES = ("response", "revisit", "request")
-_FILE_END = 2**62
+FILE_END = 2**62
 # Whether a record, by its offset, header block and header fields, has its payload built.
 Keep = Callable[[int, str, dict[str, str]], bool]
 
@@ -80,7 +80,7 @@ def scan_files(
     def frame(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                yield from in_batches(_frame_range(row["path"], row["start"], row["end"], keep, all_records))
+                yield from in_batches(frame_range(row["path"], row["start"], row["end"], keep, all_records))
 
     return ranges.repartitionByRange(tasks, "path", "start").mapInArrow(frame, SCHEMA)
 
@@ -99,7 +99,7 @@ def _ranges(listed: DataFrame, split_bytes: int) -> DataFrame:
     ranges = (
         listed.filter(compressed | (F.col("length") <= split_bytes))
         .select("path", last.alias("last"), F.explode(starts).alias("start"))
-        .select("path", "start", F.when(F.col("last") > 0, F.col("start") + split_bytes).otherwise(F.lit(_FILE_END)).alias("end"))
+        .select("path", "start", F.when(F.col("last") > 0, F.col("start") + split_bytes).otherwise(F.lit(FILE_END)).alias("end"))
     )
     return ranges if large.isEmpty() else ranges.unionByName(plain_ranges(large, split_bytes))
 
@@ -124,7 +124,7 @@ def plain_ranges(listed: DataFrame, split_bytes: int) -> DataFrame:
         wrong = seen.filter("begin != entry").select("path", "start", "end", F.col("begin").alias("entry"))
         if wrong.isEmpty():
             # what reaches the end of the file is read to it, in whatever form the bytes are
-            end = F.when(F.col("exit") == _FILE_END, F.col("exit")).otherwise(F.col("end"))
+            end = F.when(F.col("exit") == FILE_END, F.col("exit")).otherwise(F.col("end"))
             return walked.filter("entry < end").select("path", F.col("entry").alias("start"), end.alias("end"))
         walked = stored(seen.filter("begin = entry").drop("begin").unionByName(_walked(wrong)), "ranges")
 
@@ -163,7 +163,7 @@ def _walk_range(path: str, start: int, end: int, entry: int | None) -> tuple[int
                     return entry, stream.offset
     except OSError:  # the scan reports it
         entry = start if entry is None else entry
-    return entry, _FILE_END
+    return entry, FILE_END
 
 
 def _likely_record(raw, start: int, end: int) -> int:
@@ -179,7 +179,7 @@ def _likely_record(raw, start: int, end: int) -> int:
                 return end
             raw.seek(at)
             head, mark, _ = raw.read(1 << 16).partition(b"\r\n\r\n")
-            length = _fields(_text(head)).get("content-length", "") if mark else ""
+            length = header_fields(_text(head)).get("content-length", "") if mark else ""
             if length.isdigit():
                 raw.seek(min(at + len(head) + len(mark) + int(length), raw.size()))
                 if raw.read(32).lstrip(b"\r\n")[:5] in (b"WARC/", b""):
@@ -202,13 +202,13 @@ def in_batches(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(pending, schema=_ARROW_SCHEMA)
 
 
-def _frame_range(path: str, start: int, end: int, keep: Keep, all_records: bool) -> Iterator[dict]:
+def frame_range(path: str, start: int, end: int, keep: Keep, all_records: bool) -> Iterator[dict]:
     row = dict.fromkeys(_ARROW_SCHEMA.names) | {"warc_filename": path}
     try:
         with _open(path) as raw:
             stream = _RecordStream(raw, start, end)
             if not stream.gzip and path.endswith(".gz"):  # ranges of this file are meant for members
-                stream.end, stream.none_here = _FILE_END, start > 0
+                stream.end, stream.none_here = FILE_END, start > 0
             for record in _records(stream, keep):
                 if all_records or record.get("content") is not None or record.get("rec_block") is None:
                     yield row | record
@@ -255,7 +255,7 @@ def fetch_records(path: str, wanted: set[tuple[int, str]], keep: Keep) -> Iterat
             for offset in sorted({offset for offset, _ in wanted}):
                 yield from among(_RecordStream(raw, offset, offset + 1), {key for key in wanted if key[0] == offset})
             if left:
-                yield from among(_RecordStream(raw, 0, _FILE_END), frozenset(left))
+                yield from among(_RecordStream(raw, 0, FILE_END), frozenset(left))
         lost = "record is gone"
     except Exception as problem:  # a broken file must not fail the job
         logging.getLogger(__name__).error("%s: %s", path, problem)
@@ -268,16 +268,47 @@ def _digest(rec_block: str) -> str:
     return hashlib.md5(rec_block.encode(), usedforsecurity=False).hexdigest()
 
 
-def _open(path: str):
+def _file_system(path: str):
+    """File system of a path, and the path within it."""
     from pyarrow import fs
 
     if path.startswith("file:"):
-        path = "/" + path[len("file:") :].lstrip("/")
-        return fs.LocalFileSystem().open_input_file(path)
-    system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+        return fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
+    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+
+
+def _open(path: str):
+    system, inner = _file_system(path)
     return system.open_input_file(inner)
 
 
+def list_files(pattern: str) -> Iterator[tuple[str, int]]:
+    """(path, length) of a file, of the files in a folder, or of those that a pattern with `*` and `?` names, in order.
+
+    The way without a session, for a data source; `listing.files` is the one of a session.
+    """
+    from pyarrow import fs
+
+    at = next((at for at, sign in enumerate(pattern) if sign in "*?"), None)
+    known = pattern if at is None else pattern[:at].rpartition("/")[0]
+    system, root = _file_system(known if "://" in known or known.startswith("file:") else f"file:{known}")
+    scheme = "file:" if isinstance(system, fs.LocalFileSystem) else known[: known.index(root)] if root else known
+    info = system.get_file_info(root)
+    if info.type == fs.FileType.File:
+        found = [info]
+    else:
+        found = system.get_file_info(fs.FileSelector(root, recursive=at is not None))
+    wild = None
+    if at is not None:
+        rest = pattern[len(known) :].lstrip("/")
+        shape = "".join({"*": "[^/]*", "?": "[^/]"}.get(sign, re.escape(sign)) for sign in rest)
+        wild = re.compile(shape)
+    for one in sorted(found, key=lambda one: one.path):
+        if one.type == fs.FileType.File and (wild is None or wild.fullmatch(one.path[len(root) :].lstrip("/"))):
+            if not one.base_name.startswith(("_", ".")):
+                yield scheme + one.path, one.size
+
+
 class _RecordStream:
     """Bytes of a plain or gzip file from a record start on; knows the file offset of that start."""
 
@@ -424,7 +455,7 @@ def _begins_with_record(member: bytes) -> bool:
         return False
 
 
-def _fields(block: str) -> dict[str, str]:
+def header_fields(block: str) -> dict[str, str]:
     """Header lines by lower-case name, for framing only."""
     pairs = (line.partition(":") for line in block.splitlines()[1:])
     return {name.strip().lower(): value.strip() for name, colon, value in pairs if colon}
@@ -439,10 +470,10 @@ def _text(block: bytes) -> str:
 
 def _frame_record(stream: _RecordStream, offset: int, keep: Keep) -> dict:
     """A record; `content` is null if its payload is not kept."""
-    rec_block = _text(stream.block())
-    if not rec_block.startswith("WARC/"):
+    if not stream.buffer.startswith(b"WARC/"):  # nothing is used up: a record may begin at one of the next lines
         raise ValueError("not a WARC record")
-    fields = _fields(rec_block)
+    rec_block = _text(stream.block())
+    fields = header_fields(rec_block)
     kind, length = fields.get("warc-type"), fields.get("content-length", "")
     if not length.isdigit():
         raise ValueError("record without length")
@@ -457,7 +488,7 @@ def _frame_record(stream: _RecordStream, offset: int, keep: Keep) -> dict:
             head, mark, rest = body.partition(b"\n\n")
         if head.startswith(b"HTTP/"):
             http_block = _text(head)
-            body, error = _decoded(rest, _fields(http_block))
+            body, error = _decoded(rest, header_fields(http_block))
     return {"rec_block": rec_block, "http_block": http_block, "content": body, "scan_error": error}
 
 
