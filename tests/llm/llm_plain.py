@@ -9,6 +9,8 @@ import re
 import zlib
 from collections import Counter
 
+import xxhash
+
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long, part int, bucket string, kind int"
 
@@ -31,8 +33,9 @@ def awkward(spark, texts=(), more=()):
 
 
 def ordered(rows):
-    """Rows as (doc_id, text) in the order that 'earlier' means."""
-    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode(), r[1] is not None))
+    """Rows as (doc_id, text) in the order that 'earlier' means: rows without id by a signed 64-bit hash, then by text."""
+    spot = lambda text: int.from_bytes(xxhash.xxh64((text or "").encode(), seed=42).digest(), "big", signed=True)
+    return sorted(rows, key=lambda r: (r[0] is not None, spot(r[1]) if r[0] is None else r[0], (r[1] or "").encode(), r[1] is not None))
 
 
 def without_repeats(rows, width, cut, join):

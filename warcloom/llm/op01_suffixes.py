@@ -12,7 +12,7 @@ An anchor with more than ``HOT`` occurrences would fill one bucket. Its windows
 bytes instead, each different one once per part; the results are the same by either way.
 
 Rules: null is an empty text; "earlier" is a smaller doc_id (null smallest), then an earlier start; rows that share a
-doc_id are ordered by text, and a repeated row counts as later. Columns other than doc_id and text are not looked at. An
+doc_id are ordered by text, those without one by hash of the text, then by text, and a repeated row counts as later. Columns other than doc_id and text are not looked at. An
 empty table gives no rows.
 """
 
@@ -178,7 +178,8 @@ def _later(got: list[tuple[int, int, bytes]]):
     asked = [(part, *rounds.unpack(data)) for part, kind, data in got if kind == 1]
     if asked:
         hashes, sides, around, ids, seq, place = (np.concatenate([x[k] for x in asked]) for k in range(1, 7))
-        order = np.lexsort((place, seq, ids))
+        parts = np.repeat([x[0] for x in asked], [len(x[1]) for x in asked])
+        order = np.lexsort((place, seq, parts, ids))
         flags = (np.arange(REACH + 1) <= sides[:, :1]) & (np.arange(REACH + 1) + sides[:, 1:] >= WINDOW)
         first: dict[bytes, int] = {}
         for k in order.tolist():

@@ -7,7 +7,8 @@ across the corpus. A string that occurs twice is extended to the windows around
 decide: every occurrence but the first goes.
 
 Rules: null is an empty text; windows stay within a document; "earlier" is a smaller doc_id (null smallest), then an
-earlier start. Rows that share a doc_id are ordered by text, and a repeated row counts as later. Columns other than
+earlier start. Rows that share a doc_id are ordered by text, those without one by hash of the
+text, then by text, and a repeated row counts as later. Columns other than
 doc_id and text are not looked at. An empty table gives no rows.
 """
 

@@ -5,7 +5,9 @@ the bucket of each hash; a bucket answers every part in the order of its questio
 shuffle are packed arrays, so a round moves a few bytes per question and costs no row handling. A key that a third of all
 documents hold is asked once per part, so no bucket gets more of it than there are parts.
 
-Parts hold about ``PART_BYTES`` of text, so their number follows the data; a bucket gets what as many parts send.
+Parts hold about ``PART_BYTES`` of text, so their number follows the data; a bucket gets what as many parts send. Rows
+without id, which may be many, are dealt by the hash of their text in ascending order: a part of a higher number holds the
+later ones, so parts decide between rows without id just as their order within a part does.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +25,8 @@ from pyspark.sql import functions as F
 from warcloom.llm.arrays import give_back
 
 PART_BYTES = 12_000_000
+LANES = 512
+SUMS = "block int, data binary"
 NO_ID = np.iinfo(np.int64).min
 LETTER = "bucket int, part int, kind int, data binary"
 _LETTER = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
@@ -40,12 +45,21 @@ def keyed(docs: DataFrame) -> tuple[DataFrame, int]:
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES), 1)
-    part = F.expr(f"CAST(pmod(xxhash64(doc_id), {parts}L) AS int)")
-    return docs.select(part.alias("part"), F.col("doc_id").cast("long").alias("doc_id"), "text"), parts
+    by_text = f"least({parts - 1}, CAST(floor((CAST(xxhash64(coalesce(text, '')) AS double) / 18446744073709551616D + 0.5D) * {parts}) AS int))"
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    part = F.expr(f"IF(doc_id IS NULL, {by_text}, CAST(pmod(xxhash64(doc_id), {parts}L) AS int))")
+    return rows.select(part.alias("part"), "doc_id", "text"), parts
+
+
+def text_order(text: bytes) -> int:
+    """What rows without id are ordered by before their text: its hash, as Spark's xxhash64 has it."""
+    found = xxhash.xxh64_intdigest(text, seed=42)
+    return found - (1 << 64) if found >> 63 else found
 
 
 class Part:
-    """Rows of one part in a fixed order (doc_id, then text; nulls first), which every round finds again.
+    """Rows of one part in a fixed order, which every round finds again: rows without id first, by hash of the text, then by
+    text; the others by doc_id, then text, null before empty.
 
     Rows with the text of an earlier row are ``copies`` of it. ``texts`` are UTF-8 bytes, null as empty.
     """
@@ -53,7 +67,7 @@ class Part:
     def __init__(self, rows: pa.Table):
         ids = rows["doc_id"].to_pylist()
         texts = [None if x is None else x.encode() for x in rows["text"].to_pylist()]
-        order = sorted(range(len(ids)), key=lambda i: (NO_ID if ids[i] is None else ids[i], texts[i] or b"", texts[i] is not None))
+        order = sorted(range(len(ids)), key=lambda i: (*((NO_ID, text_order(texts[i] or b"")) if ids[i] is None else (ids[i], 0)), texts[i] or b"", texts[i] is not None))
         self.part = rows["part"][0].as_py() if len(ids) else -1
         self.ids = [ids[i] for i in order]
         self.nulls = [texts[i] is None for i in order]
@@ -133,6 +147,22 @@ def mail(got: pa.Table) -> dict[int, dict[int, bytes]]:
     return out
 
 
+def add_up(sums: DataFrame) -> dict[int, tuple[np.ndarray, ...]]:
+    """{block: arrays} from packed arrays that tasks give per block (``SUMS``). Tasks are first added up in ``LANES`` groups,
+    so no group gets an array from every task."""
+
+    def add(rows: pa.Table) -> pa.Table:
+        total = None
+        for data in rows["data"]:
+            own = unpack(data.as_py())
+            total = own if total is None else tuple(a + b for a, b in zip(total, own, strict=True))
+        return pa.table([rows["block"][:1], pa.array([pack(*total)], pa.binary())], names=["block", "data"])
+
+    lanes = sums.withColumn("lane", F.expr(f"pmod(spark_partition_id(), {LANES})"))
+    once = lanes.groupBy("block", "lane").applyInArrow(add, SUMS)
+    return {r.block: unpack(r.data) for r in once.groupBy("block").applyInArrow(add, SUMS).collect()}
+
+
 def bucket_count(docs: DataFrame, parts: int) -> int:
     return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), parts // 4)
 
@@ -168,7 +198,8 @@ def starts_run(*columns: np.ndarray) -> np.ndarray:
 
 
 def earliest(got: list[tuple[int, int, bytes]], of: int) -> Iterable[tuple[int, int, bytes]]:
-    """For each (hash, check, id) in letters of one kind: does a smaller id come with the same hash and check?"""
+    """For each (hash, check, id) in letters of one kind: does a smaller id come with the same hash and check? Of equal ids,
+    which only rows without id have in several parts, that of the first part counts as smaller."""
     asked = [(part, *unpack(data)) for part, kind, data in got if kind == of]
     if asked:
         hashes, checks, ids = (np.concatenate([x[k] for x in asked]) for k in (1, 2, 3))
