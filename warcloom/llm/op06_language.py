@@ -3,13 +3,16 @@
 Features are the 1-, 2- and 3-grams of code points of the lower-cased text with white space as one blank, hashed to
 ``2**BITS`` columns. A feature's value is its share of the text's n-grams (tf) times log((1 + n) / (1 + df)) + 1, with df
 counted over all training documents. Weights are learned by follow-the-regularised-leader with L1 and L2 penalties
-(one learning rate per weight, sparse by L1), on a sample of at most ``SAMPLE`` labelled documents that the hash of the id
-picks; all else covers all documents. The last fifth of the sample, which training does not see, calibrates one
+(one learning rate per weight, sparse by L1), on a sample of labelled documents; all else covers all documents. The sample
+holds each text once and is picked by the hash of the text: an equal share of every language, about ``SAMPLE`` in all, but
+of a language with few documents as large a share as gives about ``FLOOR``. So the driver gets some ``SAMPLE`` plus
+``FLOOR`` per language, whatever the size of the table and however often a text is repeated. The last fifth of the sample, which training does not see, calibrates one
 temperature by which the scores are divided.
 
 Predictions use text alone. ``und`` with score 0 if the text is null or has no letter, or if nothing was learned.
 
-Rules: documents with null text or null label teach nothing. Repeated rows are predicted each. An empty table gives no
+Rules: documents with null text or null label teach nothing. Repeated rows are predicted each. Of languages with equal
+scores the first by name is taken. A very long text counts whole, and is laid out alone. An empty table gives no
 rows. Columns other than doc_id, text and lang are not looked at.
 """
 
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from warcloom.llm.arrays import give_back
 
 BITS = 16
-SAMPLE = 3000
+SAMPLE, FLOOR = 3000, 100
 ALPHA, BETA, L1, L2, EPOCHS, BATCH = 10.0, 1.0, 1e-3, 1e-3, 6, 32
 HELD = "crc32(cast(doc_id AS string)) % 3 = 1"
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -118,15 +121,23 @@ def document_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
     return out, int(n[column < 0].sum())
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from docs(doc_id, text, lang). At most about ``sample`` documents reach the driver, picked by hash."""
-    known = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
+def picked_texts(known: DataFrame, n: int, sample: int, floor: int) -> DataFrame:
+    """Different (lang, text) among the n rows of known(text, lang): about ``sample``, and about ``floor`` of each language."""
+    sizes = known.where("lang IS NOT NULL").groupBy("lang").count().collect()
+    shares = {r.lang: min(1.0, max(sample / n, floor / r["count"])) for r in sizes}
+    most = (1 << 63) - 1
+    limit = F.create_map(*(F.lit(x) for lang, share in shares.items() for x in (lang, int(share * most) if share < 1 else most)))
+    chosen = F.xxhash64("text").bitwiseAND(F.lit(most)) <= F.element_at(limit, F.col("lang"))
+    return known.where(chosen).select("lang", "text").distinct()
+
+
+def train(docs: DataFrame, sample: int = SAMPLE, floor: int = FLOOR) -> Model:
+    """Learn from docs(text, lang). About ``sample`` documents, and ``floor`` more per language, reach the driver."""
+    known = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", F.col("lang").cast("string").alias("lang"))
     df, n = document_counts(known)
     if not n:
         return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0))
-    share = min(1.0, sample / n)
-    picked = known.where(F.expr(f"pmod(xxhash64(doc_id, text), 1000000L) < {int(share * 1_000_000) + 1}")).toPandas()
-    picked = picked.sort_values(["doc_id", "text"], kind="stable")
+    picked = picked_texts(known, n, sample, floor).toPandas().sort_values(["lang", "text"], kind="stable")
     idf = np.log((1 + n) / (1 + df)) + 1
     langs = sorted(set(picked["lang"]))
     rows = [_row(x, idf) for x in picked["text"]]
