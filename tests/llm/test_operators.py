@@ -168,6 +168,18 @@ def test_languages(spark):
     assert op06_language.keep_known(frame).columns == frame.columns
 
 
+def test_a_rare_language_is_learned(spark):
+    common = [(k, f"the quick brown fox number {k} jumps over the lazy dog", "en") for k in range(3000)]
+    common += [(3000 + k, "one text that a third of all rows hold", "en") for k in range(1500)]
+    rare = [(5000 + k, f"příliš žluťoučký kůň číslo {k} úpěl ďábelské ódy", "cs") for k in range(12)]
+    frame = spark.createDataFrame(common + rare, "doc_id long, text string, lang string")
+    picked = Counter(r.lang for r in op06_language.picked_texts(frame.drop("doc_id"), frame.count(), 100, 10).collect())
+    assert picked["cs"] >= 5 and picked["en"] < 200
+    model = op06_language.train(frame, sample=100, floor=12)
+    assert model.langs == ["cs", "en"]
+    assert [x for x, _ in model.predict(["žluťoučký kůň úpěl", "the lazy dog jumps", "12 34", None])] == ["cs", "en", "und", "und"]
+
+
 @pytest.mark.parametrize("group", [op07_packing.GROUP_PIECES, 40])
 def test_packing(spark, documents, group):
     encoder = WordEncoder(default_path())
@@ -257,6 +269,14 @@ def test_embedding_links(spark):
     assert op09_flat_graph.audit_recall(frame, op09_flat_graph.near_duplicates(frame)) >= 0.9
 
 
+def test_different_vectors_of_one_id(spark):
+    one, two = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(1, one, 0), (1, two, 0), (1, two, 0), (2, [1.0, 0.1, 0.0], 0), (3, [0.1, 1.0, 0.0], 0), (4, [0.1, 1.0, 0.01], 0), (0, [0.0, 0.0, 1.0], 0)]
+    found = op09_flat_graph.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    want = [(0, 0, 0), (1, 1, 1), (1, 2, 1), (1, 2, 1), (2, 1, 1), (3, 2, 1), (4, 2, 1)]
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in found.collect()) == want
+
+
 def test_components(spark):
     chance = random.Random(2)
     for n, links in ((200, [(chance.randrange(200), chance.randrange(200)) for _ in range(150)]), (60, [(k, k + 1) for k in range(59)])):

@@ -1,7 +1,7 @@
 """Embedding near-dedup by a robust-pruned flat graph.
 
 Equal vectors of a label are one node with a multiplicity. Nodes are dealt to the ``OVERLAP`` nearest of sampled centres
-(at most ``CENTRES`` in all, so the broadcast is bounded, and none within ``APART`` of another); the nodes of a centre and label are a cluster, cut into blocks
+(about ``CENTRES`` and ``CENTRE_BYTES`` at most, so the broadcast is bounded, and none within ``APART`` of another); the nodes of a centre and label are a cluster, cut into blocks
 of about ``BLOCK``. In each block a graph is built: of the candidates in descending similarity a node keeps the next one
 unless a kept one is nearer to it by the factor ``ALPHA`` (robust pruning), ``DEGREE`` at most. A node's adjacency is the
 union of those in its blocks, in either direction. Every pair of blocks of a cluster is searched: each node of one starts from the medoids of
@@ -14,6 +14,7 @@ No pairs leave a task: it gives link counts per node and a spanning forest of it
 
 Rules: vectors that are null, zero, or hold null or non-finite components, and rows without label or vec_id, link with
 nothing and stand alone. Vectors of different length never link. Rows that share vec_id, label and vector are one vector.
+Rows that share vec_id alone are different vectors: each has its own links, and may link with the others.
 An empty table gives no rows. Columns other than vec_id, embedding and label are not looked at.
 """
 
@@ -31,6 +32,7 @@ from warcloom.llm.stored import stored
 
 LINK, REACH, APART = 0.93, 0.86, 0.7
 CENTRES, PER_CENTRE, OVERLAP, BLOCK = 65_536, 300, 3, 600
+CENTRE_BYTES = 64 << 20
 DEGREE, ALPHA, BEAM, MEDOIDS = 20, 1.2, 12, 16
 _NODE = pa.schema([("shelf", pa.string()), ("node", pa.int64()), ("copies", pa.int64()), ("unit", pa.binary()), ("cluster", pa.int32()), ("clusters", pa.list_(pa.int32()))])
 NODE = "shelf string, node long, copies long, unit binary, cluster int, clusters array<int>"
@@ -62,25 +64,27 @@ def _unit(x: list[float]) -> np.ndarray | None:
 def near_duplicates(vectors: DataFrame) -> DataFrame:
     """One row per row of vectors(vec_id, embedding, label, ..): n_links, component_id and kept."""
     rows = stored(units(vectors))
-    nodes = rows.where("unit IS NOT NULL").distinct().groupBy("shelf", "unit").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
-    nodes = stored(nodes)
+    nodes = rows.where("unit IS NOT NULL").distinct().groupBy("shelf", "unit").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("copies"))
+    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()))  # numbers of the stored table, so a retry can't change them
     found = stored(search(nodes))
     counts = found.where("b IS NULL").groupBy("a").agg(F.sum("n").alias("n"))
-    parts = components(found.where("b IS NOT NULL").select("a", "b"))
+    parts = components(found.where("b IS NOT NULL").select("a", "b")).join(nodes.select("node", "first_id"), "node")
+    names = parts.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    parts = parts.join(names, "component").select("node", "component_id")
     known = nodes.join(counts.select(F.col("a").alias("node"), "n"), "node", "left").join(parts, "node", "left")
-    known = known.select("shelf", "unit", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
+    known = known.select("shelf", "unit", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component_id", "first_id").alias("component_id"))
     out = rows.join(known, ["shelf", "unit"], "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
 
 
 def search(nodes: DataFrame) -> DataFrame:
-    """(a, b, n) for nodes(shelf, node, copies, unit): rows with b are links, rows without it give a's linked copies."""
-    n = nodes.count()
-    placed = stored(_assigned(nodes, max(1, PER_CENTRE, -(-n // CENTRES))))
+    """(a, b, n) for nodes(shelf, node, copies, unit, ..): rows with b are links, rows without it give a's linked copies."""
+    n, size = nodes.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("unit")), F.lit(0))).first()
+    placed = stored(_assigned(nodes.select("shelf", "node", "copies", "unit"), max(PER_CENTRE, -(-n // CENTRES), -(-size // CENTRE_BYTES))))
     size = placed.groupBy("shelf", "cluster").agg(F.count("*").alias("size"))
     placed = placed.join(size, ["shelf", "cluster"]).withColumn("blocks", F.expr(f"CAST(ceil(size / {BLOCK}) AS int)"))
-    placed = stored(placed.withColumn("block", F.expr("CAST(pmod(xxhash64(node), blocks) AS int)")).drop("size"))
+    placed = stored(placed.withColumn("block", F.expr("CAST(pmod(xxhash64(unit, 1), blocks) AS int)")).drop("size"))
     edges = placed.groupBy("shelf", "cluster", "block").applyInArrow(_block_graph, "node long, neighbours array<long>")
     joined = edges.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours"))
     pairs = placed.join(joined, "node", "left").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -90,7 +94,7 @@ def search(nodes: DataFrame) -> DataFrame:
 
 def _assigned(nodes: DataFrame, every: int) -> DataFrame:
     """Each node once for each of its nearest centres; centres are the nodes that a hash picks, one of ``every``."""
-    picked = nodes.where(F.expr(f"pmod(xxhash64(unit), {every}L) = 0")).select("shelf", "unit").limit(2 * CENTRES).toArrow()
+    picked = nodes.where(F.expr(f"pmod(xxhash64(unit), {every}L) = 0")).select("shelf", "unit").toArrow()
     centres: dict[str, list[np.ndarray]] = {}
     for shelf, unit in sorted(zip(picked["shelf"].to_pylist(), picked["unit"].to_pylist(), strict=True)):
         centres.setdefault(shelf, []).append(np.frombuffer(unit))
