@@ -331,9 +331,12 @@ def _frequency(got: list[tuple[int, int, bytes]]):
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs with one document of each class; rows and columns as they are. Of rows that share a doc_id the first by text stays."""
+    """docs with one document of each class; rows and columns as they are. Of rows that share a doc_id the first by text stays.
+    Rows without doc_id stay where they are: they take part in no shuffle."""
     kept, row = free_name(docs, "kept_id"), free_name(docs, "row_of_id")
-    ids = classes(docs).where("kept").select(F.col("doc_id").alias(kept)).distinct()
-    found = docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col(kept)), "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
-    return found.withColumn(row, F.row_number().over(order)).where(F.col("doc_id").isNull() | (F.col(row) == 1)).drop(row)
+    doc_id = F.col("doc_id").cast("long")
+    ids = classes(docs).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(kept)).distinct()
+    found = docs.where(doc_id.isNotNull()).join(ids, doc_id == F.col(kept), "left_semi")
+    order = Window.partitionBy(doc_id).orderBy(F.col("text").asc_nulls_first())
+    found = found.withColumn(row, F.row_number().over(order)).where(F.col(row) == 1).drop(row)
+    return found.unionByName(docs.where(doc_id.isNull()))

@@ -36,15 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from warcloom.llm import rounds
 from warcloom.llm.arrays import Words, blocks, give_back
-from warcloom.llm.stored import free_name
 
 HALF, ITEMS, EXTRA = 32, 256, 24
 COMMON, LEAST = 0.004, 12
 COSINE, COVERED, ANSWER = 0.4, 0.6, 0.5
 BATCH_BYTES = 1 << 21
 SCHEMA = "doc_id long, item_id long, cosine double, covered double, answer_covered double"
-_SUMS = "block int, data binary"
 _COLUMNS, _CELLS = 64, 4096
 _CLEAN = bytes(ord(chr(c).lower()) if chr(c).isascii() and chr(c).isalnum() else (c if c >= 128 else 32) for c in range(256))
 
@@ -188,23 +187,12 @@ def _summed(docs: DataFrame, part) -> dict[int, tuple[np.ndarray, ...]]:
     """Sums over tasks of part(batches) -> {block: arrays}."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from warcloom.llm import rounds
-
         made = part(batches)
         yield pa.record_batch([pa.array(made, pa.int32()), pa.array([rounds.pack(*x) for x in made.values()], pa.binary())], names=["block", "data"])
         del made
         give_back()
 
-    def add(rows: pa.Table) -> pa.Table:
-        from warcloom.llm import rounds
-
-        total = [sum(x) for x in zip(*(rounds.unpack(d) for d in rows["data"].to_pylist()), strict=True)]
-        return pa.table([rows["block"][:1], pa.array([rounds.pack(*total)], pa.binary())], names=["block", "data"])
-
-    from warcloom.llm import rounds
-
-    rows = docs.mapInArrow(work, _SUMS).groupBy("block").applyInArrow(add, _SUMS).collect()
-    return {r.block: rounds.unpack(r.data) for r in rows}
+    return rounds.add_up(docs.mapInArrow(work, rounds.SUMS))
 
 
 def build(docs: DataFrame, items: list[tuple[int | None, bytes]]) -> Space | None:
@@ -368,13 +356,18 @@ def _leaks(space: Space, ids: list, texts: list[bytes]) -> list[tuple]:
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per row of docs(doc_id, text, ..) and item of benchmark(item_id, text) that it holds."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    items = [(r.item_id, clean(r.text)) for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").orderBy("item_id", "text").toLocalIterator()]
     out = docs.sparkSession.createDataFrame([], SCHEMA)
+    for space in _spaces(docs, benchmark):
+        out = out.unionByName(_search(docs, space))
+    return out
+
+
+def _spaces(docs: DataFrame, benchmark: DataFrame) -> Iterator[Space]:
+    items = [(r.item_id, clean(r.text)) for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").orderBy("item_id", "text").toLocalIterator()]
     for a in range(0, len(items), ITEMS):
         space = build(docs, [x for x in items[a : a + ITEMS] if x[1].split()])
         if space is not None:
-            out = out.unionByName(_search(docs, space))
-    return out
+            yield space
 
 
 def _search(docs: DataFrame, space: Space) -> DataFrame:
@@ -391,7 +384,24 @@ def _search(docs: DataFrame, space: Space) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the documents that hold an item; rows and columns as they are."""
-    name = free_name(docs, "leaked_id")
-    leaked = find_leaks(docs, benchmark).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(leaked, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_anti")
+    """docs without the rows whose text holds an item; rows and columns as they are. Each row is judged by its own text, so
+    rows without doc_id, or with a repeated one, stay if they are clean. Nothing is shuffled."""
+    out = docs
+    for space in _spaces(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark):
+        out = _clean_rows(out, space)
+    return out
+
+
+def _clean_rows(docs: DataFrame, space: Space) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(space)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep, at = np.ones(batch.num_rows, bool), 0
+            for ids, texts in _texts([batch]):
+                keep[[row for row, *_ in _leaks(shared.value, list(range(at, at + len(ids))), texts)]] = False
+                at += len(ids)
+            yield batch.filter(pa.array(keep))
+        give_back()
+
+    return docs.mapInArrow(work, docs.schema)
