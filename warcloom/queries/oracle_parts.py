@@ -1,6 +1,6 @@
 """SQL fragments that several oracles share. They restate operators on exploded rows, with joins and windows."""
 
-from warcloom.fixed_values import BLOCK_TAGS, EMBEDDED_TAGS, STOPLIST_IGNORED, STOPLIST_STRIP_CHARS
+from warcloom.fixed_values import BLOCK_TAGS, CZECH_LETTERS, DEFAULT_CHARSETS, EMBEDDED_TAGS, STOPLIST_IGNORED, STOPLIST_STRIP_CHARS
 
 SPACE = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 
@@ -240,3 +240,79 @@ def text_statistics(source: str, key: str, text: str, language: str) -> str:
         - 84.6 * (CAST(n_syllables AS DOUBLE) / n_words), 6) END AS reading_ease
   FROM totals
 )"""
+
+
+def _one_byte(charset: str) -> tuple[str, str]:
+    """The bytes from 128 on as characters, and what a charset reads in them."""
+    return "".join(map(chr, range(128, 256))), "".join(bytes([b]).decode(charset, "replace") for b in range(128, 256))
+
+
+def _encoded(charset: str) -> str:
+    """SQL for the bytes, as characters up to U+00FF, of `html` in a charset of one byte per character."""
+    known = [(b, c) for b, c in zip(*_one_byte(charset), strict=True) if c != "\ufffd"]
+    letters = "".join(f"\\x{{{ord(c):X}}}" for _, c in known)
+    return f"translate(regexp_replace(html, '[^\\x00-\\x7F{letters}]', '?', 'g'), '{''.join(c for _, c in known)}', '{''.join(b for b, _ in known)}')"
+
+
+def _spans(*ranges: str) -> str:
+    """A pattern for bytes of these ranges one after another: `"C2-DF 80-BF"`."""
+    one = lambda span: "[" + "-".join(f"\\x{{{x}}}" for x in span.split("-")) + "]"
+    return "|".join("".join(map(one, spans.split())) for spans in ranges)
+
+
+# Whole sequences of UTF-8, and beginnings of sequences, which are one error each.
+_WHOLE = _spans("C2-DF 80-BF", "E0 A0-BF 80-BF", "E1-EC 80-BF 80-BF", "ED 80-9F 80-BF", "EE-EF 80-BF 80-BF", "F0 90-BF 80-BF 80-BF", "F1-F3 80-BF 80-BF 80-BF", "F4 80-8F 80-BF 80-BF")
+_BEGUN = _spans("E0 A0-BF", "E1-EC 80-BF", "ED 80-9F", "EE-EF 80-BF", "F0 90-BF 80-BF", "F0 90-BF", "F1-F3 80-BF 80-BF", "F1-F3 80-BF", "F4 80-8F 80-BF", "F4 80-8F")
+# Units of UTF-16 that are half a character stand as characters that no text has.
+_HIGH, _LOW = "\\x{10FFFD}", "\\x{10FFFC}"
+_HALVES = f"(?s){_HIGH}.|{_LOW}|{_HIGH}"
+
+
+def guessed_charsets(encoded: dict[int, str]) -> str:
+    """SQL for the charset with most Czech letters of pages that are written in `encoded[page_id % n]`, without declaration.
+
+    `raw` has the bytes as characters up to U+00FF; `texts` what each candidate reads, with one mark per error.
+    """
+    sql = {
+        "utf-8": """array_to_string(list_transform(regexp_extract_all(html, '(?s).'), lambda c: CASE
+      WHEN unicode(c) < 128 THEN c
+      WHEN unicode(c) < 2048 THEN chr(192 + unicode(c) // 64) || chr(128 + unicode(c) % 64)
+      WHEN unicode(c) < 65536 THEN chr(224 + unicode(c) // 4096) || chr(128 + unicode(c) // 64 % 64) || chr(128 + unicode(c) % 64)
+      ELSE chr(240 + unicode(c) // 262144) || chr(128 + unicode(c) // 4096 % 64) || chr(128 + unicode(c) // 64 % 64) || chr(128 + unicode(c) % 64) END), '')""",
+        "utf-16-le": """array_to_string(list_transform(regexp_extract_all(html, '(?s).'), lambda c: CASE
+      WHEN unicode(c) < 65536 THEN chr(unicode(c) % 256) || chr(unicode(c) // 256)
+      ELSE chr((unicode(c) - 65536) // 1024 % 256) || chr(216 + (unicode(c) - 65536) // 262144)
+        || chr(unicode(c) % 256) || chr(220 + unicode(c) % 1024 // 256) END), '')""",
+    }
+    raw = " ".join(f"WHEN {k} THEN {sql.get(name) or _encoded(name)}" for k, name in encoded.items())
+    czech = "".join(sorted(set(CZECH_LETTERS) - set(map(chr, range(128)))))
+    letters = f"[^a-zA-Z{czech}]"
+    two_bytes = "|".join("".join(f"\\x{{{b:X}}}" for b in c.encode()) for c in czech)
+    reads = []
+    for at, name in enumerate(DEFAULT_CHARSETS):
+        if name == "ascii":
+            text = "regexp_replace(b, '[^\\x00-\\x7F]', '\ufffd', 'g')"
+        elif name == "utf-8":  # a whole sequence is the letter a if it is a Czech letter, else no letter
+            whole = f"regexp_replace(regexp_replace(b, '{two_bytes}', 'a', 'g'), '{_WHOLE}', '.', 'g')"
+            text = f"regexp_replace(regexp_replace({whole}, '{_BEGUN}', '\ufffd', 'g'), '[\\x{{80}}-\\x{{FF}}]', '\ufffd', 'g')"
+        elif name == "utf-16":
+            text = "wide"
+        else:
+            text = "translate(b, '{}', '{}')".format(*_one_byte(name))
+        reads.append(f"SELECT page_id, {at} AS place, '{name}' AS charset, {text} AS text FROM units")
+    return f"""
+WITH given AS (SELECT page_id, replace(html, '<meta charset="utf-8">', '') AS html FROM pages),
+raw AS MATERIALIZED (SELECT page_id, CASE page_id % {len(encoded)} {raw} END AS b FROM given),
+bytes AS MATERIALIZED (SELECT page_id, b, list_transform(regexp_extract_all(b, '(?s).'), lambda c: unicode(c)) AS codes FROM raw),
+pairs AS (SELECT page_id, b, list_transform(range(1, len(codes) + 1, 2), lambda i: codes[i] + 256 * codes[i + 1]) AS pairs FROM bytes),
+halves AS (SELECT page_id, b, array_to_string(list_transform(pairs, lambda u: CASE
+    WHEN u IS NULL THEN chr(65533) WHEN u BETWEEN 55296 AND 56319 THEN chr(1114109) WHEN u BETWEEN 56320 AND 57343 THEN chr(1114108)
+    ELSE chr(u) END), '') AS halves FROM pairs),
+units AS MATERIALIZED (SELECT page_id, b, regexp_replace(halves, '{_HALVES}', '', 'g')
+    || array_to_string(list_transform(regexp_extract_all(halves, '{_HALVES}'), lambda x: CASE x WHEN chr(1114109) || chr(1114108) THEN '.' ELSE chr(65533) END), '') AS wide
+  FROM halves),
+texts AS ({" UNION ALL ".join(reads)}),
+scores AS (SELECT page_id, place, charset, length(regexp_replace(text, '{letters}', '', 'g')) / length(text) AS letters,
+    length(regexp_replace(text, '[^\ufffd]', '', 'g')) / length(text) AS errors FROM texts WHERE length(text) > 0),
+best AS (SELECT page_id, charset FROM scores QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY letters DESC, errors, place) = 1)
+SELECT page_id, charset, 'guessed' AS charset_origin FROM pages LEFT JOIN best USING (page_id)"""

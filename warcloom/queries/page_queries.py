@@ -28,6 +28,7 @@ from warcloom.queries.oracle_parts import (
     VISIBLE,
     block_classes,
     decoded,
+    guessed_charsets,
     language_of,
     page_blocks,
     squeezed,
@@ -87,6 +88,9 @@ def declared_charset(spark, sf_dir):
 
 
 # Pages declare utf-8; without that, and in another charset, the bytes must be guessed.
+RECODED = ["utf-8", "cp1250", "iso-8859-2", "utf-16-le"]
+
+
 def recoded_pages(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", F.replace("html", F.lit('<meta charset="utf-8">')).alias("html"))
     name = F.element_at(
@@ -100,7 +104,7 @@ def recoded_pages(spark, sf_dir):
     )
 
 
-@query()
+@query(guessed_charsets(dict(enumerate(RECODED))))
 def charset_guess(spark, sf_dir):
     guessed = with_charset(recoded_pages(spark, sf_dir))
     return guessed.select("page_id", "charset", "charset_origin")
