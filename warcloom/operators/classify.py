@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from warcloom.fixed_values import DEFAULT_LANGUAGE, OTHER_PAGE_TYPE, PAGE_TYPE_NEEDLES
 from warcloom.functions.literals import sql_string
+from warcloom.operators.counted import as_column, counts_by_classes, sums_by_class
 from warcloom.session import stored
 
 
@@ -24,7 +25,7 @@ def page_type(url: Column, needles: dict[str, list[str]] = PAGE_TYPE_NEEDLES, ot
 def class_scores(
     texts: DataFrame,
     key: str,
-    tokens: str,
+    tokens: str | Column,
     model: DataFrame,
     bias: DataFrame,
     language: str | None = None,
@@ -35,20 +36,11 @@ def class_scores(
     `model` has (class, term, weight), `bias` one row (class, bias) per class. A text with tokens but without any term
     of the model has one row with a null class. With `language`, texts of another language, or of none, have no row.
 
-    A text's terms are counted first and the model is one row per term, so the join has one row per text and term; a
-    term's classes are laid out only to be summed in the same task. AQE broadcasts a model it measures small and splits
-    the partitions of frequent terms otherwise.
+    Texts are scored in chunks that ask for the weights of their distinct terms (`counted.sums_by_class`), so neither tokens
+    nor pairs of text and term are shuffled. `tokens` is a column's name or an expression.
     """
     wanted = texts if language is None else texts.filter(F.col(language) == only_language)
-    terms = wanted.select(key, F.explode_outer(tokens).alias("term")).filter("term IS NOT NULL")
-    counted = terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    by_term = model.groupBy("term").agg(F.collect_list(F.struct("class", "weight")).alias("weights"))
-    scored = (
-        counted.join(by_term, "term", "left")
-        .select(key, "tf", F.explode_outer("weights").alias("w"))
-        .groupBy(key, F.col("w.class").alias("class"))
-        .agg(F.sum(F.col("tf") * F.col("w.weight")).alias("total"))
-    )
+    scored = sums_by_class(wanted, key, tokens, model).groupBy(key, "class").agg(F.sum("total").alias("total"))
     return scored.join(bias, "class", "left").select(key, "class", (F.col("total") + F.col("bias")).alias("score"))
 
 
@@ -82,24 +74,24 @@ def sentiment(
 
 
 def fit_linear_model(
-    texts: DataFrame, key: str, tokens: str, labels: DataFrame, smoothing: float = 1.0
+    texts: DataFrame, key: str, tokens: str | Column, labels: DataFrame, smoothing: float = 1.0
 ) -> tuple[DataFrame, DataFrame]:
     """A model for `class_scores`: weights are log-odds of a term inside and outside a class, smoothed.
 
     `labels` has distinct (key, class); a text may have several. Returns (class, term, weight) and (class, bias). Only
-    counts are needed, which are stored at once in the shared folder: texts are read a single time.
+    counts are needed, which are stored at once in the shared folder: texts are read a single time. `tokens` is a column's
+    name or an expression.
     """
-    classes = labels.groupBy(key).agg(F.collect_set("class").alias("classes"))
+    classes = labels.groupBy(key).agg(F.array_sort(F.collect_set("class")).alias("_classes"))
+    # tokens are made behind the join, which then moves texts as they are
+    labelled = texts.join(classes, key).select(as_column(tokens).alias("tokens"), F.col("_classes").alias("classes"))
     # a null class counts every labelled text
     everything = F.array_append("classes", F.lit(None).cast("string"))
     counts = (
-        texts.select(key, tokens)
-        .join(classes, key)
-        .select(F.explode_outer(tokens).alias("term"), everything.alias("classes"))
-        .filter("term IS NOT NULL")
-        .select("term", F.explode_outer("classes").alias("class"))
+        counts_by_classes(labelled)
+        .select("term", "n", F.explode(everything).alias("class"))
         .groupBy("class", "term")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     # everything below reads these counts, which are far smaller than the texts
     counts = stored(counts, "term-counts")

@@ -188,14 +188,11 @@ _MODEL = """occurrences AS (
 )"""
 
 
-def _tokenised(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc_id", "lang", tk.tokens(F.col("text")).alias("tokens"))
-
-
 def _scored(texts, labels):
     # a model is stored once and then used, as a trained one would be
-    model, bias = (stored(part, "model") for part in classify.fit_linear_model(texts, "doc_id", "tokens", labels))
-    return classify.class_scores(texts, "doc_id", "tokens", model, bias, "lang", "en"), bias
+    tokens = tk.tokens(F.col("text"))
+    model, bias = (stored(part, "model") for part in classify.fit_linear_model(texts, "doc_id", tokens, labels))
+    return classify.class_scores(texts, "doc_id", tokens, model, bias, "lang", "en"), bias
 
 
 @query(
@@ -207,7 +204,7 @@ SELECT doc_id, coalesce(string_agg(class, ',' ORDER BY class) FILTER (WHERE scor
 FROM scores GROUP BY doc_id"""
 )
 def topic_assign(spark, sf_dir):
-    texts = _tokenised(spark, sf_dir)
+    texts = documents(spark, sf_dir)
     graded = table(spark, sf_dir, "labels")
     sources = graded.select("doc_id").join(documents(spark, sf_dir), "doc_id")
     sources = sources.select("doc_id", F.col("source").alias("class"))
@@ -224,7 +221,7 @@ SELECT doc_id, round(tanh((max(score) FILTER (WHERE class = 'positive') - max(sc
 FROM scores GROUP BY doc_id"""
 )
 def sentiment_score(spark, sf_dir):
-    texts = _tokenised(spark, sf_dir)
+    texts = documents(spark, sf_dir)
     labels = table(spark, sf_dir, "labels").select(
         "doc_id", F.when(F.col("toxic") == 1, "negative").otherwise("positive").alias("class")
     )
