@@ -3,7 +3,8 @@
 A model is a table (class, term, weight), a bias per class and, where texts are weighed by normalised TF-IDF, the IDF of its
 terms. To score rows where they are, a model is collected, which its size in bytes must allow, and broadcast: a row's
 tokens are looked up in a hash table of terms, counted, and multiplied into one score per class. Neither texts nor tokens
-leave their row, so there is no shuffle and no hot word. Models above the bound go through `classify.class_scores`, a join.
+leave their row, so there is no shuffle and no hot word. Models above the bound stay tables and go through
+`classify.class_scores`, a join; `usable_model` decides.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from pyspark.ml.feature import IDF, CountVectorizer, Normalizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from warcloom.operators import classify
+from warcloom.operators.counted import pieces
 from warcloom.session import stored
 
 MODEL_BYTES = 256 << 20
@@ -51,7 +54,7 @@ class LinearModel:
             z = max(int(np.searchsorted(ends, (ends[a - 1] if a else 0) + _CHUNK, side="right")), a + 1)
             row, term, value = self._weighed(tokens.slice(a, z - a))
             size = self.begin[term + 1] - self.begin[term]
-            for low, high in _pieces(size):
+            for low, high in pieces(size, _CHUNK):
                 s = size[low:high]
                 which = np.repeat(self.begin[term[low:high]] - (np.cumsum(s) - s), s) + np.arange(s.sum())
                 cell = np.repeat(row[low:high], s) * n + self.of_class[which]
@@ -72,22 +75,42 @@ class LinearModel:
         return row, term, tf / np.maximum(norm[row], 1e-300)
 
 
-def _pieces(size: np.ndarray) -> list[tuple[int, int]]:
-    """Ranges of entries that have about _CHUNK weights together."""
-    total = np.cumsum(size)
-    cuts = np.searchsorted(total, np.arange(_CHUNK, total[-1], _CHUNK)) + 1 if len(total) else []
-    edges = np.unique(np.concatenate([[0], cuts, [len(size)]])).astype(int).tolist()
-    return list(zip(edges, edges[1:], strict=False))
-
-
 def collect_model(model: DataFrame, bias: DataFrame, idf: DataFrame | None = None, limit: int = MODEL_BYTES) -> LinearModel:
     """A model (class, term, weight), (class, bias), (term, idf) as a value that tasks can hold; an error if it is larger
     than `limit` bytes. Several weights of a class and term are added, classes without a bias have none to add."""
+    rows, size = _summed(model)
+    if size > limit:
+        raise ValueError(f"a model of {size} bytes does not fit into {limit}; score it by a join")
+    return _collected(rows, bias, idf)
+
+
+@dataclass(frozen=True)
+class StoredModel:
+    """A model larger than a task may hold, as tables (class, term, weight) and (class, bias) with a row for every class."""
+
+    model: DataFrame
+    bias: DataFrame
+
+
+def usable_model(model: DataFrame, bias: DataFrame, limit: int | None = None) -> LinearModel | StoredModel:
+    """A model (class, term, weight), (class, bias) as a value for tasks, or as tables if it has more than `limit` bytes
+    (MODEL_BYTES). Steps take both, with the same results."""
+    rows, size = _summed(model)
+    if size <= (MODEL_BYTES if limit is None else limit):
+        return _collected(rows, bias)
+    every = rows.select("class").distinct().join(bias.groupBy("class").agg(F.last("bias").alias("bias")), "class", "full")
+    return StoredModel(rows, stored(every.select("class", F.coalesce("bias", F.lit(0.0)).alias("bias")), "model"))
+
+
+def _summed(model: DataFrame) -> tuple[DataFrame, int]:
+    """One stored row per class and term, and their bytes."""
     rows = model.filter("term IS NOT NULL AND class IS NOT NULL").groupBy("class", "term").agg(F.sum("weight").alias("weight"))
     rows = stored(rows, "model")
     n, text = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("term") + F.octet_length("class")), F.lit(0))).first()
-    if text + 16 * n > limit:
-        raise ValueError(f"a model of {text + 16 * n} bytes does not fit into {limit}; score it by a join")
+    return rows, text + 16 * n
+
+
+def _collected(rows: DataFrame, bias: DataFrame, idf: DataFrame | None = None) -> LinearModel:
     table = rows.select("term", "class", "weight").toArrow().sort_by([("term", "ascending"), ("class", "ascending")])
     biases = {r["class"]: float(r["bias"]) for r in bias.collect()}
     classes = sorted(set(biases) | set(table["class"].to_pylist()))
@@ -144,6 +167,16 @@ def sentiment_of(spark, model: LinearModel, positive: str = "positive", negative
     return _by_row(spark, model, "double", lambda _, scores: pa.array(np.tanh((scores[:, p] - scores[:, n]) / 2)))
 
 
+def with_scored(records: DataFrame, output: str, tokens: Column, found: StoredModel, result: Callable[[DataFrame, str, DataFrame], DataFrame]) -> DataFrame:
+    """Records with the `output` that `result` makes of their class scores by a stored model; null without tokens.
+
+    Records are written once with a number, by which the scores of their tokens come back to them.
+    """
+    rows = stored(records.drop(output).withColumns({"_row": F.monotonically_increasing_id(), "_tokens": tokens}), "records")
+    scores = classify.class_scores(rows.filter(F.size("_tokens") > 0), "_row", "_tokens", found.model, found.bias)
+    return rows.drop("_tokens").join(result(scores, "_row", found.bias), "_row", "left").drop("_row")
+
+
 def fit_svm(
     texts: DataFrame,
     key: str,

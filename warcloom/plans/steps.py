@@ -19,10 +19,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from warcloom.fixed_values import DEFAULT_LANGUAGE, MIME_GROUPS, PAGE_TYPE_NEEDLES
 from warcloom.functions import tokens as tk
+from warcloom.operators import classify
 from warcloom.operators.classify import page_type
 from warcloom.operators.gates import invalid_rules
 from warcloom.operators.language import Stoplists
-from warcloom.operators.linear import LinearModel, sentiment_of, topics_of
+from warcloom.operators.linear import LinearModel, StoredModel, sentiment_of, topics_of, with_scored
 from warcloom.operators.page_text import with_charset, with_html, with_page_text
 from warcloom.operators.readability import with_reading_ease, with_sentences, with_tokens
 from warcloom.sources.warc import NOT_DECODED
@@ -84,27 +85,31 @@ def flesch_reading_ease() -> Step:
     return Step("FleschReadingEase", with_reading_ease, outputs, ["plain_text"])
 
 
-def _classified(name: str, output: str, kind: str, expression: Callable, only_language: str) -> Step:
-    """A step that scores the tokens of texts of one language; the tokens of a step before it, or else its own."""
+def _classified(name: str, output: str, kind: str, model: LinearModel | StoredModel, expression: Callable, joined: Callable, only_language: str) -> Step:
+    """A step that scores the tokens of texts of one language; the tokens of a step before it, or else its own. A stored
+    model's scores come by a join, for which records are stored."""
 
     def apply(records: DataFrame) -> DataFrame:
         own = tk.tokens(F.col("plain_text"))
         made = F.col("plain_text_tokens") if "plain_text_tokens" in records.columns else None
         tokens = own if made is None else F.when(F.size(made) > 0, made).otherwise(own)
         wanted = F.when(F.col("language") == only_language, tokens)
-        return records.withColumn(output, expression(records.sparkSession)(wanted))
+        if isinstance(model, StoredModel):
+            return with_scored(records, output, wanted, model, joined)
+        return records.withColumn(output, expression(records.sparkSession, model)(wanted))
 
     return Step(name, apply, {output: kind}, ["plain_text", "language"])
 
 
-def topics(model: LinearModel, only_language: str = DEFAULT_LANGUAGE) -> Step:
-    """Sorted classes with a positive score; unset for other languages and texts without tokens. No shuffle."""
-    return _classified("TopicIdentifier", "topics", "array<string>", lambda spark: topics_of(spark, model), only_language)
+def topics(model: LinearModel | StoredModel, only_language: str = DEFAULT_LANGUAGE) -> Step:
+    """Sorted classes with a positive score; unset for other languages and texts without tokens. No shuffle but for a
+    stored model."""
+    return _classified("TopicIdentifier", "topics", "array<string>", model, topics_of, classify.topics, only_language)
 
 
-def sentiment(model: LinearModel, only_language: str = DEFAULT_LANGUAGE) -> Step:
-    """Sentiment in [-1, 1]; unset for other languages and texts without tokens. No shuffle."""
-    return _classified("SentimentAnalyzer", "sentiment", "double", lambda spark: sentiment_of(spark, model), only_language)
+def sentiment(model: LinearModel | StoredModel, only_language: str = DEFAULT_LANGUAGE) -> Step:
+    """Sentiment in [-1, 1]; unset for other languages and texts without tokens. No shuffle but for a stored model."""
+    return _classified("SentimentAnalyzer", "sentiment", "double", model, sentiment_of, classify.sentiment, only_language)
 
 
 #: How the message of a failed step begins in the column `errors`.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from warcloom.functions import tokens as tk
 from warcloom.operators import classify, registry
-from warcloom.operators.linear import collect_model, fit_svm, topics_of
+from warcloom.operators.linear import collect_model, fit_svm, topics_of, usable_model
 from warcloom.plans import steps
 from warcloom.plans.run import process, reprocess_table
 from warcloom.queries.catalog import query, table
@@ -149,10 +149,6 @@ def _topic_labels(spark, sf_dir):
     return sources.select("doc_id", F.col("source").alias("class")).union(graded.filter("quality = 1").select("doc_id", F.lit("quality"))).distinct()
 
 
-def _documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", tk.tokens(F.col("text")).alias("tokens"))
-
-
 @query(
     _RUN
     + f""", tokens AS (SELECT doc_id, unnest({token_list('text')}) AS term FROM documents
@@ -170,9 +166,9 @@ LEFT JOIN (SELECT page_id, round(tanh((max(score) FILTER (WHERE class = 'positiv
 )
 def algseq_topics(spark, sf_dir):
     # the usual sequence with trained models: text, tokens, topics, sentiment, page type
-    texts = _documents(spark, sf_dir)
+    texts = table(spark, sf_dir, "documents")
     moods = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("toxic") == 1, "negative").otherwise("positive").alias("class"))
-    topics, mood = (collect_model(*classify.fit_linear_model(texts, "doc_id", "tokens", own)) for own in (_topic_labels(spark, sf_dir), moods))
+    topics, mood = (usable_model(*classify.fit_linear_model(texts, "doc_id", tk.tokens(F.col("text")), own)) for own in (_topic_labels(spark, sf_dir), moods))
     html = [steps.html_text(stoplists(spark, sf_dir)), steps.word_tokens(), steps.topics(topics, "en"), steps.sentiment(mood, "en"), steps.web_page_type()]
     return process(records(spark, sf_dir), {"HTML": html, "PDF": []}).processed.select(
         "id",
@@ -187,7 +183,7 @@ def algseq_topics(spark, sf_dir):
 @query()
 def topic_svm(spark, sf_dir):
     # trained machines have no form in SQL; tests compare them with a plain version
-    texts = _documents(spark, sf_dir)
+    texts = table(spark, sf_dir, "documents").select("doc_id", tk.tokens(F.col("text")).alias("tokens"))
     graded = table(spark, sf_dir, "labels")
     labels = graded.select(
         "doc_id", F.explode(F.array(F.when(F.col("quality") == 1, "quality").otherwise("poor"), F.when(F.col("toxic") == 1, "toxic"))).alias("class")
