@@ -42,6 +42,20 @@ def test_originals(spark, kind):
     assert {r.id: (r.original, r.hops, r.status) for r in found} == plain_ends(pointers) and len(found) == len(plain_ends(pointers))
 
 
+def test_only_hot_keys_are_copied(spark, monkeypatch):
+    rows = [(f"r{k}", "one" if k % 2 else f"r{k // 2}") for k in range(1, 400)] + [("one", None), ("r0", None)]
+    frame = spark.createDataFrame(rows, "id string, at string")
+    one = frame.selectExpr("id AS at", "at AS then")
+    plain = graph._joined_salted(frame, one, "at")
+    assert "Generate" not in plain._jdf.queryExecution().toString()
+    monkeypatch.setattr(graph, "HOT", 50)
+    salted = graph._joined_salted(frame, one, "at")
+    assert "Generate" in salted._jdf.queryExecution().toString()
+    assert sorted(map(str, salted.select("id", "at", "then").collect())) == sorted(map(str, plain.select("id", "at", "then").collect()))
+    found = graph.originals(frame, refers_to="at").collect()
+    assert {r.id: (r.original, r.hops, r.status) for r in found} == plain_ends(dict(rows))
+
+
 LINKS = [
     ("http://A.cz:80/x", ["http://b.cz/1", "http://b.cz/2", "http://u@c.cz/", "/no", "http://a.cz/own", None]),
     ("http://a.cz/y", ["http://b.cz/1"]),

@@ -9,6 +9,7 @@ from warcloom.functions.binding import let
 from warcloom.session import stored
 
 SALTS = 32
+HOT = 10_000
 
 
 def originals(records: DataFrame, record: str = "id", refers_to: str = "refers_to") -> DataFrame:
@@ -48,9 +49,18 @@ def originals(records: DataFrame, record: str = "id", refers_to: str = "refers_t
 
 
 def _joined_salted(rows: DataFrame, one_per_key: DataFrame, key: str) -> DataFrame:
-    """Left join with a side that has one row per key. Rows of a hot key are dealt to SALTS tasks, its row goes to each."""
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-    copies = one_per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    """Left join with a side that has one row per key. Rows of a hot key are dealt to SALTS tasks, its row goes to each.
+
+    Hot keys have more than HOT rows and more than a 256th of all, so there are 255 at most; all others stay as they are.
+    """
+    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col(key).isNotNull())
+    n = rows.count()
+    hot = [r[key] for r in sizes.filter(F.col("n") > max(HOT, n // 256)).collect()] if n > HOT else []
+    if not hot:
+        return rows.join(one_per_key, key, "left")
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    salted = rows.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).otherwise(0))
+    copies = one_per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.when(is_hot, SALTS - 1).otherwise(0))))
     return salted.join(copies, [key, "_salt"], "left").drop("_salt")
 
 
