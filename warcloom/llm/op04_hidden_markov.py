@@ -5,9 +5,11 @@ words. The ``TOP`` most frequent words are symbols of their own; any other word
 bytes, in ``CLASSES`` classes) times the word's share of its class, (c + 1) / (N + V + 1) with the class's tokens N and
 types V, which leaves one share for unseen words. The model over symbols has ``STATES`` latent states. Baum-Welch trains
 it: each task runs scaled forward and backward recursions over its training texts and adds up expected counts; those are
-summed by blocks of symbols across tasks, and the driver gets a table whose size the parameters bound. Training starts from
-clusters of a sample of about ``SAMPLE`` segments of different texts, picked by hash; ``ROUNDS`` rounds then cover all training texts. A score is the exact
-log10 likelihood of the text and its end by the scaled forward recursion.
+summed by blocks of symbols across tasks, and the driver gets a table whose size the parameters bound. Training starts
+from clusters of all training segments: by the signs of their leading principal components over the ``FREQUENT`` most
+frequent symbols, then by the nearest of the clusters' means (``CLUSTER_ROUNDS`` passes in all); ``ROUNDS`` rounds of Baum-Welch
+follow. Each covers all training texts. A score is the exact log10 likelihood of the text and its end by the scaled
+forward recursion.
 
 Training texts are those with crc32(doc_id as text) mod 7 other than 2 (a null doc_id trains). A text of more than
 ``SEGMENT`` tokens is trained in segments, and scored whole. Words are compared by 64-bit hashes.
@@ -19,7 +21,7 @@ Without training texts every word is unknown (base 0). An empty table gives no r
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ from warcloom.llm.arrays import Words, mix
 from warcloom.llm.stored import stored
 
 TOP, CLASSES, STATES = 6144, 1024, 8
-ROUNDS, SAMPLE, SAMPLE_ROUNDS = 2, 1500, 8
+ROUNDS, FREQUENT, CLUSTER_ROUNDS = 2, 256, 4
 SEGMENT, BATCH = 100_000, 200_000
 SYMBOLS = TOP + CLASSES + 1
 END = SYMBOLS - 1
@@ -83,8 +85,11 @@ class _Texts:
 class _Vocabulary:
     """What all parts need of the counts: bounded by TOP and CLASSES, whatever the corpus."""
 
-    def __init__(self, top: np.ndarray, tokens: np.ndarray, types: np.ndarray, n: int, v: int, ends: int):
-        self.top, self.tokens, self.types, self.n, self.v, self.ends = top, tokens, types, n, v, ends
+    def __init__(self, top: np.ndarray, count: np.ndarray, tokens: np.ndarray, types: np.ndarray, n: int, v: int, ends: int):
+        order = np.argsort(top)
+        self.top, self.tokens, self.types, self.n, self.v, self.ends = top[order], tokens, types, n, v, ends
+        symbols = np.concatenate([count[order], np.zeros(TOP - len(top), np.int64), tokens, [ends]])
+        self.frequent = np.argsort(-symbols, kind="stable")[:FREQUENT]
 
 
 def _count(got: list[tuple[int, int, bytes]]):
@@ -122,7 +127,7 @@ def _vocabulary(answers: DataFrame) -> _Vocabulary:
     n, v, ends = int(tokens.sum() + ends[0]), int(types.sum() + (ends[0] > 0)), int(ends[0])
     np.subtract.at(tokens, classes, count)
     np.subtract.at(types, classes, 1)
-    return _Vocabulary(np.sort(top), tokens, types, n, v, ends)
+    return _Vocabulary(top, count, tokens, types, n, v, ends)
 
 
 def _merge(tables: list[bytes]) -> bytes:
@@ -226,38 +231,71 @@ def _segments(blob: tuple) -> list[tuple[np.ndarray, int]]:
     return [(x[a : a + SEGMENT], w) for x, w in zip(_sequences(blob), blob[4], strict=True) if w for a in range(0, len(x), SEGMENT)]
 
 
-def _first_chain(encoded: DataFrame, share: int) -> Chain:
-    """From one of ``share`` segments: clusters by their frequent symbols, then some rounds of Baum-Welch.
+def _points(blob: tuple, frequent: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Training segments some at a time: symbols, their segments, weights, and square roots of the frequent symbols' shares."""
+    place = np.full(SYMBOLS, len(frequent))
+    place[frequent] = np.arange(len(frequent))
+    own, size = _segments(blob), 0
+    ends = np.cumsum([len(x) for x, _ in own])
+    while size < len(own):
+        a, size = size, max(size + 1, int(np.searchsorted(ends, (ends[size - 1] if size else 0) + 10 * BATCH)))
+        part = own[a:size]
+        length = np.array([len(x) for x, _ in part])
+        symbols, row = np.concatenate([x for x, _ in part]), np.repeat(np.arange(len(part)), length)
+        counts = np.bincount(row * (len(frequent) + 1) + place[symbols], minlength=len(part) * (len(frequent) + 1))
+        yield symbols, row, np.array([w for _, w in part], float), np.sqrt(counts.reshape(len(part), -1)[:, :-1] / length[:, None])
 
-    Equal segments are one, however many parts hold them, so the share alone bounds what the driver gets.
-    """
 
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _summed(encoded: DataFrame, table: Callable[[tuple], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of a vector and a table over all parts, the table by blocks of rows."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = None
         for batch in batches:
             for data in batch["data"].to_pylist():
-                keep = (x.tobytes() for x, _ in _segments(rounds.unpack(data)))
-                yield pa.record_batch([pa.array([x for x in keep if zlib.crc32(x) % share == 0], pa.binary())], names=["data"])
+                made = table(rounds.unpack(data))
+                sums = made if sums is None else tuple(x + y for x, y in zip(sums, made, strict=True))
+        if sums is not None:
+            blocks = [rounds.pack(sums[0]), *(rounds.pack(sums[1][a : a + _BLOCK]) for a in range(0, len(sums[1]), _BLOCK))]
+            yield pa.record_batch([pa.array(range(-1, len(blocks) - 1), pa.int32()), pa.array(blocks, pa.binary())], names=["block", "data"])
+
+    got = rounds.add_up(encoded.mapInArrow(work, rounds.SUMS))
+    return got[-1][0], np.concatenate([got[k][0] for k in sorted(got) if k >= 0])
+
 
-    picked = encoded.mapInArrow(pick, "data binary").distinct().collect()
-    sequences = [np.frombuffer(x, np.uint16) for x in sorted(bytes(r.data) for r in picked)]
-    random = np.random.default_rng(11)
-    if not sequences:
+def _first_chain(encoded: DataFrame, words: _Vocabulary) -> Chain:
+    """From clusters of all training segments, one per state; sums of bounded size reach the driver."""
+    if not words.ends:
         return Chain(np.ones(STATES) / STATES, np.ones((STATES, STATES)) / STATES, np.ones((SYMBOLS, STATES)) / SYMBOLS)
-    rows = np.stack([np.bincount(x, minlength=SYMBOLS) for x in sequences]).astype(np.float32)
-    frequent = np.argsort(-rows.sum(axis=0), kind="stable")[:800]
-    points = np.sqrt(rows[:, frequent] / rows.sum(axis=1, keepdims=True))
-    centres = points[random.integers(len(points), size=1)]
-    while len(centres) < STATES:
-        far = ((points[:, None] - centres[None]) ** 2).sum(axis=2).min(axis=1) + 1e-9 if len(points) * len(centres) < 20_000 else np.min([((points - c) ** 2).sum(axis=1) for c in centres], axis=0) + 1e-9
-        centres = np.concatenate([centres, points[random.choice(len(points), p=far / far.sum(), size=1)]])
-    for _ in range(10):
-        label = np.argmin([((points - c) ** 2).sum(axis=1) for c in centres], axis=0)
-        centres = np.stack([points[label == j].mean(axis=0) if (label == j).any() else centres[j] for j in range(STATES)])
-    emit = np.stack([rows[label == j].sum(axis=0) for j in range(STATES)], axis=1)
-    chain = Chain.of_counts(np.bincount(label, minlength=STATES), 1e4 * np.eye(STATES), emit)
-    for _ in range(SAMPLE_ROUNDS):
-        chain = Chain.of_counts(*chain.expect(sequences, np.ones(len(sequences))))
-    return chain
+    frequent, width = words.frequent, len(words.frequent)
+
+    def moments(blob: tuple) -> tuple[np.ndarray, np.ndarray]:
+        first, second = np.zeros(width + 1), np.zeros((width, width))
+        for _, _, w, points in _points(blob, frequent):
+            first += np.append(w @ points, w.sum())
+            second += (points * w[:, None]).T @ points
+        return first, second
+
+    first, second = _summed(encoded, moments)
+    mean = first[:-1] / first[-1]
+    axes = np.linalg.eigh(second / first[-1] - np.outer(mean, mean))[1][:, ::-1][:, : (STATES - 1).bit_length()]
+    axes = axes * np.sign(axes[np.abs(axes).argmax(axis=0), np.arange(axes.shape[1])])
+    label = lambda points: ((points - mean) @ axes > 0) @ (1 << np.arange(axes.shape[1])) % STATES
+    for _ in range(CLUSTER_ROUNDS):
+
+        def clusters(blob: tuple, label=label) -> tuple[np.ndarray, np.ndarray]:
+            sizes, sums = np.zeros(STATES), np.zeros((width + SYMBOLS, STATES))
+            for symbols, row, w, points in _points(blob, frequent):
+                own = label(points)
+                sizes += np.bincount(own, w, STATES)
+                sums[:width] += points.T @ (np.eye(STATES)[own] * w[:, None])
+                sums[width:] += np.bincount(symbols * np.int64(STATES) + own[row], w[row], SYMBOLS * STATES).reshape(-1, STATES)
+            return sizes, sums
+
+        sizes, sums = _summed(encoded, clusters)
+        centres = (sums[:width] / np.maximum(sizes, 1)).T
+        label = lambda points, centres=centres: np.argmin((centres**2).sum(axis=1) - 2 * points @ centres.T, axis=1)
+    return Chain.of_counts(sizes, 1e4 * np.eye(STATES), sums[width:])
 
 
 def _better_chain(encoded: DataFrame, chain: Chain) -> Chain:
@@ -293,7 +331,7 @@ def score(docs: DataFrame, rounds_of_training: int = ROUNDS) -> DataFrame:
         return pa.table([pa.array([part.part] * len(blobs), pa.int32()), pa.array(blobs, pa.binary())], names=["part", "data"])
 
     encoded = stored(rounds.finish(rows, answers.where("part >= 0"), encode, _ENCODED))
-    chain = _first_chain(encoded, max(1, (words.ends + words.n // SEGMENT) // SAMPLE))
+    chain = _first_chain(encoded, words)
     for _ in range(rounds_of_training if words.ends else 0):
         chain = _better_chain(encoded, chain)
     shared, n = spark.sparkContext.broadcast(chain), words.n
