@@ -43,3 +43,12 @@ def test_stored_models_score_as_collected_ones(spark):
         found = steps.run_steps(rows, {"HTML": [steps.word_tokens(), steps.topics(known)]})
         both.append(sorted(map(str, found.select(sorted(found.columns)).collect())))
     assert both[0] == both[1] and len(both[0]) == 8
+
+
+@pytest.mark.parametrize("limit", [None, 10])
+def test_labels_without_a_class_have_no_score(spark, limit):
+    model = spark.createDataFrame([("sport", "goal", 2.0)], "class string, term string, weight double")
+    bias = spark.createDataFrame([("sport", -1.0), (None, 5.0)], "class string, bias double")
+    known = linear.usable_model(model, bias, limit)
+    rows = spark.createDataFrame([("goal", "cs", "HTML", False)], "plain_text string, language string, mime_group string, is_revisit boolean")
+    assert steps.run_steps(rows, {"HTML": [steps.topics(known)]}).first()["topics"] == ["sport"]

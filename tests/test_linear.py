@@ -220,3 +220,14 @@ def test_few_calls_for_few_failures(spark):
     steps.run_steps(pages(spark, 1000).coalesce(1), {"HTML": [step]}).write.format("noop").mode("overwrite").save()
     failing = sum(k % 97 == 5 and k % 10 != 0 for k in range(1000))
     assert failing < calls.value <= 2 * failing * 11
+
+
+def test_texts_are_joined_before_they_are_tokenised(spark, monkeypatch):
+    plans, store = [], linear.stored
+    monkeypatch.setattr(linear, "stored", lambda rows, purpose: (plans.append((purpose, rows._jdf.queryExecution().optimizedPlan().toString())), store(rows, purpose))[1])
+    texts = spark.createDataFrame([(k, f"a b{k % 3}") for k in range(12)], "k int, text string")
+    labels = spark.createDataFrame([(k, "x" if k % 2 else "y") for k in range(12)], "k int, class string")
+    linear.fit_svm(texts, "k", F.split("text", " "), labels, iterations=2)
+    assert [x for x, _ in plans] == ["labelled", "counts", "vectors"]
+    plan = plans[0][1]
+    assert plan.count("split(") == 1 and plan.index("split(") < plan.index("Join")

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from warcloom.operators import classify
-from warcloom.operators.counted import pieces
+from warcloom.operators.counted import as_column, pieces
 from warcloom.session import stored
 
 MODEL_BYTES = 256 << 20
@@ -98,7 +98,7 @@ def usable_model(model: DataFrame, bias: DataFrame, limit: int | None = None) ->
     rows, size = _summed(model)
     if size <= (MODEL_BYTES if limit is None else limit):
         return _collected(rows, bias)
-    every = rows.select("class").distinct().join(bias.groupBy("class").agg(F.last("bias").alias("bias")), "class", "full")
+    every = rows.select("class").distinct().join(bias.filter("class IS NOT NULL").groupBy("class").agg(F.last("bias").alias("bias")), "class", "full")
     return StoredModel(rows, stored(every.select("class", F.coalesce("bias", F.lit(0.0)).alias("bias")), "model"))
 
 
@@ -112,7 +112,7 @@ def _summed(model: DataFrame) -> tuple[DataFrame, int]:
 
 def _collected(rows: DataFrame, bias: DataFrame, idf: DataFrame | None = None) -> LinearModel:
     table = rows.select("term", "class", "weight").toArrow().sort_by([("term", "ascending"), ("class", "ascending")])
-    biases = {r["class"]: float(r["bias"]) for r in bias.collect()}
+    biases = {r["class"]: float(r["bias"]) for r in bias.filter("class IS NOT NULL").collect()}
     classes = sorted(set(biases) | set(table["class"].to_pylist()))
     place = {name: k for k, name in enumerate(classes)}
     term = table["term"].combine_chunks().cast(pa.string())
@@ -180,7 +180,7 @@ def with_scored(records: DataFrame, output: str, tokens: Column, found: StoredMo
 def fit_svm(
     texts: DataFrame,
     key: str,
-    tokens: str,
+    tokens: str | Column,
     labels: DataFrame,
     regularisation: float = 1e-3,
     iterations: int = 100,
@@ -194,23 +194,26 @@ def fit_svm(
     `labels` has (key, class), several per text if need be; a text belongs to the rest of every class it does not have.
     Terms of fewer than `min_texts` texts, and those behind the `vocabulary` most frequent, are left out. Each machine
     minimises mean hinge loss plus `regularisation`/2 times the squared weights; gradients are summed over the cluster in a
-    tree of `depth` levels. Vectors are computed once and stored; `parallelism` machines are trained at a time. Texts or
-    labels that are null, and texts without tokens, teach nothing.
+    tree of `depth` levels. Tokens, counts and vectors are computed once and stored; `parallelism` machines are trained at
+    a time. Texts or labels that are null, and texts without tokens, teach nothing.
 
     Returns (class, term, weight), (class, bias) and (term, idf), for `collect_model`. Weights have their IDF in them.
     """
     spark = texts.sparkSession
     classes = labels.filter("class IS NOT NULL").groupBy(key).agg(F.collect_set("class").alias("_classes"))
-    known = texts.filter(F.size(tokens) > 0).select(key, F.filter(tokens, lambda t: t.isNotNull()).alias("_tokens")).join(classes, key)
+    # tokens are made behind the join, which then moves texts as they are, and once
+    known = texts.join(classes, key).select(as_column(tokens).alias("_made"), "_classes")
+    known = known.select(F.filter("_made", lambda t: t.isNotNull()).alias("_tokens"), "_classes", (F.size("_made") > 0).alias("_any"))
     names = sorted(r[0] for r in labels.select("class").distinct().collect() if r[0] is not None)
-    counted = stored(known.select("_tokens", "_classes"), "labelled")
+    counted = stored(known, "labelled").filter("_any").drop("_any")
     if not names or counted.isEmpty():
         return tuple(spark.createDataFrame([], s) for s in ("class string, term string, weight double", "class string, bias double", "term string, idf double"))
     counts = CountVectorizer(inputCol="_tokens", outputCol="_tf", vocabSize=vocabulary, minDF=float(min_texts)).fit(counted)
     if not counts.vocabulary:
         raise ValueError(f"no term occurs in {min_texts} texts")
-    weigh = IDF(inputCol="_tf", outputCol="_tfidf").fit(counts.transform(counted))
-    vectors = Normalizer(inputCol="_tfidf", outputCol="features").transform(weigh.transform(counts.transform(counted)))
+    vocabulary_counts = stored(counts.transform(counted).select("_tf", "_classes"), "counts")
+    weigh = IDF(inputCol="_tf", outputCol="_tfidf").fit(vocabulary_counts)
+    vectors = Normalizer(inputCol="_tfidf", outputCol="features").transform(weigh.transform(vocabulary_counts))
     vectors = stored(vectors.select("features", "_classes"), "vectors")
     idf = weigh.idf.toArray()
 

@@ -183,10 +183,10 @@ def algseq_topics(spark, sf_dir):
 @query()
 def topic_svm(spark, sf_dir):
     # trained machines have no form in SQL; tests compare them with a plain version
-    texts = table(spark, sf_dir, "documents").select("doc_id", tk.tokens(F.col("text")).alias("tokens"))
+    texts, tokens = table(spark, sf_dir, "documents"), tk.tokens(F.col("text"))
     graded = table(spark, sf_dir, "labels")
     labels = graded.select(
         "doc_id", F.explode(F.array(F.when(F.col("quality") == 1, "quality").otherwise("poor"), F.when(F.col("toxic") == 1, "toxic"))).alias("class")
     )
-    model = collect_model(*fit_svm(texts, "doc_id", "tokens", labels, iterations=20))
-    return texts.select("doc_id", F.array_join(topics_of(spark, model)(F.col("tokens")), ",").alias("topics"))
+    model = collect_model(*fit_svm(texts, "doc_id", tokens, labels, iterations=20))
+    return texts.select("doc_id", F.array_join(topics_of(spark, model)(tokens), ",").alias("topics"))
