@@ -55,8 +55,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def stored(rows: DataFrame, purpose: str) -> DataFrame:
-    """Rows written to the shared folder and read back: computed once, lineage cut, size known to the optimizer."""
+def stored(rows: DataFrame, purpose: str, group_bytes: int | None = None) -> DataFrame:
+    """Rows written to the shared folder and read back: computed once, lineage cut, size known to the optimizer.
+
+    Large rows are read a row group at a time, of which `group_bytes` bounds the size; files are then checked row by row.
+    """
     path = shared_folder(rows.sparkSession, purpose)
-    rows.write.parquet(path)
+    sized = {"parquet.block.size": group_bytes, "parquet.page.size.row.check.min": 1} if group_bytes else {}
+    rows.write.options(**sized).parquet(path)
     return rows.sparkSession.read.parquet(path)
